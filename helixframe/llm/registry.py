@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from helixframe.llm import pii
+from helixframe.llm import pii, simhash
 
-MODULES = (pii,)
+MODULES = (pii, simhash)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
