@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from helixframe.llm import pii, simhash
+from helixframe.llm import pii, simhash, topk
 
-MODULES = (pii, simhash)
+MODULES = (pii, simhash, topk)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
