@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from helixframe.llm import pii, simhash, topk
+from helixframe.llm import pii, simhash, topk, urlfilter
 
-MODULES = (pii, simhash, topk)
+MODULES = (pii, simhash, topk, urlfilter)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
