@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from helixframe.llm import pii, quality, simhash, topk, urlfilter
+from helixframe.llm import chat, pii, quality, simhash, topk, urlfilter
 
-MODULES = (pii, quality, simhash, topk, urlfilter)
+MODULES = (chat, pii, quality, simhash, topk, urlfilter)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
