@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from helixframe.llm import chat, langid, mixing, packing, pii, quality, simhash, topk, urlfilter
+from helixframe.llm import chat, langid, mixing, packing, pii, quality, scoring, simhash, topk, urlfilter
 
-MODULES = (chat, langid, mixing, packing, pii, quality, simhash, topk, urlfilter)
+MODULES = (chat, langid, mixing, packing, pii, quality, scoring, simhash, topk, urlfilter)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
