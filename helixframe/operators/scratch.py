@@ -4,7 +4,16 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir; a temporary one only where that is unset, as in tests."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        folder = tempfile.mkdtemp(prefix="helixframe-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -12,5 +21,5 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     context = spark.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="helixframe-"))
+        context.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
