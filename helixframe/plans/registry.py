@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from helixframe.plans import matrix
+from helixframe.plans import genome, matrix, sequences
 from helixframe.plans.views import ORACLES, QUERIES
 
-MODULES = (matrix,)
+MODULES = (genome, matrix, sequences)
 
 
 def queries() -> dict:

@@ -29,7 +29,7 @@ VIEWS = {
         FROM lineitem""",
     "reads": """
         SELECT conv_id AS sample, CASE WHEN role = 'user' THEN 1 ELSE 2 END AS mate, CAST(floor(turn / 2) AS BIGINT) AS ordinal,
-               regexp_replace(upper(substr(text, 1, 120)), '[^A-Z]', '') AS seq, repeat('@', length(regexp_replace(upper(substr(text, 1, 120)), '[^A-Z]', ''))) AS qual
+               upper(regexp_replace(substr(text, 1, 120), '[^a-zA-Z]', '')) AS seq, repeat('@', CAST(length(regexp_replace(substr(text, 1, 120), '[^a-zA-Z]', '')) AS INT)) AS qual
         FROM conversations WHERE role IN ('user', 'assistant')""",
     "sequences": """
         SELECT doc_id AS seq_id, concat('sp|', doc_id, '|', lang, ' ', source) AS header, upper(regexp_replace(substr(text, 1, 300), '[^a-zA-Z]', '')) AS seq,
@@ -38,7 +38,7 @@ VIEWS = {
     "native_pairs": "SELECT seq_id, lead(seq_id) OVER (ORDER BY seq_id) AS native_id FROM sequences",
     "residue_logp": """
         SELECT user_id AS seq_id, CASE WHEN pos % 2 = 0 THEN 'A' ELSE 'B' END AS chain, pos, event_type AS residue, -value / 100 AS logp, pos % 3 <> 0 AS designed
-        FROM (SELECT user_id, event_type, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos FROM events) e""",
+        FROM (SELECT user_id, event_type, value, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS INT) AS pos FROM events) e""",
     "token_vectors": "SELECT CAST(floor(vec_id / 10) AS BIGINT) AS seq_id, label AS layer, vec_id % 10 AS token_pos, embedding AS vec FROM embeddings",
     "vectors": "SELECT vec_id AS id, embedding AS vec, label FROM embeddings",
     "small_vectors": "SELECT vec_id AS id, embedding AS vec, label FROM embeddings WHERE vec_id < 500",
