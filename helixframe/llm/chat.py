@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import read_table, slices
+from helixframe.llm.common import read_table, slices, whole_texts
 
 #: Fixed values of the template.
 OPENING, AFTER_ROLE, CLOSING = "### ", ": ", "</turn>\n"
@@ -41,7 +41,7 @@ _LOSS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
 def escape(texts: pa.Array, role: bool = False) -> pa.Array:
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    texts = whole_texts(texts)
     for control in ("\\", "###", "</turn>", *([":"] if role else [])):
         texts = pc.replace_substring(texts, control, "\\" + control)
     return texts

@@ -71,9 +71,21 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(rf"[^{SPACE_CLASS}]+")), F.lit(0)).cast("long")
 
 
+def whole_texts(texts: pa.Array) -> pa.Array:
+    """The texts without nulls, in buffers of their own.
+
+    A slice shares its buffers with what surrounds it, and some string kernels (ascii_lower on large strings) then read
+    beyond it; so a slice is copied first.
+    """
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    if len(texts) and (texts.offset or np.frombuffer(texts.buffers()[1], np.int64)[0]):
+        texts = texts.take(pa.array(np.arange(len(texts))))
+    return texts
+
+
 def split_words(texts: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndarray]:
     """All words of the texts, one after the other, and the number of words of each text; null has none."""
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    texts = whole_texts(texts)
     if lower:
         texts = pc.ascii_lower(texts)
     lists = pc.ascii_split_whitespace(texts)
@@ -81,8 +93,8 @@ def split_words(texts: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndar
     full = pc.greater(pc.binary_length(flat), 0)
     sums = np.zeros(len(flat) + 1, np.int64)
     np.cumsum(full.to_numpy(zero_copy_only=False), out=sums[1:])
-    ends = sums[np.asarray(lists.offsets, dtype=np.int64) - (lists.offsets[0].as_py() if len(lists.offsets) else 0)]
-    return flat.filter(full), np.diff(ends)
+    offsets = np.asarray(lists.offsets, dtype=np.int64)
+    return flat.filter(full), np.diff(sums[offsets - offsets[0]])
 
 
 def word_codes(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray, pa.Array]:
