@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import read_table, slices, whole_texts
+from helixframe.llm.common import read_table, slices, small_batches, whole_texts
 
 #: Fixed values of the template.
 OPENING, AFTER_ROLE, CLOSING = "### ", ": ", "</turn>\n"
@@ -120,6 +120,7 @@ def _format(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def format_chats(turns: DataFrame) -> DataFrame:
     """Parts of conversations from a table (conv_id, turn, role, text); parts of a conversation are in order by `part`."""
+    small_batches(turns.sparkSession)
     key = ("conv_id", "turn", "role", "text")
     ordered = turns.select(*key).repartitionByRange(*key).sortWithinPartitions(*key)
     return ordered.select("conv_id", "role", "text").mapInArrow(_format, PART_SCHEMA)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 
@@ -32,6 +33,17 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Lets Spark hand texts to Python a few megabytes at a time, so that a worker's memory doesn't follow long texts.
+
+    Session settings that are smaller already stay.
+    """
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", 2000), ("spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20)):
+        now = int(re.sub(r"\D", "", spark.conf.get(key)) or 0)
+        if not 0 < now <= most:
+            spark.conf.set(key, str(most))
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     try:
         jvm = spark.sparkContext._jvm

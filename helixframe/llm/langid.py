@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from helixframe.llm.common import crc_of_id, read_table
+from helixframe.llm.common import crc_of_id, read_table, small_batches
 
 DIMENSIONS, CENTROIDS, ROUNDS = 4096, 4, 12
 #: Bound of the sample that the model is fitted on.
@@ -141,6 +141,7 @@ def identify(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
 
     A kept column may have one of these names too: the result then has both, in this order.
     """
+    small_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)  # at most SAMPLE_ROWS / 8 languages with CENTROIDS centroids each
     numbered = docs.select(F.col("text"), *keep).toDF("__text", *[f"k{i}" for i in range(len(keep))])
     found = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())]

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-from helixframe.llm.common import read_table
+from helixframe.llm.common import read_table, small_batches
 
 #: The base kinds in the order in which ties are listed.
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -180,11 +180,13 @@ def redact_text(text: str | None) -> str | None:
 
 def find_pii(df: DataFrame, text_col: str = "text", out_col: str = "pii") -> DataFrame:
     """Adds the spans of each text: array of (kind, start, end, score); empty for null and empty texts."""
+    small_batches(df.sparkSession)
     return df.withColumn(out_col, pii_spans(F.col(text_col)))
 
 
 def redact(df: DataFrame, text_col: str = "text") -> DataFrame:
     """Replaces the spans in each text; null stays null, all other columns stay as they are."""
+    small_batches(df.sparkSession)
     return df.withColumn(text_col, redacted(F.col(text_col)))
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-from helixframe.llm.common import read_table, slices, word_codes
+from helixframe.llm.common import read_table, slices, small_batches, word_codes
 
 WINDOW, LEAST_WORDS, MOST_REPEATED_PERCENT, MOST_LOST = 5, 10, 20, 0.5
 SHORT_LINE, SEPARATORS_PER_WORD, SYMBOLS_PER_WORD, SHOUTS_PER_WORD, CAPITALS = 6, 0.2, 0.3, 0.2, 0.8
@@ -132,6 +132,7 @@ def line_measures(texts: pd.Series) -> pd.DataFrame:
 
 def judge_quality(docs: DataFrame, text_col: str = "text", out_col: str = "quality") -> DataFrame:
     """Adds a struct: the measures, the cleaned text, base_failed and kept."""
+    small_batches(docs.sparkSession)
     m = F.col("__m")
     failed = (m["n_words"] < LEAST_WORDS) | (100 * m["n_repeat_words"] > MOST_REPEATED_PERCENT * m["n_words"])
     kept = ~failed & (m["lost_chars"] <= MOST_LOST * m["word_chars"])

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-from helixframe.llm.common import materialise, read_table, slices, split_words
+from helixframe.llm.common import materialise, read_table, slices, small_batches, split_words
 from helixframe.operators.components import connected_components
 
 RADIUS, SHINGLE, SEED = 3, 3, 42
@@ -213,6 +213,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
 
     Columns stay as they are. Among rows that repeat id and fingerprint, the one with the least hash of all columns stays.
     """
+    small_batches(docs.sparkSession)
     columns = docs.columns
     prints = materialise(docs.select("doc_id", simhash("text").alias("fp")), "simhash-prints")
     mine = prints.join(near_duplicates(prints), "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
@@ -224,6 +225,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     docs = read_table(spark, sf_dir, "documents")
     prints = materialise(docs.select("doc_id", simhash("text").alias("fp")), "simhash-prints")
     found = prints.join(near_duplicates(prints), "fp")
