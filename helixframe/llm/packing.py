@@ -19,8 +19,10 @@ looked up after that, in a table that is emptied when it holds MOST_WORDS.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,15 +31,35 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import materialise, read_table, slices, split_words
+from helixframe.llm.common import materialise, read_table, slices, small_batches, split_words, whole_texts
 
 WINDOW, END_ID, GRAIN = 2048, 1, 64
-MOST_QUEUES, MOST_WORDS = 4096, 400_000
+MOST_QUEUES, MOST_WORDS = 4096, 300_000
 VOCABULARY = "word_bpe_49k.json"
 
 
+#: ASCII punctuation after one of these letters or digits begins another token, whatever comes before or after.
+_MARK = r"([A-Za-z0-9\x{df}-\x{f6}\x{f8}-\x{ff}])([!-/:-@\[-`{-~])"
+#: Such a word is one piece for the tokenizer's model, which takes bytes as the letters that stand for them.
+_SIMPLE = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+").fullmatch
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte: printable ones for themselves, the others from U+0100 on, in order."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+_LETTERS = _byte_letters()
+
+
 class Encoder:
-    """Token ids of texts. The tokenizer never joins characters over white space, so that words are encoded one by one."""
+    """Token ids of texts, word by word.
+
+    The tokenizer lower-cases, and joins no characters over white space or over the step from a letter to punctuation.
+    Texts are so cut into fewer different words than they have, each of which is encoded once and looked up.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -47,31 +69,66 @@ class Encoder:
 
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.ids: list[np.ndarray] = []
+        self.flat, self.bounds, self.used = np.zeros(1 << 20, np.uint16), np.zeros(1 << 16, np.int32), 0
+
+    def _encoded(self, words: list[str]) -> list[list[int]]:
+        tokens = self.tokenizer.model.tokenize
+        out: list = [[t.id for t in tokens(w if w.isascii() else w.encode().decode("latin-1").translate(_LETTERS))] if _SIMPLE(w) else None for w in words]
+        others = [i for i, ids in enumerate(out) if ids is None]
+        for i, e in zip(others, self.tokenizer.encode_batch_fast([words[i] for i in others], add_special_tokens=False)):
+            out[i] = e.ids
+        return out
+
+    def _learn(self, words: list[str]) -> None:
+        for at in range(0, len(words), 8192):
+            part = words[at : at + 8192]
+            ids = self._encoded(part)
+            sizes = list(map(len, ids))
+            new = np.fromiter(chain.from_iterable(ids), np.uint16, sum(sizes))
+            while self.used + len(new) > len(self.flat):
+                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+            self.flat[self.used : self.used + len(new)] = new
+            first = len(self.known)
+            if first + len(part) >= len(self.bounds):
+                self.bounds = np.concatenate([self.bounds, np.zeros_like(self.bounds)])
+            self.known.update(zip(part, range(first, first + len(part))))
+            self.bounds[first + 1 : first + 1 + len(part)] = self.used + np.cumsum(sizes)
+            self.used += len(new)
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of all texts, each text followed by the end id, and the number of ids of each text."""
-        words, counts = split_words(texts)
+        words, counts = split_words(_simplified(whole_texts(texts)))
         coded = words.dictionary_encode()
-        spelled = coded.dictionary.to_pylist()
+        spelled = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.known) > MOST_WORDS:
             self._forget()
-        new = [w for w in spelled if w not in self.known]
-        for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            self.known[w] = len(self.ids)
-            self.ids.append(np.array(e.ids, np.uint32))
-        parts = [self.ids[self.known[w]] for w in spelled]
-        sizes = np.array([len(p) for p in parts], np.int64)
-        flat = np.concatenate([*parts, np.zeros(0, np.uint32)])
-        starts = np.cumsum(sizes) - sizes
-        codes = coded.indices.to_numpy(zero_copy_only=False)
-        lengths, text = sizes[codes], np.repeat(np.arange(len(counts)), counts)
-        # Where each word's ids go: after those of the words before it and the end ids of the texts before its own.
-        to = np.cumsum(lengths) - lengths + text
-        out = np.full(int(lengths.sum()) + len(counts), END_ID, np.uint32)
-        inside = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        out[np.repeat(to, lengths) + inside] = flat[np.repeat(starts[codes], lengths) + inside]
-        return out, np.bincount(text, weights=lengths, minlength=len(counts)).astype(np.int64) + 1
+        self._learn([w for w in spelled if w not in self.known])
+        index = np.fromiter(map(self.known.__getitem__, spelled), np.int64, len(spelled))
+        codes = index[coded.indices.to_numpy(zero_copy_only=False)]
+        starts = self.bounds[codes].astype(np.int64)
+        lengths = self.bounds[codes + 1] - starts
+        ends = np.cumsum(lengths)
+        text = np.repeat(np.arange(len(counts)), counts)
+        sums = np.bincount(text, weights=lengths, minlength=len(counts)).astype(np.int64)
+        total = int(sums.sum())
+        # The ids of all words in a row, then a place for each end.
+        row = self.flat[np.repeat(starts - (ends - lengths), lengths) + np.arange(total)]
+        out = np.full(total + len(counts), END_ID, np.uint32)
+        full = np.ones(len(out), bool)
+        full[np.cumsum(sums + 1) - 1] = False
+        out[full] = row
+        return out, sums + 1
+
+
+def _simplified(texts: pa.Array) -> pa.Array:
+    """The texts with fewer different words and the same tokens: in lower case, and cut before marks.
+
+    Beyond Latin-1 only A-Z change their case, because tables of cases differ. Texts with `<|` stay: a mark of the tokenizer
+    is told from others by its exact spelling.
+    """
+    wide = pc.match_substring_regex(texts, r"[^\x00-\x{ff}]")
+    lowered = pc.if_else(wide, pc.ascii_lower(texts), pc.utf8_lower(pc.if_else(wide, "", texts)))
+    return pc.if_else(pc.match_substring(texts, "<|"), texts, pc.replace_substring_regex(lowered, pattern=_MARK, replacement=r"\1 \2"))
 
 
 TOKENISED = "doc_id long, source string, n long, before long, part long, ids binary"
@@ -96,6 +153,7 @@ def tokenise(docs: DataFrame, path: str) -> DataFrame:
                 binary = pa.Array.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(ids)])
                 yield pa.record_batch([piece.column(0), piece.column(1), pa.array(counts), pa.array(before, pa.int64()), pa.array(np.full(len(counts), part)), binary.cast(pa.binary())], ["doc_id", "source", "n", "before", "part", "ids"])
 
+    small_batches(docs.sparkSession)
     return docs.select("doc_id", "source", "text").mapInArrow(encode, TOKENISED)
 
 
