@@ -6,6 +6,7 @@ import atexit
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -124,3 +125,17 @@ def slices(batch: pa.RecordBatch, column: str, most: int = 16 << 20) -> list[pa.
     cut = np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // most)) + 1
     edges = [0, *cut.tolist(), batch.num_rows]
     return [batch.slice(a, b - a) for a, b in zip(edges, edges[1:]) if b > a]
+
+
+def gathered(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches again, in pieces that hold at least `most` bytes of the column's texts, but for the last."""
+    held, size = [], 0
+    for batch in batches:
+        for piece in slices(batch, column, most):
+            held.append(piece)
+            size += pc.sum(pc.binary_length(piece.column(piece.schema.get_field_index(column)))).as_py() or 0
+            if size >= most:
+                yield pa.concat_batches(held)
+                held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
