@@ -176,7 +176,7 @@ def fuzzy_memberships(neighbours: DataFrame, k: int, steps: int = 64) -> DataFra
     lists = neighbours.where("src <> dst").groupBy("src").agg(F.sort_array(F.collect_list(F.struct("d", "dst"))).alias("n"))
     rho = "coalesce(array_min(transform(filter(n, x -> x.d > 0), x -> x.d)), 0D)"
     total = "aggregate(transform(n, x -> if(x.d - rho > 0, exp(-(x.d - rho) / s.mid), 1D)), 0D, (a, x) -> a + x)"
-    narrowed = f"transform(array({total}), t -> if(t > {np.log2(k)!r}D, named_struct('lo', s.lo, 'hi', s.mid, 'mid', (s.lo + s.mid) / 2), named_struct('lo', s.mid, 'hi', s.hi, 'mid', if(s.hi > 1e300D, s.mid * 2, (s.mid + s.hi) / 2))))[0]"
+    narrowed = f"transform(array({total}), t -> if(t > {float(np.log2(k))!r}D, named_struct('lo', s.lo, 'hi', s.mid, 'mid', (s.lo + s.mid) / 2), named_struct('lo', s.mid, 'hi', s.hi, 'mid', if(s.hi > 1e300D, s.mid * 2, (s.mid + s.hi) / 2))))[0]"
     sigma = f"aggregate(sequence(1, {steps}), named_struct('lo', 0D, 'hi', 1.5e300D, 'mid', 1D), (s, i) -> {narrowed}).mid"
     solved = lists.withColumn("rho", F.expr(rho)).withColumn("sigma", F.expr(sigma))
     weights = solved.select("src", "rho", "sigma", F.explode("n").alias("x"))

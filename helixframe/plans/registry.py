@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from helixframe.plans import genome, matrix, sequences
+from helixframe.plans import functions, genome, matrix, molecules, sequences, vectors
 from helixframe.plans.views import ORACLES, QUERIES
 
-MODULES = (genome, matrix, sequences)
+MODULES = (functions, genome, matrix, molecules, sequences, vectors)
 
 
 def queries() -> dict:
