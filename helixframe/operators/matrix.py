@@ -35,7 +35,7 @@ def filter_genes(counts: DataFrame, min_cells: int) -> DataFrame:
 
 def first_n_cells(cells: DataFrame, n: int) -> DataFrame:
     """The first n rows by ordinal; all of them for -1."""
-    return cells if n == -1 else cells.where(F.col("rank_in_file") <= n) if "rank_in_file" in cells.columns else cells.where(F.col("ordinal") <= n)
+    return cells if n == -1 else numbered_rows(cells, "ordinal").where(F.col("row") < n).drop("row")
 
 
 def unique_names(genes: DataFrame, name: str = "gene_name", out: str = "unique_name") -> DataFrame:

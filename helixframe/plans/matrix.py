@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from helixframe.operators import matrix as m
@@ -79,7 +79,7 @@ def few(genes: DataFrame) -> DataFrame:
 def grid(v: Views) -> DataFrame:
     genes = hvg(v)
     h = hvg_norm(v, genes)
-    return m.dense_grid(h, per_cell(v, h).withColumnRenamed("percent", "percent"), few(genes))
+    return m.dense_grid(h, per_cell(v, h), few(genes))
 
 
 def rounded(df: DataFrame, *columns: str) -> DataFrame:
@@ -96,9 +96,9 @@ def q_filter_genes(v):
     return m.cells_per_gene(filtered(v))
 
 
-@query("first_n_cells", "SELECT cell_id, ordinal, category FROM cells WHERE ordinal <= 100")
+@query("first_n_cells", "SELECT cell_id, ordinal, category FROM cells ORDER BY ordinal LIMIT 100")
 def q_first_n(v):
-    return m.first_n_cells(v.cells, 100)
+    return m.first_n_cells(v.cells, 100).select("cell_id", "ordinal", "category")
 
 
 @query("unique_names", "SELECT gene_id, CASE WHEN n = 1 THEN gene_name ELSE concat(gene_name, '-', n - 1) END AS unique_name FROM (SELECT *, row_number() OVER (PARTITION BY gene_name ORDER BY ordinal) AS n FROM genes) g")
@@ -279,5 +279,3 @@ def q_matrix_ingest(v):
 
     return read_matrix_market(v.spark, write_matrix_market(v.counts))
 
-
-_ = Window

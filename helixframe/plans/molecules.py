@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from helixframe.operators import molecules as m
-from helixframe.operators.matrix import numbered_rows
 from helixframe.plans.views import query
 from helixframe.sources import text as src
 
@@ -170,5 +169,3 @@ def q_intervals(v):
     rows = v.signal.select(F.concat_ws("\t", "contig", "start_pos", "end_pos", F.lit("peak"), F.lit("0"), F.lit("."), F.col("value").cast("string"), F.lit("-1"), F.lit("-1"), F.lit("-1")))
     return src.read_intervals(v.spark, src.write_text(rows, "peaks"))
 
-
-_ = numbered_rows
