@@ -38,12 +38,17 @@ few AS (SELECT gene_id FROM hvg ORDER BY gene_id LIMIT 20),
 grid AS (SELECT p.cell_id, f.gene_id, p.n_counts, p.percent, coalesce(h.value, 0) AS value FROM percell p CROSS JOIN few f LEFT JOIN hnorm h ON h.cell_id = p.cell_id AND h.gene_id = f.gene_id)"""
 
 
+def kept_cells(v: Views) -> DataFrame:
+    # Counts are a join and an aggregate, and every later step reads them more than once: they are kept, on disk where memory ends.
+    return m.filter_cells(v.counts.persist(), MIN_GENES, MAX_GENES)
+
+
 def filtered(v: Views) -> DataFrame:
-    return m.filter_genes(m.filter_cells(v.counts, MIN_GENES, MAX_GENES), MIN_CELLS)
+    return m.filter_genes(kept_cells(v), MIN_CELLS).persist()
 
 
 def n_cells(v: Views) -> DataFrame:
-    return m.filter_cells(v.counts, MIN_GENES, MAX_GENES).agg(F.count_distinct("cell_id").alias("n"))
+    return kept_cells(v).agg(F.count_distinct("cell_id").alias("n"))
 
 
 def norm(v: Views) -> DataFrame:
@@ -57,7 +62,7 @@ def stats(v: Views) -> DataFrame:
 
 def binned(v: Views) -> DataFrame:
     s = stats(v)
-    return m.with_mean_bin(s, m.mean_bin_edges(s))
+    return m.with_mean_bin(s, m.mean_bin_edges(s)).persist()
 
 
 def hvg(v: Views) -> DataFrame:
@@ -79,7 +84,7 @@ def few(genes: DataFrame) -> DataFrame:
 def grid(v: Views) -> DataFrame:
     genes = hvg(v)
     h = hvg_norm(v, genes)
-    return m.dense_grid(h, per_cell(v, h), few(genes))
+    return m.dense_grid(h, per_cell(v, h), few(genes)).persist()
 
 
 def rounded(df: DataFrame, *columns: str) -> DataFrame:
