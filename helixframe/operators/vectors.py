@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -38,6 +39,13 @@ def kmeans(vectors: DataFrame, k: int, seed: int = 0, column: str = "vec") -> Da
     return model.transform(ready).withColumn("cluster", F.col("prediction").cast("string")).drop("features", "prediction")
 
 
+def classify(train: DataFrame, test: DataFrame) -> DataFrame:
+    """(id, label, predicted) of the test rows by a logistic regression on pooled vectors; both tables: (id, vec, label)."""
+    ready = lambda df: df.select("id", "label", array_to_vector(F.transform("vec", lambda x: x.cast("double"))).alias("features"))
+    model = LogisticRegression(maxIter=30, regParam=0.01).fit(ready(train))
+    return model.transform(ready(test)).select("id", "label", F.col("prediction").cast("int").alias("predicted"))
+
+
 def square_distance(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x.cast("double") - y.cast("double")) * (x.cast("double") - y.cast("double"))), F.lit(0.0), lambda s, d: s + d)
 

@@ -185,6 +185,14 @@ def test_geodesic_and_mahalanobis(spark):
     assert got[0] == pytest.approx(math.pi / 2) and got[1] == pytest.approx(math.pi)
 
 
+def test_classifier_beats_the_majority_class(spark):
+    rng = random.Random(6)
+    rows = [(i, [rng.gauss(3 * (i % 3 == d), 1.0) for d in range(4)], i % 3) for i in range(300)]
+    frame = table(spark, rows, "id long, vec array<double>, label int")
+    got = vectors.classify(frame.where("id < 200"), frame.where("id >= 200")).collect()
+    assert len(got) == 100 and sum(r["label"] == r["predicted"] for r in got) > 80
+
+
 def cliques(spark, sizes, bridges=()):
     edges, at = [], 0
     for n in sizes:
