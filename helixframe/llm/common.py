@@ -39,7 +39,7 @@ def small_batches(spark: SparkSession) -> None:
 
     Session settings that are smaller already stay.
     """
-    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", 2000), ("spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20)):
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", 1000), ("spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20)):
         now = int(re.sub(r"\D", "", spark.conf.get(key)) or 0)
         if not 0 < now <= most:
             spark.conf.set(key, str(most))
@@ -117,7 +117,12 @@ def word_codes(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.nda
     return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), counts, coded.dictionary
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = 16 << 20) -> list[pa.RecordBatch]:
+def give_back() -> None:
+    """Returns what Arrow keeps of freed buffers, since Spark's Python workers live on from stage to stage."""
+    pa.default_memory_pool().release_unused()
+
+
+def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> list[pa.RecordBatch]:
     """The batch cut so that the column's texts have about `most` bytes in each piece; a longer text stands alone."""
     if not batch.num_rows:
         return []

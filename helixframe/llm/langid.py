@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from helixframe.llm.common import crc_of_id, read_table, small_batches
+from helixframe.llm.common import crc_of_id, give_back, read_table, small_batches
 
 DIMENSIONS, CENTROIDS, ROUNDS = 4096, 4, 12
 #: Bound of the sample that the model is fitted on.
@@ -150,8 +150,9 @@ def identify(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                part = whole.slice(at, 512)
+            give_back()
+            for at in range(0, whole.num_rows, 128):
+                part = whole.slice(at, 128)
                 lang, score, rejected = held.value.predict(part.column(0).to_pylist())
                 yield pa.record_batch([*part.columns[1:], pa.array(lang, pa.string()), pa.array(score), pa.array(rejected)], names=names)
 

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import materialise, read_table, slices, small_batches, split_words, whole_texts
+from helixframe.llm.common import give_back, materialise, read_table, slices, small_batches, split_words, whole_texts
 
 WINDOW, END_ID, GRAIN = 2048, 1, 64
 MOST_QUEUES, MOST_WORDS = 4096, 300_000
@@ -143,7 +143,8 @@ def tokenise(docs: DataFrame, path: str) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, seen, part = Encoder(path), {}, TaskContext.get().partitionId()
         for batch in batches:
-            for piece in slices(batch, "text", 4 << 20):
+            give_back()
+            for piece in slices(batch, "text", 2 << 20):
                 ids, counts = encoder(piece.column(2))
                 before = []
                 for source, n in zip(piece.column(1).to_pylist(), counts.tolist()):
@@ -249,7 +250,8 @@ def pack(docs: DataFrame, path: str, shares: dict[str | None, float] | None = No
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "ids", 4 << 20):
+            give_back()
+            for part in slices(batch, "ids", 2 << 20):
                 n, rank = (part.column(i).to_numpy(zero_copy_only=False) for i in (2, 4))
                 mine = np.array([number[q] for q in part.column(3).to_pylist()], np.int64)
                 doc, start, length, at = pieces(plan, mine, rank, n)

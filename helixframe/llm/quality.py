@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-from helixframe.llm.common import read_table, slices, small_batches, word_codes
+from helixframe.llm.common import give_back, read_table, slices, small_batches, word_codes
 
 WINDOW, LEAST_WORDS, MOST_REPEATED_PERCENT, MOST_LOST = 5, 10, 20, 0.5
 SHORT_LINE, SEPARATORS_PER_WORD, SYMBOLS_PER_WORD, SHOUTS_PER_WORD, CAPITALS = 6, 0.2, 0.3, 0.2, 0.8
@@ -127,6 +127,7 @@ def measured(texts: pa.Array) -> list[tuple]:
 def line_measures(texts: pd.Series) -> pd.DataFrame:
     batch = pa.record_batch([pa.array(texts, pa.large_string(), from_pandas=True)], ["text"])
     rows = [row for piece in slices(batch, "text") for row in measured(piece.column(0))]
+    give_back()
     return pd.DataFrame(rows, columns=MEASURES.names)
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-from helixframe.llm.common import materialise, read_table, slices, small_batches, split_words
+from helixframe.llm.common import give_back, materialise, read_table, slices, small_batches, split_words
 from helixframe.operators.components import connected_components
 
 RADIUS, SHINGLE, SEED = 3, 3, 42
@@ -63,7 +63,8 @@ def fingerprints(texts: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
 def simhash(texts: pd.Series) -> pd.Series:
     column = pa.array(texts, pa.large_string(), from_pandas=True)
     batch = pa.record_batch([column], ["text"])
-    found = [fingerprints(b.column(0)) for b in slices(batch, "text", 8 << 20)]
+    found = [fingerprints(b.column(0)) for b in slices(batch, "text", 1 << 20)]
+    give_back()
     return pd.Series(np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64))
 
 
