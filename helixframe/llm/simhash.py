@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
+from helixframe.llm import minhash
 from helixframe.llm.common import give_back, materialise, read_table, slices, small_batches, split_words
 from helixframe.operators.components import connected_components
 
@@ -209,15 +210,20 @@ def near_duplicates(prints: DataFrame, id_col: str = "doc_id", fp_col: str = "fp
     )
 
 
-def deduplicate(docs: DataFrame) -> DataFrame:
+def deduplicate(docs: DataFrame, similarity: float | None = None) -> DataFrame:
     """Keeps one row of each component: one of its smallest id (without ids: of its smallest fingerprint).
 
+    similarity: texts whose five-word shingles have at least this Jaccard similarity are linked as well.
     Columns stay as they are. Among rows that repeat id and fingerprint, the one with the least hash of all columns stays.
     """
     small_batches(docs.sparkSession)
     columns = docs.columns
-    prints = materialise(docs.select("doc_id", simhash("text").alias("fp")), "simhash-prints")
-    mine = prints.join(near_duplicates(prints), "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    more = [] if similarity is None else [F.xxhash64("text").alias("variant"), minhash.signature("text").alias("signature")]
+    prints = materialise(docs.select("doc_id", simhash("text").alias("fp"), *more), "simhash-prints")
+    groups = near_duplicates(prints)
+    if similarity is not None:
+        groups = minhash.join_similar(docs, prints, materialise(groups, "simhash-components"), similarity)
+    mine = prints.select("doc_id", "fp").join(groups, "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     owners = mine.groupBy("component").agg(F.min("fp").alias("__owner_fp"), F.min("doc_id").alias("__owner_id")).drop("component")
     marked = docs.withColumn("__fp", simhash("text"))
     kept = marked.join(owners, (F.col("__fp") == F.col("__owner_fp")) & F.col("doc_id").eqNullSafe(F.col("__owner_id")), "left_semi")
