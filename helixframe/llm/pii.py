@@ -129,9 +129,11 @@ def propose(text: str) -> list[tuple[str, int, int]]:
                 found.append(("card", *m.span()))
     phones = [m.span() for m in _PHONE.finditer(text) if 10 <= len(_DIGIT.findall(m.group())) <= 15] if "+" in text else []
     found += [("phone", *span) for span in phones]
-    for m in _IBAN.finditer(text):
+    at = 0
+    while m := _IBAN.search(text, at):  # a match runs on into what follows, so the search goes on from the IBAN's own end
         if end := _iban(text, *m.span()):
             found.append(("iban", m.start(), end))
+        at = end or m.start() + 1
     for m in _NATIONAL.finditer(text):
         if not any(a < m.end() and m.start() < b for a, b in phones):
             found.append(("national_phone", m.start() - (text[m.start() - 1 : m.start()] == "("), m.end()))

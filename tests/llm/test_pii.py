@@ -33,6 +33,16 @@ def test_validators_and_context():
     assert pii.luhn("4041894974608795") and not pii.luhn("4041894974608796")
 
 
+def test_ibans_behind_ibans_and_failed_matches():
+    spans = lambda t: [t[a:z] for k, a, z, _ in pii.scored(t) if k == "iban"]
+    german, british, norwegian = "DE89370400440532013000", "GB29NWBK60161331926819", "NO9386011117947"
+    assert spans(f"{german} {british}") == [german, british]
+    assert spans(f"NR12 DE89 3704 0044 0532 0130 00 {norwegian}") == ["DE89 3704 0044 0532 0130 00", norwegian]
+    assert spans(f"DE88370400440532013000 {british} x{german}") == [british]
+    assert pii.redact_text(f"{german} {british}.") == "[IBAN] [IBAN]."
+    assert spans("NR12 " * 60_000 + german) == [german]
+
+
 def test_long_runs_stay_linear():
     assert pii.scored("a" * 300_000 + " " + "1" * 300_000 + "." * 1000 + "@" * 1000) == []
 
