@@ -5,8 +5,9 @@ are weighted by inverse document frequency and brought to length 1. Spherical k-
 centroids. A text gets the language of the centroid with the largest cosine; where that lies below the centroid's own
 threshold, the text is rejected as too far from everything (`rejected`), and still names its nearest language.
 
-The model is fitted on a bounded sample of labelled rows: about SAMPLE_ROWS in all, shared equally by the languages,
-whole texts, chosen by a hash of the id. Everything that is predicted is predicted from whole texts.
+The model is fitted on a sample of labelled rows: about SAMPLE_ROWS in all, shared equally by the languages but at least
+LEAST_ROWS of each, whole texts, chosen by a hash of the id. All languages are learned; where they are more than
+SAMPLE_ROWS / LEAST_ROWS, sample and model grow with their number. Everything that is predicted is predicted from whole texts.
 
 A null text and one without a letter give `und`, score 0 and rejection; so does any text where nothing can be learned.
 Ties go to the language that comes first by code point. Repeated rows are predicted one by one, null ids included.
@@ -27,8 +28,8 @@ from pyspark.sql import types as T
 from helixframe.llm.common import crc_of_id, give_back, read_table, small_batches
 
 DIMENSIONS, CENTROIDS, ROUNDS = 4096, 4, 12
-#: Bound of the sample that the model is fitted on.
-SAMPLE_ROWS = 2048
+#: Rows of the sample that the model is fitted on, and the least share of a language.
+SAMPLE_ROWS, LEAST_ROWS = 2048, 8
 #: A centroid rejects what is farther than this share of the cosine that all but the farthest percent of its texts reach.
 REJECT_SHARE, REJECT_PERCENT = 0.4, 1.0
 #: Bytes of a text counted at once.
@@ -123,12 +124,12 @@ def fit(texts: list[str], labels: list[str]) -> Model:
 
 
 def train(labelled: DataFrame) -> Model:
-    """A model from a table (doc_id, text, lang) of labelled rows, fitted on a bounded sample of it."""
+    """A model from a table (doc_id, text, lang) of labelled rows, fitted on a sample of each language."""
     usable = labelled.where("lang is not null and text is not null")
     # Counts come first and read no texts; then about twice the share of each language, cut to it by the hash's order.
     totals = usable.groupBy("lang").agg(F.count("*").alias("total"))
-    each = F.greatest(F.lit(8), F.floor(F.lit(SAMPLE_ROWS) / F.count("*").over(Window.partitionBy(F.lit(1)))))
-    shares = totals.withColumn("each", each).orderBy("lang").limit(SAMPLE_ROWS // 8)
+    each = F.greatest(F.lit(LEAST_ROWS), F.floor(F.lit(SAMPLE_ROWS) / F.count("*").over(Window.partitionBy(F.lit(1)))))
+    shares = totals.withColumn("each", each)
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
     thin = usable.withColumn("place", place).join(F.broadcast(shares), "lang").where(F.col("place") * F.col("total") < F.lit(float(2 << 30)) * F.col("each"))
     order = F.row_number().over(Window.partitionBy("lang").orderBy("place", "doc_id", "text"))
@@ -142,7 +143,7 @@ def identify(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     A kept column may have one of these names too: the result then has both, in this order.
     """
     small_batches(docs.sparkSession)
-    held = docs.sparkSession.sparkContext.broadcast(model)  # at most SAMPLE_ROWS / 8 languages with CENTROIDS centroids each
+    held = docs.sparkSession.sparkContext.broadcast(model)  # CENTROIDS centroids of each language
     numbered = docs.select(F.col("text"), *keep).toDF("__text", *[f"k{i}" for i in range(len(keep))])
     found = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())]
     schema = T.StructType([*numbered.schema.fields[1:], *found])

@@ -46,6 +46,19 @@ def test_held_out_accuracy_and_cases(spark, tmp_path):
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} >= set(range(900)) and kept.count() == len(rows) - 3
 
 
+def test_all_of_many_languages_are_learned(spark):
+    rng = random.Random(4)
+    rows = []
+    for n in range(300):
+        words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(6)]
+        rows += [(n * 10 + i, " ".join(rng.sample(words, 5)), f"l{n:03}") for i in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(docs)
+    assert model.langs == [f"l{n:03}" for n in range(300)]
+    lang, _, rejected = model.predict([r[1] for r in rows])
+    assert lang == [r[2] for r in rows] and not rejected.any()
+
+
 def test_nothing_to_learn(spark):
     docs = spark.createDataFrame([(1, "some words", None)], "doc_id long, text string, lang string")
     assert langid.identify(docs, langid.train_on(docs), ["doc_id"]).collect()[0][1:] == ("und", 0.0, True)
