@@ -40,21 +40,27 @@ def range_bins(starts: DataFrame, n: int = N_BINS, rounding: int = ROUNDING) ->
     inside = starts.where((F.col("start") >= 0) & (F.col("contig") != UNMAPPED)).withColumn("stop", F.col("start") + F.col("length"))
     total = inside.agg(F.max("stop").alias("t")).select("t").scalar()
     spark = starts.sparkSession
-    aims = spark.range(n).withColumn("aim", F.floor((F.col("id") + 1) * total / n).cast("long"))
-    near = aims.join(F.broadcast(inside), F.col("stop") >= F.col("aim") - rounding).groupBy("id", "aim").agg(F.min_by(F.struct("start", "stop"), "stop").alias("c"))
+    aims = F.broadcast(spark.range(n).withColumn("aim", F.floor((F.col("id") + 1) * total / n).cast("long")))  # n rows, whatever the dictionary
+    near = inside.join(aims, F.col("stop") >= F.col("aim") - rounding).groupBy("id", "aim").agg(F.min_by(F.struct("start", "stop"), "stop").alias("c"))
     snapped = F.when(F.abs(F.col("aim") - F.col("c.stop")) <= rounding, F.col("c.stop")).otherwise(F.col("c.start") + F.floor((F.col("aim") - F.col("c.start") + rounding // 2) / rounding) * rounding)
     ends = near.select(F.col("id").cast("int").alias("bin"), snapped.cast("long").alias("end_pos"))
     return ends.withColumn("start_pos", F.coalesce(F.lag("end_pos").over(Window.partitionBy(F.lit(1)).orderBy("bin")), F.lit(0)).cast("long")).select("bin", "start_pos", "end_pos")
 
 
-def bin_regions(bins: DataFrame, starts: DataFrame) -> DataFrame:
-    """(bin, regions): `contig:lo-hi` pieces of a bin in order, joined by spaces; empty pieces are left out."""
+def bin_pieces(bins: DataFrame, starts: DataFrame) -> DataFrame:
+    """(bin, ord, contig, lo, hi): the part of each contig that lies in a bin, from lo up to before hi; empty pieces are left out."""
     inside = starts.where((F.col("start") >= 0) & (F.col("contig") != UNMAPPED))
     lo = F.greatest(F.lit(0), F.col("start_pos") - F.col("start"))
     hi = F.least(F.col("length"), F.col("end_pos") - F.col("start"))
-    pieces = bins.join(F.broadcast(inside), (F.col("start") < F.col("end_pos")) & (F.col("start") + F.col("length") > F.col("start_pos"))).where(hi > lo)
-    text = F.concat("contig", F.lit(":"), lo, F.lit("-"), hi)
-    return pieces.groupBy("bin").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("ord", text.alias("t")))), lambda p: p["t"]), " ").alias("regions"))
+    # Bins are as many as were asked for; the contigs of a draft assembly may be millions.
+    met = inside.join(F.broadcast(bins), (F.col("start") < F.col("end_pos")) & (F.col("start") + F.col("length") > F.col("start_pos")))
+    return met.where(hi > lo).select("bin", "ord", "contig", lo.cast("long").alias("lo"), hi.cast("long").alias("hi"))
+
+
+def bin_regions(bins: DataFrame, starts: DataFrame) -> DataFrame:
+    """(bin, regions): `contig:lo-hi` pieces of a bin in order, joined by spaces."""
+    text = F.concat("contig", F.lit(":"), "lo", F.lit("-"), "hi")
+    return bin_pieces(bins, starts).groupBy("bin").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("ord", text.alias("t")))), lambda p: p["t"]), " ").alias("regions"))
 
 
 def global_positions(alignments: DataFrame, starts: DataFrame) -> DataFrame:
@@ -103,34 +109,53 @@ def kmers(df: DataFrame, id_col: str, seq_col: str, k: int) -> DataFrame:
     return df.select(F.col(id_col).alias("id"), F.col(seq_col).alias("__s"), at.alias("at")).select("id", "at", F.col("__s").substr(F.col("at") + 1, F.lit(k)).alias("kmer"))
 
 
+#: Rows of a k-mer on one side that meet in one task.
+MOST_OF_A_KEY = 4096
+
+
+def split_join(left: DataFrame, right: DataFrame, key: str, most: int | None = None) -> DataFrame:
+    """left and right joined on the key, whose common values are cut into parts on both sides: each part meets each part."""
+    most = most or MOST_OF_A_KEY
+    counts = left.groupBy(key).agg(F.count("*").alias("nl")).join(right.groupBy(key).agg(F.count("*").alias("nr")), key)
+    hot = counts.where((F.col("nl") > most) | (F.col("nr") > most)).select(key, F.ceil(F.col("nl") / most).alias("__lp"), F.ceil(F.col("nr") / most).alias("__rp"))
+
+    def dealt(rows: DataFrame, own: str, other: str) -> DataFrame:
+        joined = rows.join(hot, key, "left").withColumns({c: F.coalesce(c, F.lit(1)) for c in ("__lp", "__rp")})
+        mine = joined.withColumn("__mine", F.pmod(F.xxhash64(*rows.columns), F.col(own)))
+        return mine.withColumn("__their", F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1))).select(*rows.columns, F.col("__mine").alias(own), F.col("__their").alias(other))
+
+    return dealt(left, "__lp", "__rp").join(dealt(right, "__rp", "__lp"), [key, "__lp", "__rp"]).drop("__lp", "__rp")
+
+
 def seed_votes(reads: DataFrame, reference: DataFrame) -> DataFrame:
     """(read, contig, diagonal, votes): the diagonal of shared k-mers with most votes; ties to the smaller contig and diagonal.
 
-    Both sides: (id, at, kmer). A repeated k-mer of one contig is a set of places, joined by its hash like any other.
+    Both sides: (id, at, kmer). Common k-mers are split.
     """
-    hits = reads.select(F.col("id").alias("read"), F.col("at").alias("a"), "kmer").join(reference.select(F.col("id").alias("contig"), F.col("at").alias("b"), "kmer"), "kmer")
+    hits = split_join(reads.select(F.col("id").alias("read"), F.col("at").alias("a"), "kmer"), reference.select(F.col("id").alias("contig"), F.col("at").alias("b"), "kmer"), "kmer")
     votes = hits.groupBy("read", "contig", (F.col("b") - F.col("a")).alias("diagonal")).agg(F.count("*").alias("votes"))
     best = votes.groupBy("read").agg(F.min_by(F.struct("contig", "diagonal", "votes"), F.struct(-F.col("votes"), "contig", "diagonal")).alias("m"))
     return best.select("read", "m.*")
 
 
-def pileup(alignments: DataFrame, span: int = 1) -> DataFrame:
-    """(contig, pos, depth, n_alt, alt_fraction): alleles of the reads over each position; the most frequent one is the reference."""
-    covered = alignments.where(F.col("contig") != UNMAPPED).select("contig", F.explode(F.sequence(F.col("pos"), F.col("pos") + span - 1)).alias("pos"), "base")
-    counts = covered.groupBy("contig", "pos", "base").agg(F.count("*").alias("n"))
-    depth = counts.groupBy("contig", "pos").agg(F.sum("n").alias("depth"), F.max("n").alias("top"))
-    return depth.select("contig", "pos", "depth", (F.col("depth") - F.col("top")).alias("n_alt"), ((F.col("depth") - F.col("top")) / F.col("depth")).alias("alt_fraction"))
+def pileup(alignments: DataFrame, pieces: DataFrame) -> DataFrame:
+    """(bin, contig, pos, depth, n_alt, alt_fraction, alleles) of the positions in the regions that reads lie over.
 
+    alignments: (contig, pos, seq), a read's letters from pos on; pieces: regions as of bin_pieces(). The most frequent letter
+    is the reference; alleles: `letter:count` in the order of letters.
+    """
+    spread = alignments.where(F.col("contig") != UNMAPPED).select("contig", F.col("pos").alias("__at"), F.posexplode(F.split("seq", "")).alias("__i", "base")).where("base <> ''")
+    covered = spread.select("contig", (F.col("__at") + F.col("__i")).alias("pos"), "base").groupBy("contig", "pos", "base").agg(F.count("*").alias("n"))
+    inside = covered.join(pieces.select("bin", F.col("contig"), "lo", "hi"), "contig").where("pos >= lo and pos < hi")
+    alleles = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("base", "n"))), lambda a: F.concat_ws(":", a["base"], a["n"])), ",")
+    depth = inside.groupBy("bin", "contig", "pos").agg(F.sum("n").alias("depth"), F.max("n").alias("top"), alleles.alias("alleles"))
+    return depth.select("bin", "contig", "pos", "depth", (F.col("depth") - F.col("top")).alias("n_alt"), ((F.col("depth") - F.col("top")) / F.col("depth")).alias("alt_fraction"), "alleles")
 
-def size_split(rows: DataFrame, by: str, size: Column, threshold: int) -> DataFrame:
-    """Adds file: running bytes before a row, in the order of `by`, divided by the threshold.
 
-    The running total is taken in ranges of the order, whose sums are added up beforehand.
-    """
-    numbered = numbered_rows(rows, by).withColumn("__size", size).withColumn("__block", F.floor(F.col("row") / 65536))
-    bases = numbered.groupBy("__block").agg(F.sum("__size").alias("s")).withColumn("__base", F.coalesce(F.sum("s").over(Window.partitionBy(F.lit(1)).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("s")
-    inside = F.coalesce(F.sum("__size").over(Window.partitionBy("__block").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return numbered.withColumn("__in", inside).join(bases, "__block").withColumn("file", F.floor((F.col("__base") + F.col("__in")) / threshold)).drop("__size", "__block", "__base", "__in", "row")
+def size_split(rows: DataFrame, by: str, size: Column, threshold: int) -> DataFrame:
+    """Adds file: running bytes before a row, in the order of `by`, divided by the threshold."""
+    summed = numbered_rows(rows.withColumn("__size", size.cast("long")), by, size="__size")
+    return summed.withColumn("file", F.floor(F.col("before") / threshold)).drop("__size", "before", "row")
 
 
 def sample_n(rows: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:

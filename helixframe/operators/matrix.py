@@ -6,9 +6,14 @@ never by densifying. Where all zeros matter in the result (residuals, scaled val
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from helixframe.operators.scratch import kept_table
+
 INF = float("inf")
 #: The normal distribution's median absolute deviation, target total of a cell, upper clip.
 MAD_SCALE, TARGET_TOTAL, CLIP = 0.6744897501960817, 1e4, 10.0
@@ -35,7 +40,7 @@ def filter_genes(counts: DataFrame, min_cells: int) -> DataFrame:
 
 def first_n_cells(cells: DataFrame, n: int) -> DataFrame:
     """The first n rows by ordinal; all of them for -1."""
-    return cells if n == -1 else numbered_rows(cells, "ordinal").where(F.col("row") < n).drop("row")
+    return cells if n == -1 else cells.orderBy("ordinal").limit(n)
 
 
 def unique_names(genes: DataFrame, name: str = "gene_name", out: str = "unique_name") -> DataFrame:
@@ -94,10 +99,14 @@ def dispersion_norm(binned: DataFrame) -> DataFrame:
 
 
 def select_hvg(normed: DataFrame, n_top: int) -> DataFrame:
-    """Genes whose rounded normalised dispersion ranks among the n_top largest; null counts as 0, ties are kept."""
-    value = F.round(F.coalesce("dispersion_norm", F.lit(0.0)), 6)
-    # One row per gene: a window over the gene axis is small; cells never enter it.
-    return normed.withColumn("rank", F.rank().over(Window.partitionBy(F.lit(1)).orderBy(value.desc()))).withColumn("highly_variable", F.col("rank") <= n_top)
+    """Adds highly_variable: a normalised dispersion of at least the n_top-th largest (of all, if there are fewer).
+
+    Values are compared to 6 decimals; nulls don't take part in the cutoff and then count as 0; ties are kept.
+    """
+    value = F.round("dispersion_norm", 6)
+    # The top of the gene axis: a sort with a limit, one number for each gene at most.
+    cutoff = normed.where("dispersion_norm is not null").select(value.alias("v")).orderBy(F.desc("v")).limit(n_top).agg(F.min("v").alias("c")).select("c").scalar()
+    return normed.withColumn("__c", cutoff).withColumn("highly_variable", F.coalesce(F.coalesce(value, F.lit(0.0)) >= F.col("__c"), F.lit(False))).drop("__c")
 
 
 def subset_genes(counts: DataFrame, genes: DataFrame) -> DataFrame:
@@ -162,17 +171,27 @@ def dense_grid(norm: DataFrame, cells: DataFrame, genes: DataFrame) -> DataFrame
     return grid.join(norm, ["cell_id", "gene_id"], "left").withColumn("value", F.coalesce("value", F.lit(0.0)))
 
 
-def regress_out(norm: DataFrame, cells: DataFrame, genes: DataFrame, guard_constant: bool = False) -> DataFrame:
-    """Residuals of each selected gene. guard_constant: a gene with one value in all cells is returned unchanged."""
-    full = dense_grid(norm, cells, genes)
-    fitted = full.join(regression_coefficients(norm, cells), "gene_id", "left")
+def regress_out(norm: DataFrame, cells: DataFrame, genes: DataFrame) -> DataFrame:
+    """Residuals of each selected gene."""
+    fitted = dense_grid(norm, cells, genes).join(regression_coefficients(norm, cells), "gene_id", "left")
     line = F.col("b0") + F.col("b1") * F.col("n_counts") + F.col("b2") * F.col("percent")
-    residual = F.col("value") - F.coalesce(line, F.lit(0.0))
-    if guard_constant:
-        spread = full.groupBy("gene_id").agg((F.max("value") == F.min("value")).alias("constant"))
-        fitted = fitted.join(spread, "gene_id")
-        residual = F.when(F.col("constant"), F.col("value")).otherwise(residual)
-    return fitted.select("cell_id", "gene_id", residual.alias("value"))
+    return fitted.select("cell_id", "gene_id", (F.col("value") - F.coalesce(line, F.lit(0.0))).alias("value"))
+
+
+SEPARATED = 1e-8
+
+
+def regress_out_glm(full: DataFrame, residuals: DataFrame) -> DataFrame:
+    """Response residuals of a Gaussian model, as the model family has them.
+
+    full: the grid that was fitted, residuals: those of least squares, by which such a model is fitted. A gene with one value
+    in all cells is returned unchanged; where the fit meets every value (perfect separation), residuals are 0.
+    """
+    flat = full.groupBy("gene_id").agg((F.max("value") == F.min("value")).alias("constant"))
+    met = residuals.groupBy("gene_id").agg((F.max(F.abs("value")) <= SEPARATED).alias("met"))
+    rules = flat.join(met, "gene_id")
+    joined = full.withColumnRenamed("value", "own").join(residuals, ["cell_id", "gene_id"]).join(rules, "gene_id")
+    return joined.select("cell_id", "gene_id", F.when(F.col("constant"), F.col("own")).when(F.col("met"), 0.0).otherwise(F.col("value")).alias("value"))
 
 
 def regress_out_category(full: DataFrame) -> DataFrame:
@@ -189,39 +208,83 @@ def gene_axis_stats(full: DataFrame) -> DataFrame:
     return full.groupBy("gene_id").agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"))
 
 
+def sparse_axis_stats(norm: DataFrame, n_cells: DataFrame) -> DataFrame:
+    """gene_axis_stats() of the grid of n_cells (one row, column n) and the genes that norm holds, from what is stored."""
+    return gene_dispersion(norm, n_cells).join(norm.groupBy("gene_id").agg(F.sum("value").alias("s")), "gene_id").select("gene_id", F.when(F.col("s") == 0, 0.0).otherwise(F.col("mean")).alias("mean"), F.sqrt(F.greatest("var", F.lit(0.0))).alias("std"))
+
+
 def clip_upper(value: Column, most: float = CLIP) -> Column:
     """Values above the limit become the limit; the lower side is left alone."""
     return F.least(value, F.lit(most))
 
 
-def centre(full: DataFrame) -> DataFrame:
-    return full.join(gene_axis_stats(full), "gene_id").select("cell_id", "gene_id", (F.col("value") - F.col("mean")).alias("value"))
+def centre(full: DataFrame, stats: DataFrame | None = None) -> DataFrame:
+    return full.join(gene_axis_stats(full) if stats is None else stats, "gene_id").select("cell_id", "gene_id", (F.col("value") - F.col("mean")).alias("value"))
 
 
-def scale(full: DataFrame, zero_center: bool = True, most: float | None = CLIP) -> DataFrame:
-    """(value - mean) / std per gene, a std of 0 counting as 1; without centring what is stored stays sparse."""
-    joined = full.join(gene_axis_stats(full), "gene_id")
+def scale(full: DataFrame, zero_center: bool = True, most: float | None = CLIP, stats: DataFrame | None = None) -> DataFrame:
+    """(value - mean) / std per gene, a std of 0 counting as 1; without centring what is stored stays sparse.
+
+    A table with a column `vec` is scaled along each dimension of its vectors instead.
+    """
+    if "vec" in full.columns:
+        return _scaled_vectors(full, zero_center, most)
+    joined = full.join(gene_axis_stats(full) if stats is None else stats, "gene_id")
     std = F.when(F.coalesce("std", F.lit(0.0)) == 0, F.lit(1.0)).otherwise(F.col("std"))
     value = (F.col("value") - (F.col("mean") if zero_center else F.lit(0.0))) / std
     return joined.select("cell_id", "gene_id", (clip_upper(value, most) if most is not None else value).alias("value"))
 
 
+def _scaled_vectors(rows: DataFrame, zero_center: bool, most: float | None) -> DataFrame:
+    dims = rows.select(F.posexplode("vec").alias("d", "x")).groupBy("d").agg(F.avg(F.col("x").cast("double")).alias("m"), F.stddev_samp(F.col("x").cast("double")).alias("s"))
+    axis = dims.agg(F.sort_array(F.collect_list(F.struct("d", "m", "s"))).alias("a")).select("a").scalar()  # one entry a dimension
+
+    def one(x, a):
+        std = F.when(F.coalesce(a["s"], F.lit(0.0)) == 0, F.lit(1.0)).otherwise(a["s"])
+        value = (x.cast("double") - (a["m"] if zero_center else F.lit(0.0))) / std
+        return value if most is None else clip_upper(value, most)
+
+    return rows.withColumn("__a", axis).withColumn("vec", F.zip_with("vec", "__a", one)).drop("__a")
+
+
 def train_prefix(cells: DataFrame, share: float = 0.35) -> DataFrame:
     """The first ceil(share * n) rows by ordinal."""
     n = cells.agg(F.ceil(F.count("*") * F.lit(share)).alias("n")).select("n").scalar()
     return numbered_rows(cells, "ordinal").withColumn("__n", n).where(F.col("row") < F.col("__n")).drop("__n")
 
 
-def numbered_rows(df: DataFrame, by: str, out: str = "row", buckets: int = 64) -> DataFrame:
-    """Adds the row's place (from 0) in the order of a unique number, without bringing all rows to one task.
+def numbered_rows(df: DataFrame, *by: str | Column, out: str = "row", size: str | None = None) -> DataFrame:
+    """Adds each row's place (from 0) in the order of the columns; rows that tie are in any order. size: a column whose sum
+    over all rows before is added too, as `before`.
 
-    Rows are dealt to ranges of the number; a bucket's base is the number of rows in the buckets before it.
+    Rows go to range partitions, whose bounds Spark takes from the data, and are written there in order. What comes before a partition is a sum
+    over the partitions: the only window is over a table of as many rows as partitions.
     """
-    ends = df.agg(F.min(by).alias("lo"), F.max(by).alias("hi")).select(F.struct("lo", "hi").alias("e")).select("e").scalar()
-    dealt = df.withColumn("__e", ends).withColumn("__b", F.floor((F.col(by) - F.col("__e.lo")) * buckets / (F.col("__e.hi") - F.col("__e.lo") + 1)).cast("int")).drop("__e")
-    bases = dealt.groupBy("__b").count().withColumn("__base", F.coalesce(F.sum("count").over(Window.partitionBy(F.lit(1)).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("count")
-    within = F.row_number().over(Window.partitionBy("__b").orderBy(by)) - 1
-    return dealt.withColumn("__w", within).join(bases, "__b").withColumn(out, F.col("__base") + F.col("__w")).drop("__b", "__w", "__base")
+    ordered = df.repartitionByRange(*by).sortWithinPartitions(*by)
+    if size is not None:
+        ordered = _running(ordered, size)
+    kept = kept_table(ordered.withColumn("__p", F.spark_partition_id()).withColumn("__i", F.monotonically_increasing_id()), "numbered")
+    total = F.sum(size) if size is not None else F.lit(0)
+    parts = kept.groupBy("__p").agg(F.count("*").alias("__n"), F.min("__i").alias("__first"), total.alias("__s"))
+    earlier = Window.partitionBy(F.lit(1)).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    bases = parts.select("__p", (F.coalesce(F.sum("__n").over(earlier), F.lit(0)) - F.col("__first")).alias("__base"), F.coalesce(F.sum("__s").over(earlier), F.lit(0)).alias("__sum"))
+    found = kept.join(bases, "__p").withColumn(out, F.col("__base") + F.col("__i"))
+    if size is not None:
+        found = found.withColumn("before", F.col("__sum") + F.col("__run")).drop("__run")
+    return found.drop("__p", "__i", "__base", "__sum")
+
+
+def _running(ordered: DataFrame, size: str) -> DataFrame:
+    """Adds __run, the sum of size over the rows before in the partition."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        so_far = 0
+        for frame in frames:
+            sums = frame[size].astype("int64").cumsum() + so_far
+            yield frame.assign(__run=sums - frame[size].astype("int64"))
+            so_far = int(sums.iloc[-1]) if len(sums) else so_far
+
+    return ordered.mapInPandas(run, f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in ordered.schema)}, __run long")
 
 
 def batch_ranges(rows: DataFrame, batches: int) -> DataFrame:

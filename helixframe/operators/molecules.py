@@ -45,8 +45,9 @@ def constrained_summary(pairs: DataFrame, cutoffs: list[float]) -> DataFrame:
 
 
 def first_of_each(rows: DataFrame, key: str, by: str) -> DataFrame:
-    """One row for each key: the one that comes first."""
-    return rows.withColumn("__n", F.row_number().over(Window.partitionBy(key).orderBy(by))).where("__n = 1").drop("__n")
+    """One row for each key: the one that comes first. A key's rows are reduced before they are shuffled."""
+    first = rows.groupBy(key).agg(F.min_by(F.struct(*rows.columns), by).alias("__first"))
+    return first.select("__first.*")
 
 
 def lerp(pairs: DataFrame, n: int) -> DataFrame:
@@ -80,7 +81,7 @@ def pose_clusters(poses: DataFrame, tolerance: float = 2.0) -> DataFrame:
     def lead(table):
         import numpy as np
 
-        t = table.sort_values(["energy", "x", "y", "z"])
+        t = table.sort_values(["energy", "x", "y", "z"], kind="stable")
         xyz, leaders, out = t[["x", "y", "z"]].to_numpy(), [], []
         for p in xyz:
             near = np.flatnonzero(np.sqrt(((np.array(leaders) - p) ** 2).sum(axis=1)) <= tolerance) if leaders else []
@@ -91,15 +92,36 @@ def pose_clusters(poses: DataFrame, tolerance: float = 2.0) -> DataFrame:
                 out.append(len(leaders) - 1)
         return t.assign(cluster=np.array(out, "int32"))[POSE_CLUSTER.names]
 
-    return poses.select(*POSE_CLUSTER.names[:-1]).distinct().groupBy("ligand").applyInPandas(lead, POSE_CLUSTER)
+    return poses.select(*POSE_CLUSTER.names[:-1]).groupBy("ligand").applyInPandas(lead, POSE_CLUSTER)
 
 
-def contacts(poses: DataFrame, targets: DataFrame, cutoff: Column) -> DataFrame:
-    """Pairs within the cutoff (at most 4) by a grid of cells: a pose looks into the 27 cells around its own.
+#: Receptors of a panel that a ligand meets in one step.
+PANEL = 1024
 
-    Both sides: (id, kind, x, y, z); cutoff is an expression of `kind` of the target.
+
+def screening(ligands: DataFrame, receptors: DataFrame) -> DataFrame:
+    """(ligand, receptor): every ligand against every receptor, as docking asks for.
+
+    Receptors are dealt to panels, which are lists of bounded length; a ligand is sent to each panel and meets its list there.
+    """
+    panels = max(1, -(-receptors.count() // PANEL))
+    number = F.pmod(F.xxhash64("receptor"), F.lit(panels)).cast("int")
+    lists = receptors.groupBy(number.alias("panel")).agg(F.collect_list("receptor").alias("some"))
+    sent = ligands.withColumn("panel", F.explode(F.sequence(F.lit(0), F.lit(panels - 1))))
+    return sent.join(lists, "panel").select("ligand", F.explode("some").alias("receptor"))
+
+
+#: The cutoffs of the kinds of target atoms.
+CONTACT_CUTOFFS = {"R": 2.1, "H": 3.7, "V": 4.0}
+
+
+def contacts(poses: DataFrame, targets: DataFrame, cutoffs: dict[str, float] = CONTACT_CUTOFFS) -> DataFrame:
+    """Pairs within the cutoff of the target's kind, by a grid of cells as wide as the largest one: a pose looks into the 27 around its own.
+
+    Both sides: (id, kind, x, y, z). Targets of other kinds have no contacts.
     """
-    size = 4.0
+    size = max(cutoffs.values())
+    cutoff = F.try_element_at(F.create_map(*[F.lit(x) for kv in cutoffs.items() for x in kv]), F.col("kind"))
     cell = [F.floor(F.col(c) / size).alias(f"c{c}") for c in "xyz"]
     placed = targets.select(F.col("id").alias("target"), F.col("kind"), *[F.col(c).alias(f"t{c}") for c in "xyz"], *cell)
     around = F.array(F.lit(-1), F.lit(0), F.lit(1))

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, BucketedRandomProjectionLSH
@@ -13,8 +13,10 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows of a block of queries, which is what a task holds besides its own rows.
-BLOCK = 4096
+from helixframe.operators.scratch import kept_table
+
+#: Rows of a block; a task of pairs of rows holds two blocks. Blocks whose pairs all go on are smaller.
+BLOCK, DENSE_BLOCK = 4096, 1024
 
 
 def centred(vectors: DataFrame, train: DataFrame) -> DataFrame:
@@ -35,7 +37,7 @@ def pca_project(model, vectors: DataFrame) -> DataFrame:
 def kmeans(vectors: DataFrame, k: int, seed: int = 0, column: str = "vec") -> DataFrame:
     """Adds cluster, as text, from Spark's k-means."""
     ready = vectors.withColumn("features", array_to_vector(F.transform(column, lambda x: x.cast("double"))))
-    model = KMeans(k=k, seed=seed).fit(ready)
+    model = KMeans(k=k, seed=seed, maxIter=300, tol=1e-9).fit(ready)
     return model.transform(ready).withColumn("cluster", F.col("prediction").cast("string")).drop("features", "prediction")
 
 
@@ -60,44 +62,86 @@ def assign(vectors: DataFrame, centroids: DataFrame) -> DataFrame:
 def lloyd(vectors: DataFrame, k: int, rounds: int) -> DataFrame:
     """Adds cluster by a fixed number of Lloyd rounds from the first k ids: the same result on any engine."""
     centres = vectors.where(F.col("id") < k).select(F.col("id").cast("int").alias("c"), F.transform("vec", lambda x: x.cast("double")).alias("centre"))
-    for _ in range(rounds):
+    for _ in range(rounds):  # a round's k centres end its lineage
         dims = assign(vectors, centres).select("cluster", F.posexplode("vec").alias("d", "x")).groupBy("cluster", "d").agg(F.avg(F.col("x").cast("double")).alias("m"))
-        centres = dims.groupBy(F.col("cluster").alias("c")).agg(F.transform(F.sort_array(F.collect_list(F.struct("d", "m"))), lambda p: p["m"]).alias("centre")).persist()
+        centres = dims.groupBy(F.col("cluster").alias("c")).agg(F.transform(F.sort_array(F.collect_list(F.struct("d", "m"))), lambda p: p["m"]).alias("centre"))
+        centres = kept_table(centres, "centres")
     return assign(vectors, centres)
 
 
+def block_pairs(vectors: DataFrame, f: Callable, schema: str, block: int) -> DataFrame:
+    """What f(ids, rows, other ids, other rows) gives, as columns, for each pair of blocks of rows (id, vec), ids in order.
+
+    Blocks meet on executors: each row is sent to as many pairs as there are blocks, and a task holds two blocks, whatever
+    the table's size.
+    """
+    n = max(1, -(-vectors.count() // block))
+    rows = vectors.select("id", F.transform("vec", lambda x: x.cast("double")).alias("vec"), F.pmod(F.xxhash64("id"), F.lit(n)).alias("mine"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("other")
+    left = rows.select(F.col("mine").cast("int").alias("a"), every, "id", "vec").withColumnRenamed("other", "b")
+    right = rows.select(F.col("mine").cast("int").alias("b"), every, F.col("id").alias("of"), F.col("vec").alias("row")).withColumnRenamed("other", "a")
+
+    fields = pa.schema([(n, pa.int64() if t == "long" else pa.float64()) for n, t in (c.split() for c in schema.split(","))])
+
+    def side(table: pa.Table, id_col: str, vec_col: str) -> tuple[np.ndarray, np.ndarray]:
+        ids = table.column(id_col).to_numpy()
+        order = np.argsort(ids, kind="stable")
+        return ids[order], table.column(vec_col).combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)[order]
+
+    def meet(a: pa.Table, b: pa.Table) -> pa.Table:
+        columns = f(*side(a, "id", "vec"), *side(b, "of", "row")) if a.num_rows and b.num_rows else [[]] * len(fields)
+        return pa.table([pa.array(c, t.type) for c, t in zip(columns, fields)], schema=fields)
+
+    return left.groupBy("a", "b").cogroup(right.groupBy("a", "b")).applyInArrow(meet, schema)
+
+
 def knn(vectors: DataFrame, k: int) -> DataFrame:
     """(src, dst, d, rank) of the k nearest rows by Euclidean distance, the row itself first; ties by id.
 
-    Queries go in blocks to all rows: a task scores its rows against one block with numpy and reports k a query, which are
-    merged by a window. What is sent grows with queries x tasks, never with pairs.
+    A pair of blocks reports k rows a query, which a window merges: what is sent grows with queries x blocks, never with pairs.
     """
-    n_blocks = max(1, -(-vectors.count() // BLOCK))
-    blocked = vectors.select("id", "vec", F.pmod(F.xxhash64("id"), F.lit(n_blocks)).alias("block"))
-    found = None
-    for block in range(n_blocks):
-        part = blocked.where(F.col("block") == block).select("id", "vec").toPandas()
-        if part.empty:
-            continue
-        ids, queries = part["id"].to_numpy(), np.stack(part["vec"]).astype(np.float64)
-
-        def best(frames: Iterator[pd.DataFrame], ids=ids, queries=queries) -> Iterator[pd.DataFrame]:
-            for frame in frames:
-                rows, own = np.stack(frame["vec"]).astype(np.float64), frame["id"].to_numpy()
-                for at in range(0, len(own), 1024):
-                    some, names = rows[at : at + 1024], own[at : at + 1024]
-                    square = np.round(np.maximum(((queries[:, None, :] - some[None, :, :]) ** 2).sum(axis=2) if len(queries) * len(some) < 1 << 16 else (queries**2).sum(axis=1)[:, None] + (some**2).sum(axis=1)[None, :] - 2 * queries @ some.T, 0), 12)
-                    square[ids[:, None] == names[None, :]] = 0.0
-                    top = np.lexsort((np.broadcast_to(names, square.shape), square))[:, :k]
-                    q = np.repeat(np.arange(len(ids)), top.shape[1])
-                    yield pd.DataFrame({"src": ids[q], "dst": names[top.ravel()], "d2": square[q, top.ravel()]})
-
-        piece = vectors.select("id", "vec").mapInPandas(best, "src long, dst long, d2 double")
-        found = piece if found is None else found.unionByName(piece)
-    rank = F.row_number().over(Window.partitionBy("src").orderBy((F.col("src") != F.col("dst")).cast("int"), F.round("d2", 9), "dst"))
+
+    def best(ids, queries, names, rows):
+        out = []
+        for at in range(0, len(ids), 512):
+            own, some = ids[at : at + 512], queries[at : at + 512]
+            square = np.round(np.maximum((some**2).sum(axis=1)[:, None] + (rows**2).sum(axis=1)[None, :] - 2 * some @ rows.T, 0), 9)
+            square[own[:, None] == names[None, :]] = -1.0  # first, whatever else lies at distance 0
+            if k < len(names):
+                # The k smallest; of those that tie at the kth, the first ones by id.
+                kth = np.partition(square, k - 1, axis=1)[:, k - 1 : k]
+                below, tied = square < kth, square == kth
+                q, r = np.nonzero(below | (tied & (np.cumsum(tied, axis=1) <= k - below.sum(axis=1)[:, None])))
+            else:
+                q, r = np.divmod(np.arange(square.size), len(names))
+            out.append((own[q], names[r], np.maximum(square[q, r], 0.0)))
+        return [np.concatenate(c) for c in zip(*out)]
+
+    found = block_pairs(vectors, best, "src long, dst long, d2 double", BLOCK)
+    rank = F.row_number().over(Window.partitionBy("src").orderBy((F.col("src") != F.col("dst")).cast("int"), "d2", "dst"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("src", "dst", F.sqrt("d2").alias("d"), "rank")
 
 
+def gauss_kernel_dense(vectors: DataFrame, k: int, least: float = 1e-14) -> DataFrame:
+    """(src, dst, w) of all pairs of rows with w above `least`; a row's scale is a quarter of its k-th squared distance.
+
+    The result is quadratic by its definition; pairs are made block by block.
+    """
+    scale = knn(vectors, k + 1).where(F.col("rank") == k + 1).select(F.col("src").alias("id"), (F.round(F.col("d") * F.col("d"), 9) / 4).alias("s"))
+    scaled = vectors.select("id", "vec").join(scale, "id").select("id", F.concat(F.transform("vec", lambda x: x.cast("double")), F.array("s")).alias("vec"))
+
+    def kernel(ids, a, names, b):
+        square = np.zeros((len(ids), len(names)))
+        for d in range(a.shape[1] - 1):
+            square += (a[:, d, None] - b[None, :, d]) ** 2
+        si, sj = a[:, -1, None], b[None, :, -1]
+        w = np.sqrt(2 * np.sqrt(si * sj) / (si + sj)) * np.exp(-np.round(square, 9) / (si + sj))
+        q, r = np.nonzero((w > least) & (ids[:, None] != names[None, :]))
+        return ids[q], names[r], w[q, r]
+
+    return block_pairs(scaled, kernel, "src long, dst long, w double", DENSE_BLOCK)
+
+
 def knn_approx(vectors: DataFrame, k: int, bucket: float = 2.0, tables: int = 4, radius: float = 2.0) -> DataFrame:
     """(src, dst, d, rank) from random-projection buckets; what no bucket shares is missed, see the recall test."""
     ready = vectors.select("id", array_to_vector(F.transform("vec", lambda x: x.cast("double"))).alias("features"))
@@ -214,6 +258,11 @@ def symmetrise_missing(edges: DataFrame) -> DataFrame:
     return edges.unionByName(back.join(edges.select("src", "dst"), ["src", "dst"], "left_anti"))
 
 
+def perplexity_neighbours(n: int, perplexity: float) -> int:
+    """How many neighbours, the row itself not counted, affinities of a perplexity are taken over."""
+    return min(n - 1, int(3 * perplexity + 1))
+
+
 def perplexity_affinities(neighbours: DataFrame, perplexity: float, steps: int = 100, tolerance: float = 1e-5) -> DataFrame:
     """(src, dst, p): conditional probabilities whose entropy is ln(perplexity), beta by bisection on a row's short array."""
     lists = neighbours.where("src <> dst").groupBy("src").agg(F.sort_array(F.collect_list(F.struct((F.col("d") * F.col("d")).alias("d2"), "dst"))).alias("n"))

@@ -14,12 +14,13 @@ from helixframe.streaming import routes
 
 
 @query("scalar_functions", """SELECT seq_id, CAST(floor((length + 500) / 1000) * 1000 AS BIGINT) AS rounded, lpad(CAST(seq_id AS STRING), 5, '0') AS padded, substr(seq, 1, 16) AS barcode, substr(seq, 17, 10) AS umi,
-reverse(translate(seq, 'ACGT', 'TGCA')) AS rc, repeat('_', CAST(length % 7 AS INT)) AS mask, round(ln(1 + length), 6) AS l1p, CAST(len(string_split(concat(substr(seq, 1, 4), '/', substr(seq, 5, 4)), '/')) AS INT) AS chains FROM sequences""")
+reverse(translate(seq, 'ACGT', 'TGCA')) AS rc, repeat('_', CAST(length % 7 AS INT)) AS mask, round(ln(1 + length), 6) AS l1p, CAST(len(string_split(concat(substr(seq, 1, 4), '/', substr(seq, 5, 4)), '/')) AS INT) AS chains, CASE WHEN seq_id % 3 = 0 THEN 0.0 ELSE sqrt(length) END AS finite FROM sequences""")
 def q_scalars(v):
     barcode, umi = sc.read_structure(F.col("seq"), "16C10M")
     return v.sequences.select(
         "seq_id", sc.bin_round(F.col("length"), 1000).alias("rounded"), sc.zero_padded(F.col("seq_id")).alias("padded"), barcode.alias("barcode"), umi.alias("umi"), reverse_complement(F.col("seq")).alias("rc"),
         sc.mask_run((F.col("length") % 7).cast("int")).alias("mask"), F.round(F.log1p("length"), 6).alias("l1p"), F.size(sc.split_chains(F.concat(F.substring("seq", 1, 4), F.lit("/"), F.substring("seq", 5, 4)))).alias("chains"),
+        sc.nan_to_num(F.when(F.col("seq_id") % 3 == 0, F.lit(float("nan"))).otherwise(F.sqrt("length"))).alias("finite"),
     )
 
 
@@ -31,14 +32,16 @@ def q_ranges(v):
 
 @query("user_metric", "SELECT a.id AS src, round(list_sum(list_transform(list_zip(a.vec, b.vec), lambda p: abs(CAST(p[1] AS DOUBLE) - CAST(p[2] AS DOUBLE)))), 6) AS d FROM vectors a JOIN vectors b ON b.id = a.id + 1")
 def q_user_metric(v):
-    manhattan = udfs.vector_metric(lambda a, b: np.abs(a - b).sum())
+    manhattan = udfs.vector_metric(lambda a, b: np.abs(a - b).sum(axis=1))
     pairs = v.vectors.select(F.col("id").alias("src"), F.col("vec").alias("a"), (F.col("id") + 1).alias("dst")).join(v.vectors.select(F.col("id").alias("dst"), F.col("vec").alias("b")), "dst")
     return pairs.select("src", F.round(manhattan("a", "b"), 6).alias("d"))
 
 
-@query("batch_model_scoring")
+@query("batch_model_scoring", """WITH k AS (SELECT seq_id, seq, unnest(range(0, greatest(0, length - 2))) AS a FROM sequences),
+b AS (SELECT seq_id, (ascii(substr(seq, a + 1, 1)) * 961 + ascii(substr(seq, a + 2, 1)) * 31 + ascii(substr(seq, a + 3, 1))) % 97 AS b FROM k)
+SELECT s.seq_id, round(coalesce(avg(b), 0), 6) AS score FROM sequences s LEFT JOIN b USING (seq_id) GROUP BY s.seq_id""")
 def q_model(v):
-    return udfs.score_in_batches(v.sequences, udfs.kmer_hash_scorer())
+    return udfs.score_in_batches(v.sequences, udfs.kmer_hash_scorer()).withColumn("score", F.round("score", 6))
 
 
 KEYED = f"WITH {genome.PLACED}"

@@ -28,7 +28,7 @@ def starts(v, primary=None, keep=True):
 
 
 def bins(v):
-    return g.range_bins(starts(v).persist()).persist()
+    return v.kept("bins", lambda: g.range_bins(v.kept("starts", lambda: starts(v))))
 
 
 def binned(v):
@@ -74,14 +74,19 @@ def q_barcode_lines(v):
 
 @query("read_list_check", "SELECT mate, count(*) AS n, count(*) % 8 AS remainder FROM reads GROUP BY mate")
 def q_read_list(v):
-    return v.reads.groupBy("mate").agg(F.count("*").alias("n")).withColumn("remainder", F.col("n") % 8)
+    lists = [src.write_text(v.reads.where(F.col("mate") == m).select(F.concat(F.lit("sample_"), "sample", F.lit("_"), "ordinal", F.lit(f"_R{m}.fastq.gz"))), f"list{m}") for m in (1, 2)]
+    return src.check_read_lists(*[src.read_lines(v.spark, p) for p in lists], 8).select(F.col("list").alias("mate"), "n", "remainder")
 
 
 @query("shard_manifest_check", "SELECT i AS sample, m AS mate FROM range((SELECT max(sample) + 1 FROM reads)) r(i), (VALUES (1), (2)) x(m) WHERE NOT EXISTS (SELECT 1 FROM reads WHERE sample = i AND mate = m)")
 def q_manifest(v):
+    named = lambda sample, mate: F.concat(F.lit("shard_"), sample, F.lit("_R"), mate)
+    path = src.scratch_path(v.spark, "shards")
+    v.reads.select(named("sample", "mate").alias("shard"), "seq").repartition("shard").write.partitionBy("shard").text(path)
     last = v.reads.agg(F.max("sample").alias("m")).first()["m"]
     wanted = v.spark.range(last + 1).select(F.col("id").alias("sample"), F.explode(F.array(F.lit(1), F.lit(2))).alias("mate"))
-    return wanted.join(v.reads.select("sample", "mate"), ["sample", "mate"], "left_anti")
+    expected = wanted.withColumn("name", F.concat(F.lit("shard="), named("sample", "mate")))
+    return src.missing_shards(v.spark, expected, src.list_files(v.spark, path)).select("sample", "mate")
 
 
 @query("contig_cumulative_start", f"WITH {STARTS} SELECT ord, contig, length, start_at AS start FROM all_starts")
@@ -120,45 +125,53 @@ def q_rg(v):
     return v.alignments.select("name", F.lit("RG1").alias("rg"), F.lit("RGSN1").alias("rg_sample"))
 
 
-@query("coordinate_sort", f"WITH {PLACED} SELECT name, key, row_number() OVER (ORDER BY key, name) - 1 AS place FROM (SELECT DISTINCT name, key FROM placed) p")
+@query("coordinate_sort", f"WITH {PLACED} SELECT name, key, row_number() OVER (ORDER BY key, name) - 1 AS place FROM placed")
 def q_sort(v):
-    rows = g.global_positions(v.alignments, starts(v)).select("name", "key").distinct()
-    ordered = g.coordinate_sort(rows).withColumn("pid", F.spark_partition_id()).withColumn("mid", F.monotonically_increasing_id())
-    # A partition's rows keep their order, partitions are in the order of their ranges: ids in that order number the sorted rows.
-    return numbered_rows(ordered, "mid", "place").select("name", "key", F.col("place").cast("long").alias("place"))
+    rows = g.global_positions(v.alignments, starts(v)).select("name", "key")
+    return numbered_rows(rows, F.col("key").asc_nulls_last(), F.col("name").asc(), out="place")
 
 
-@query("sorted_shard_export", f"WITH {PLACED} SELECT bin, name, key FROM binned")
+def sorted_shards(v) -> str:
+    rows = binned(v).select(F.col("bin").alias("shard"), "key", "name", F.concat_ws("\t", "name", "key").alias("line"))
+    return src.write_shards(rows, ["key", "name"], "shards")
+
+
+def shard_rows(lines, *columns):
+    f = F.split("line", "\t")
+    return lines.select(*columns, f[0].alias("name"), f[1].cast("long").alias("key"))
+
+
+@query("sorted_shard_export", f"WITH {PLACED} SELECT bin, row_number() OVER (PARTITION BY bin ORDER BY key, name) - 1 AS place, name, key FROM binned")
 def q_shard_export(v):
-    path = f"{src.shared_folder(v.spark)}/shards-{src.uuid.uuid4().hex}"
-    g.coordinate_sort(binned(v).select("name", "key", "bin")).write.partitionBy("bin").parquet(path)
-    return v.spark.read.parquet(path).select(F.col("bin").cast("int").alias("bin"), "name", "key")
+    lines = src.ordered_lines(v.spark, sorted_shards(v))
+    first = lines.groupBy("shard").agg(F.min("place").alias("first"))
+    return shard_rows(lines.join(first, "shard"), F.col("shard").alias("bin"), (F.col("place") - F.col("first")).alias("place"))
 
 
-@query("sorted_shard_concat", f"WITH {PLACED} SELECT bin, min(key) AS first_key, max(key) AS last_key, count(*) AS n FROM binned GROUP BY bin")
+@query("sorted_shard_concat", f"WITH {PLACED} SELECT row_number() OVER (ORDER BY bin, key, name) - 1 AS place, name, key FROM binned")
 def q_shard_concat(v):
-    path = f"{src.shared_folder(v.spark)}/shards-{src.uuid.uuid4().hex}"
-    g.coordinate_sort(binned(v).select("name", "key", "bin")).write.partitionBy("bin").parquet(path)
-    return v.spark.read.parquet(path).groupBy(F.col("bin").cast("int").alias("bin")).agg(F.min("key").alias("first_key"), F.max("key").alias("last_key"), F.count("*").alias("n"))
+    return shard_rows(src.ordered_lines(v.spark, src.concat_shards(v.spark, sorted_shards(v), "concat")), "place")
 
 
-@query("flat_export")
+@query("flat_export", "SELECT name, contig, pos FROM alignments")
 def q_flat(v):
-    path = f"{src.shared_folder(v.spark)}/flat-{src.uuid.uuid4().hex}"
+    path = src.scratch_path(v.spark, "flat")
     v.alignments.withColumn("worker", F.spark_partition_id()).write.partitionBy("worker").parquet(path)
-    return v.spark.read.parquet(path).select("name", "contig", "pos", F.col("worker").cast("int").alias("worker"))
+    return v.spark.read.parquet(path).select("name", "contig", "pos")
 
 
 VARIANTS = """variants AS (SELECT bin AS shard, contig, pos, min(base) AS ref, max(base) AS alt FROM binned WHERE contig <> '*' GROUP BY bin, contig, pos)"""
 
 
-@query("vcf_shard_concat", f"WITH {PLACED}, {VARIANTS} SELECT shard, contig, pos, ref, alt FROM variants")
+VCF_HEADER = "#CONTIG\tPOS\tREF\tALT"
+
+
+@query("vcf_shard_concat", f"""WITH {PLACED}, {VARIANTS} SELECT 0 AS place, '{VCF_HEADER}' AS line
+UNION ALL SELECT row_number() OVER (ORDER BY shard, contig, pos), concat(contig, chr(9), pos, chr(9), ref, chr(9), alt) FROM variants""")
 def q_vcf(v):
     rows = binned(v).where("contig <> '*'").groupBy(F.col("bin").alias("shard"), "contig", "pos").agg(F.min("base").alias("ref"), F.max("base").alias("alt"))
-    path = src.write_text(rows.select(F.concat_ws("\t", F.lpad("shard", 5, "0"), "contig", "pos", "ref", "alt")), "variants")
-    f = F.split("line", "\t")
-    body = src.read_lines(v.spark, path).where(~F.col("line").startswith("#"))
-    return body.select(f[0].cast("int").alias("shard"), f[1].alias("contig"), f[2].cast("long").alias("pos"), f[3].alias("ref"), f[4].alias("alt")).orderBy("shard", "contig", "pos")
+    path = src.write_shards(rows.withColumn("line", F.concat_ws("\t", "contig", "pos", "ref", "alt")), ["contig", "pos"], "variants", VCF_HEADER)
+    return src.ordered_lines(v.spark, src.concat_shards(v.spark, path, "vcf", "#")).select("place", "line")
 
 
 @query("mate_pair_join", "SELECT a.sample, a.ordinal, a.seq AS seq1, b.seq AS seq2 FROM (SELECT * FROM reads WHERE mate = 1) a JOIN (SELECT * FROM reads WHERE mate = 2) b ON a.sample = b.sample AND a.ordinal = b.ordinal")
@@ -173,19 +186,23 @@ def q_barcodes(v):
     return g.barcode_orientation(v.reads.where("mate = 1").select(F.substring("seq", 1, 4).alias("barcode")), v.reads.where("mate = 2").select(F.substring("seq", 1, 4).alias("barcode")))
 
 
-@query("kmer_seed_join", """WITH r AS (SELECT sample * 1000 + ordinal AS id, seq FROM reads WHERE mate = 1), c AS (SELECT sample * 1000 + ordinal AS id, seq FROM reads WHERE mate = 2),
-rk AS (SELECT id, a, substr(seq, CAST(a + 1 AS BIGINT), 6) AS k FROM r, range(0, 200) t(a) WHERE a <= length(seq) - 6), ck AS (SELECT id, a, substr(seq, CAST(a + 1 AS BIGINT), 6) AS k FROM c, range(0, 200) t(a) WHERE a <= length(seq) - 6),
-votes AS (SELECT rk.id AS read, ck.id AS contig, CAST(ck.a - rk.a AS INT) AS diagonal, count(*) AS votes FROM rk JOIN ck USING (k) GROUP BY 1, 2, 3)
+SEED = 15
+
+
+@query("kmer_seed_join", f"""WITH k AS (SELECT sample * 1000 + ordinal AS id, mate, seq, unnest(range(0, greatest(0, length(seq) - {SEED - 1}))) AS a FROM reads), s AS (SELECT id, mate, a, substr(seq, a + 1, {SEED}) AS k FROM k),
+votes AS (SELECT r.id AS read, c.id AS contig, CAST(c.a - r.a AS INT) AS diagonal, count(*) AS votes FROM s r JOIN s c ON r.k = c.k AND r.mate = 1 AND c.mate = 2 GROUP BY 1, 2, 3)
 SELECT read, contig, diagonal, votes FROM (SELECT *, row_number() OVER (PARTITION BY read ORDER BY votes DESC, contig, diagonal) AS n FROM votes) v WHERE n = 1""")
 def q_seeds(v):
     ids = v.reads.withColumn("id", F.col("sample") * 1000 + F.col("ordinal"))
-    return g.seed_votes(g.kmers(ids.where("mate = 1"), "id", "seq", 6), g.kmers(ids.where("mate = 2"), "id", "seq", 6))
+    return g.seed_votes(g.kmers(ids.where("mate = 1"), "id", "seq", SEED), g.kmers(ids.where("mate = 2"), "id", "seq", SEED))
 
 
-@query("pileup_counts", """WITH c AS (SELECT contig, pos, base, count(*) AS n FROM alignments WHERE contig <> '*' GROUP BY 1, 2, 3)
-SELECT contig, pos, CAST(sum(n) AS BIGINT) AS depth, CAST(sum(n) - max(n) AS BIGINT) AS n_alt, round((sum(n) - max(n)) / sum(n), 6) AS alt_fraction FROM c GROUP BY 1, 2""")
+@query("pileup_counts", f"""WITH {BINS}, pieces AS (SELECT bin, contig, greatest(0, start_pos - s0) AS lo, least(length, end_pos - s0) AS hi FROM gbins JOIN starts ON s0 < end_pos AND s0 + length > start_pos),
+x AS (SELECT contig, pos + i AS pos, substr(seq, CAST(i + 1 AS BIGINT), 1) AS base FROM alignments, range(3) t(i) WHERE contig <> '*'), c AS (SELECT contig, pos, base, count(*) AS n FROM x GROUP BY 1, 2, 3)
+SELECT bin, c.contig, pos, CAST(sum(n) AS BIGINT) AS depth, CAST(sum(n) - max(n) AS BIGINT) AS n_alt, round((sum(n) - max(n)) / sum(n), 6) AS alt_fraction, string_agg(concat(base, ':', n), ',' ORDER BY base) AS alleles
+FROM c JOIN pieces p ON p.contig = c.contig AND pos >= lo AND pos < hi GROUP BY 1, 2, 3""")
 def q_pileup(v):
-    return g.pileup(v.alignments).withColumn("alt_fraction", F.round("alt_fraction", 6))
+    return g.pileup(v.alignments, g.bin_pieces(bins(v), starts(v))).withColumn("alt_fraction", F.round("alt_fraction", 6))
 
 
 @query("size_split", "SELECT seq_id, CAST(floor(coalesce(sum(length) OVER (ORDER BY seq_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / 5000) AS BIGINT) AS file FROM sequences")

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from helixframe.functions import udfs
 from helixframe.operators import matrix as m
 from helixframe.plans.views import Views, query
+from helixframe.sources import text as src
 
 MIN_GENES, MAX_GENES, MIN_CELLS, N_TOP = 20, 60, 25, 200
 MARKERS = ["mt-spring green part", "no such gene"]
@@ -29,62 +31,62 @@ medians AS (SELECT bin, median(dispersion) AS med FROM binned GROUP BY bin),
 mads AS (SELECT b.bin, any_value(med) AS med, median(abs(dispersion - med)) / 0.6744897501960817 AS mad FROM binned b JOIN medians USING (bin) GROUP BY b.bin),
 normed AS (SELECT b.*, med, mad, CASE WHEN mad = 0 THEN CASE WHEN dispersion > med THEN CAST('inf' AS DOUBLE) WHEN dispersion < med THEN CAST('-inf' AS DOUBLE) END ELSE (dispersion - med) / mad END AS dispersion_norm FROM binned b JOIN mads USING (bin))"""
 HVG = BINS + f""",
-ranked AS (SELECT *, rank() OVER (ORDER BY round(coalesce(dispersion_norm, 0), 6) DESC) AS rnk FROM normed),
-hvg AS (SELECT gene_id FROM ranked WHERE rnk <= {N_TOP})"""
+cutoff AS (SELECT min(v) AS least FROM (SELECT round(dispersion_norm, 6) AS v FROM normed WHERE dispersion_norm IS NOT NULL ORDER BY v DESC LIMIT {N_TOP}) t),
+hvg AS (SELECT gene_id FROM normed, cutoff WHERE coalesce(round(dispersion_norm, 6), 0) >= least)"""
 GRID = HVG + """,
 hnorm AS (SELECT * FROM norm WHERE gene_id IN (SELECT gene_id FROM hvg)),
 percell AS (SELECT cell_id, sum(value) AS n_counts, sum(CASE WHEN starts_with(gene_name, 'mt-') THEN value ELSE 0 END) / nullif(sum(value), 0) AS percent FROM hnorm JOIN genes USING (gene_id) GROUP BY cell_id HAVING sum(value) > 0),
-few AS (SELECT gene_id FROM hvg ORDER BY gene_id LIMIT 20),
-grid AS (SELECT p.cell_id, f.gene_id, p.n_counts, p.percent, coalesce(h.value, 0) AS value FROM percell p CROSS JOIN few f LEFT JOIN hnorm h ON h.cell_id = p.cell_id AND h.gene_id = f.gene_id)"""
+grid AS (SELECT p.cell_id, f.gene_id, p.n_counts, p.percent, coalesce(h.value, 0) AS value FROM percell p CROSS JOIN hvg f LEFT JOIN hnorm h ON h.cell_id = p.cell_id AND h.gene_id = f.gene_id)"""
+
+
+def counts(v: Views) -> DataFrame:
+    # A join and an aggregate that several later steps read.
+    return v.kept("counts", lambda: v.counts)
 
 
 def kept_cells(v: Views) -> DataFrame:
-    # Counts are a join and an aggregate, and every later step reads them more than once: they are kept, on disk where memory ends.
-    return m.filter_cells(v.counts.persist(), MIN_GENES, MAX_GENES)
+    return m.filter_cells(counts(v), MIN_GENES, MAX_GENES)
 
 
 def filtered(v: Views) -> DataFrame:
-    return m.filter_genes(kept_cells(v), MIN_CELLS).persist()
+    return m.filter_genes(kept_cells(v), MIN_CELLS)
 
 
 def n_cells(v: Views) -> DataFrame:
-    return kept_cells(v).agg(F.count_distinct("cell_id").alias("n"))
+    return m.genes_per_cell(counts(v)).where(F.col("n_genes").between(MIN_GENES, MAX_GENES)).agg(F.count("*").alias("n"))
 
 
 def norm(v: Views) -> DataFrame:
-    return m.normalise_log1p(filtered(v))
+    return v.kept("norm", lambda: m.normalise_log1p(filtered(v)))
 
 
 def stats(v: Views) -> DataFrame:
-    # Gene statistics feed several later steps: the small table is kept.
-    return m.gene_dispersion(norm(v), n_cells(v)).persist()
+    return v.kept("stats", lambda: m.gene_dispersion(norm(v), n_cells(v)))
 
 
 def binned(v: Views) -> DataFrame:
-    s = stats(v)
-    return m.with_mean_bin(s, m.mean_bin_edges(s)).persist()
+    return v.kept("binned", lambda: m.with_mean_bin(stats(v), m.mean_bin_edges(stats(v))))
 
 
 def hvg(v: Views) -> DataFrame:
-    return m.select_hvg(m.dispersion_norm(binned(v)), N_TOP).where("highly_variable").select("gene_id").persist()
+    return v.kept("hvg", lambda: m.select_hvg(m.dispersion_norm(binned(v)), N_TOP).where("highly_variable").select("gene_id"))
 
 
-def hvg_norm(v: Views, genes: DataFrame | None = None) -> DataFrame:
-    return m.subset_genes(norm(v), hvg(v) if genes is None else genes).persist()
+def hvg_norm(v: Views) -> DataFrame:
+    return v.kept("hvg-norm", lambda: m.subset_genes(norm(v), hvg(v)))
 
 
-def per_cell(v: Views, hnorm: DataFrame) -> DataFrame:
-    return m.percent_prefix(hnorm, v.genes).where("n_counts > 0")
+def per_cell(v: Views) -> DataFrame:
+    return v.kept("per-cell", lambda: m.percent_prefix(hvg_norm(v), v.genes).where("n_counts > 0"))
 
 
-def few(genes: DataFrame) -> DataFrame:
-    return genes.orderBy("gene_id").limit(20)
+def grid(v: Views) -> DataFrame:
+    return m.dense_grid(hvg_norm(v), per_cell(v), hvg(v))
 
 
-def grid(v: Views) -> DataFrame:
-    genes = hvg(v)
-    h = hvg_norm(v, genes)
-    return m.dense_grid(h, per_cell(v, h), few(genes)).persist()
+def grid_stats(v: Views) -> DataFrame:
+    """Means and deviations of the grid's genes from the stored values: cells without any of these genes aren't in the grid."""
+    return m.sparse_axis_stats(hvg_norm(v).join(per_cell(v).select("cell_id"), "cell_id", "left_semi"), per_cell(v).agg(F.count("*").alias("n")))
 
 
 def rounded(df: DataFrame, *columns: str) -> DataFrame:
@@ -203,14 +205,13 @@ def q_hvg(v):
 
 @query("percent_prefix", f"WITH {GRID} SELECT cell_id, round(n_counts, 6) AS n_counts, round(percent, 6) AS percent FROM percell")
 def q_percent(v):
-    return rounded(per_cell(v, hvg_norm(v)), "n_counts", "percent")
+    return rounded(per_cell(v), "n_counts", "percent")
 
 
 @query("gram_matrix", f"""WITH {GRID} SELECT gene_id, (SELECT CAST(count(*) AS DOUBLE) FROM percell) AS n, round((SELECT sum(n_counts * percent) FROM percell), 4) AS xy,
   round(sum(value), 4) AS t, round(sum(value * n_counts), 4) AS tx, round(sum(value * percent), 4) AS ty FROM hnorm JOIN percell USING (cell_id) GROUP BY gene_id""")
 def q_gram(v):
-    h = hvg_norm(v)
-    cells = per_cell(v, h)
+    h, cells = hvg_norm(v), per_cell(v)
     both = m.gram_with_genes(h, cells).crossJoin(m.gram(cells).select("n", "xy"))  # one row
     return both.select("gene_id", "n", *[F.round(c, 4).alias(c) for c in ("xy", "t", "tx", "ty")])
 
@@ -224,20 +225,28 @@ fit AS (SELECT gene_id, (t*(xx*yy-xy*xy) - x*(tx*yy-xy*ty) + y*(tx*xy-xx*ty)) /
 resid AS (SELECT cell_id, gene_id, value - coalesce(b0 + b1 * n_counts + b2 * percent, 0) AS value FROM grid JOIN fit USING (gene_id))"""
 
 
-def regressed(v, guard=False):
-    genes = hvg(v)
-    h = hvg_norm(v, genes)
-    return m.regress_out(h, per_cell(v, h), few(genes), guard)
+def regressed(v):
+    return m.regress_out(hvg_norm(v), per_cell(v), hvg(v))
+
+
+def r4(df):
+    return df.withColumn("value", F.round("value", 4) + F.lit(0.0))
 
 
 @query("regress_out", f"WITH {OLS} SELECT cell_id, gene_id, round(value, 4) AS value FROM resid")
 def q_regress(v):
-    return regressed(v).withColumn("value", F.round("value", 4) + F.lit(0.0))
+    return r4(regressed(v))
 
 
-@query("regress_out_glm", f"WITH {OLS}, flat AS (SELECT gene_id FROM grid GROUP BY gene_id HAVING max(value) = min(value)) SELECT r.cell_id, r.gene_id, round(CASE WHEN f.gene_id IS NULL THEN r.value ELSE g.value END, 4) AS value FROM resid r JOIN grid g ON r.cell_id = g.cell_id AND r.gene_id = g.gene_id LEFT JOIN flat f ON f.gene_id = r.gene_id")
+@query("regress_out_glm", f"""WITH {OLS}, rules AS (SELECT g.gene_id, max(g.value) = min(g.value) AS flat, max(abs(r.value)) <= 1e-8 AS met FROM grid g JOIN resid r ON r.cell_id = g.cell_id AND r.gene_id = g.gene_id GROUP BY g.gene_id)
+SELECT r.cell_id, r.gene_id, round(CASE WHEN flat THEN g.value WHEN met THEN 0 ELSE r.value END, 4) AS value FROM resid r JOIN grid g ON r.cell_id = g.cell_id AND r.gene_id = g.gene_id JOIN rules u ON u.gene_id = r.gene_id""")
 def q_regress_glm(v):
-    return regressed(v, True).withColumn("value", F.round("value", 4) + F.lit(0.0))
+    return r4(m.regress_out_glm(grid(v).select("cell_id", "gene_id", "value"), v.kept("residuals", lambda: regressed(v))))
+
+
+@query("per_gene_fit", f"WITH {OLS} SELECT cell_id, gene_id, round(value, 4) AS value FROM resid")
+def q_gene_fit(v):
+    return r4(udfs.per_gene_fit(v.kept("grid", lambda: grid(v)), udfs.LEAST_SQUARES, ["n_counts", "percent"]))
 
 
 @query("regress_out_category", f"""WITH {GRID}, x AS (SELECT grid.*, category, avg(value) OVER (PARTITION BY gene_id, category) AS x FROM grid JOIN cells USING (cell_id)),
@@ -246,12 +255,12 @@ f AS (SELECT gene_id, coalesce((n * sxy - sx * sy) / nullif(round(n * sxx - sx *
 SELECT cell_id, x.gene_id, round(value - (sy - slope * sx) / n - slope * x, 4) AS value FROM x JOIN f USING (gene_id)""")
 def q_regress_category(v):
     full = grid(v).join(v.cells.select("cell_id", "category"), "cell_id")
-    return m.regress_out_category(full).withColumn("value", F.round("value", 4) + F.lit(0.0))
+    return r4(m.regress_out_category(full))
 
 
 @query("mean_centre", f"WITH {GRID} SELECT cell_id, gene_id, round(value - avg(value) OVER (PARTITION BY gene_id), 6) AS value FROM grid")
 def q_centre(v):
-    return rounded(m.centre(grid(v)), "value")
+    return rounded(m.centre(grid(v), grid_stats(v)), "value")
 
 
 _STD = "CASE WHEN coalesce(stddev_samp(value) OVER (PARTITION BY gene_id), 0) = 0 THEN 1 ELSE stddev_samp(value) OVER (PARTITION BY gene_id) END"
@@ -259,12 +268,12 @@ _STD = "CASE WHEN coalesce(stddev_samp(value) OVER (PARTITION BY gene_id), 0) =
 
 @query("scale", f"WITH {GRID} SELECT cell_id, gene_id, round(least((value - avg(value) OVER (PARTITION BY gene_id)) / {_STD}, 10), 6) AS value FROM grid")
 def q_scale(v):
-    return rounded(m.scale(grid(v)), "value")
+    return rounded(m.scale(grid(v), stats=grid_stats(v)), "value")
 
 
 @query("scale_no_centre", f"WITH {GRID} SELECT cell_id, gene_id, round(least(value / {_STD}, 10), 6) AS value FROM grid")
 def q_scale_no_centre(v):
-    return rounded(m.scale(grid(v), zero_center=False), "value")
+    return rounded(m.scale(grid(v), zero_center=False, stats=grid_stats(v)), "value")
 
 
 @query("train_prefix_split", "SELECT cell_id FROM (SELECT cell_id, row_number() OVER (ORDER BY ordinal) AS rn, ceil(0.35 * count(*) OVER ()) AS k FROM cells) c WHERE rn <= k")
@@ -278,9 +287,13 @@ def q_batches(v):
     return m.batch_ranges(m.numbered_rows(v.cells, "ordinal"), 7).select("cell_id", F.col("batch").cast("long").alias("batch"))
 
 
-@query("matrix_ingest", "SELECT cell_id, gene_id, value FROM counts")
-def q_matrix_ingest(v):
-    from helixframe.sources.text import read_matrix_market, write_matrix_market
+@query("scale_vectors", """WITH x AS (SELECT vec_id AS id, unnest(range(len(embedding))) AS d, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings)
+SELECT id, d, round(least((x - avg(x) OVER (PARTITION BY d)) / CASE WHEN stddev_samp(x) OVER (PARTITION BY d) = 0 THEN 1 ELSE stddev_samp(x) OVER (PARTITION BY d) END, 10), 6) AS x FROM x""")
+def q_scale_vectors(v):
+    return rounded(m.scale(v.vectors.select("id", "vec")).select("id", F.posexplode("vec").alias("d", "x")).withColumn("d", F.col("d").cast("long")), "x")
 
-    return read_matrix_market(v.spark, write_matrix_market(v.counts))
 
+@query("matrix_ingest", "SELECT cell_id, gene_id, value, category AS cell_label, gene_name AS gene_label FROM counts JOIN cells USING (cell_id) JOIN genes USING (gene_id)")
+def q_matrix_ingest(v):
+    folder = src.write_matrix_market(counts(v), v.cells.select("cell_id", F.col("category").alias("label")), v.genes.select("gene_id", F.col("gene_name").alias("label")))
+    return src.read_annotated_matrix(v.spark, folder)

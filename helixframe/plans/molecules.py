@@ -15,6 +15,10 @@ def r6(df, *cols):
     return df.withColumns({c: F.round(c, 6) + F.lit(0.0) for c in cols})
 
 
+def rounded(vec: str):
+    return F.transform(vec, lambda x: F.round(x, 6) + F.lit(0.0))
+
+
 QUALITY = """WITH d AS (SELECT DISTINCT run_id, mol FROM molecules WHERE valid), n AS (SELECT run_id, count(*) AS n, count(*) FILTER (valid) AS nv FROM molecules GROUP BY 1),
 k AS (SELECT run_id, count(*) AS d, count(*) FILTER (mol NOT IN (SELECT mol FROM train_molecules)) AS w FROM d GROUP BY 1),
 q AS (SELECT n.run_id, nv / n AS validity, d / nullif(nv, 0) AS uniqueness, coalesce(d, 0) / n AS abs_uniqueness, w / nullif(d, 0) AS novelty, coalesce(w, 0) / n AS abs_novelty FROM n LEFT JOIN k USING (run_id))"""
@@ -51,12 +55,12 @@ def q_tanimoto(v):
     return r6(pairs(v).where("similarity >= 0").select("start_id", "target", "similarity"), "similarity")
 
 
-@query("constrained_opt_summary", PAIRS + """, h AS (SELECT c AS cutoff, p.* FROM p, (VALUES (0.0), (0.02), (0.04)) x(c) WHERE similarity >= c AND gain > 0),
+@query("constrained_opt_summary", PAIRS + """, h AS (SELECT c AS cutoff, p.* FROM p, (VALUES (0.0), (0.2), (0.4), (0.6)) x(c) WHERE similarity >= c AND gain > 0),
 b AS (SELECT cutoff, start_id, similarity, gain, row_number() OVER (PARTITION BY cutoff, start_id ORDER BY gain DESC, similarity DESC) AS n FROM h)
 SELECT CAST(cutoff AS DOUBLE) AS cutoff, count(*) AS n, round(avg(similarity), 6) AS mean_similarity, round(stddev_pop(similarity), 6) AS sd_similarity, round(avg(gain), 6) AS mean_gain, round(stddev_pop(gain), 6) AS sd_gain,
 round(count(*) / (SELECT count(DISTINCT start_id) FROM p), 6) AS success FROM b WHERE n = 1 GROUP BY cutoff""")
 def q_constrained(v):
-    return r6(m.constrained_summary(pairs(v), [0.0, 0.02, 0.04]), "mean_similarity", "sd_similarity", "mean_gain", "sd_gain", "success")
+    return r6(m.constrained_summary(pairs(v), [0.0, 0.2, 0.4, 0.6]), "mean_similarity", "sd_similarity", "mean_gain", "sd_gain", "success")
 
 
 @query("drop_duplicate_neighbours", "SELECT ordinal, mol FROM (SELECT ordinal, mol, row_number() OVER (PARTITION BY mol ORDER BY ordinal) AS n FROM molecules) m WHERE n = 1")
@@ -77,23 +81,23 @@ def q_worst(v):
 @query("ranked_score_export", "SELECT run_id, ordinal, 'qed' AS score, CAST(row_number() OVER (PARTITION BY run_id ORDER BY qed DESC, ordinal) AS INT) AS place FROM molecules UNION ALL SELECT run_id, ordinal, 'plogp', CAST(row_number() OVER (PARTITION BY run_id ORDER BY plogp DESC, ordinal) AS INT) FROM molecules")
 def q_ranked(v):
     rank = lambda c: v.molecules.select("run_id", "ordinal", F.lit(c).alias("score"), F.row_number().over(m.Window.partitionBy("run_id").orderBy(F.desc(c), "ordinal")).alias("place"))
-    path = f"{src.shared_folder(v.spark)}/ranked-{src.uuid.uuid4().hex}"
+    path = src.scratch_path(v.spark, "ranked")
     rank("qed").unionByName(rank("plogp")).write.partitionBy("score", "run_id").parquet(path)
     return v.spark.read.parquet(path).select(F.col("run_id").cast("long").alias("run_id"), "ordinal", "score", "place")
 
 
-@query("vector_lerp", """WITH p AS (SELECT a.id, a.vec AS z0, b.vec AS z1 FROM vectors a JOIN vectors b ON b.id = a.id + 1 WHERE a.id % 50 = 0)
-SELECT id, CAST(i AS INT) AS i, round(list_sum(list_transform(list_zip(z0, z1), lambda x: CAST(x[1] AS DOUBLE) + i / 4.0 * (CAST(x[2] AS DOUBLE) - CAST(x[1] AS DOUBLE)))), 6) AS total FROM p, range(5) t(i)""")
+@query("vector_lerp", """WITH p AS (SELECT a.id, a.vec AS z0, b.vec AS z1 FROM vectors a JOIN vectors b ON b.id = a.id + 1)
+SELECT id, CAST(i AS INT) AS i, list_transform(list_zip(z0, z1), lambda x: round(CAST(x[1] AS DOUBLE) + i / 4.0 * (CAST(x[2] AS DOUBLE) - CAST(x[1] AS DOUBLE)), 6)) AS vec FROM p, range(5) t(i)""")
 def q_lerp(v):
-    pair = v.vectors.where("id % 50 = 0").select("id", F.col("vec").alias("z0"), (F.col("id") + 1).alias("next")).join(v.vectors.select(F.col("id").alias("next"), F.col("vec").alias("z1")), "next")
-    return r6(m.lerp(pair, 3).select("id", "i", F.aggregate("vec", F.lit(0.0), lambda a, x: a + x).alias("total")), "total")
+    pair = v.vectors.select("id", F.col("vec").alias("z0"), (F.col("id") + 1).alias("next")).join(v.vectors.select(F.col("id").alias("next"), F.col("vec").alias("z1")), "next")
+    return m.lerp(pair, 3).select("id", "i", rounded("vec").alias("vec"))
 
 
-@query("vector_grid", "SELECT id, CAST(i AS INT) AS i, CAST(j AS INT) AS j, round(CAST(vec[1] AS DOUBLE) + 0.5 * i, 6) AS a, round(CAST(vec[2] AS DOUBLE) + 0.5 * j, 6) AS b FROM vectors, range(-2, 3) t(i), range(-2, 3) u(j) WHERE id % 50 = 0")
+@query("vector_grid", "SELECT id, CAST(i AS INT) AS i, CAST(j AS INT) AS j, list_transform(vec, lambda x, k: round(CAST(x AS DOUBLE) + CASE k WHEN 1 THEN 0.5 * i WHEN 2 THEN 0.5 * j ELSE 0 END, 6)) AS vec FROM vectors, range(-2, 3) t(i), range(-2, 3) u(j)")
 def q_grid(v):
     unit = lambda k: F.transform("vec", lambda _, n: F.when(n == k, 1.0).otherwise(0.0))
-    points = v.vectors.where("id % 50 = 0").select("id", "vec", unit(0).alias("x"), unit(1).alias("y"))
-    return r6(m.grid_around(points, 0.5, 2).select("id", "i", "j", F.get("vec", 0).alias("a"), F.get("vec", 1).alias("b")), "a", "b")
+    points = v.vectors.select("id", "vec", unit(0).alias("x"), unit(1).alias("y"))
+    return m.grid_around(points, 0.5, 2).select("id", "i", "j", rounded("vec").alias("vec"))
 
 
 @query("best_pose", "SELECT ligand, receptor, run, round(energy, 6) AS energy FROM (SELECT *, row_number() OVER (PARTITION BY ligand ORDER BY energy, receptor, run) AS n FROM poses) p WHERE n = 1")
@@ -101,16 +105,18 @@ def q_best_pose(v):
     return r6(m.best_pose(v.poses), "energy")
 
 
-@query("pose_clusters")
+@query("pose_clusters", """WITH RECURSIVE o AS (SELECT ligand, energy, x, y, z, row_number() OVER (PARTITION BY ligand ORDER BY energy, x, y, z) AS rn FROM poses),
+r AS (SELECT ligand, rn, energy, x, y, z, [[x, y, z]] AS leaders, 0 AS cluster FROM o WHERE rn = 1
+  UNION ALL SELECT ligand, rn, energy, x, y, z, CASE WHEN hit IS NULL OR hit = 0 THEN list_append(leaders, [x, y, z]) ELSE leaders END, CASE WHEN hit IS NULL OR hit = 0 THEN len(leaders) ELSE hit - 1 END
+  FROM (SELECT o.*, leaders, list_position(list_transform(leaders, lambda l: sqrt((l[1] - o.x) * (l[1] - o.x) + (l[2] - o.y) * (l[2] - o.y) + (l[3] - o.z) * (l[3] - o.z)) <= 2), true) AS hit FROM r JOIN o ON o.ligand = r.ligand AND o.rn = r.rn + 1) t)
+SELECT ligand, energy, x, y, z, CAST(cluster AS INT) AS cluster FROM r""")
 def q_pose_clusters(v):
     return m.pose_clusters(v.poses)
 
 
-@query("screening_cross_join", "SELECT l_partkey AS ligand, s_suppkey AS receptor FROM (SELECT DISTINCT l_partkey FROM lineitem) l, (SELECT s_suppkey FROM supplier WHERE s_suppkey <= 10) s")
+@query("screening_cross_join", "SELECT l_partkey AS ligand, s_suppkey AS receptor FROM (SELECT DISTINCT l_partkey FROM lineitem) l, supplier s")
 def q_screening(v):
-    receptors = v.supplier.where("s_suppkey <= 10").select(F.col("s_suppkey").alias("receptor"))  # a panel of at most ten
-    panel = receptors.agg(F.array_sort(F.collect_list("receptor")).alias("r")).select("r").scalar()
-    return v.poses.select("ligand").distinct().withColumn("receptor", F.explode(panel))
+    return m.screening(v.poses.select("ligand").distinct(), v.supplier.select(F.col("s_suppkey").alias("receptor")))
 
 
 @query("contact_theta_join", """WITH t AS (SELECT receptor AS id, CASE receptor % 3 WHEN 0 THEN 'R' WHEN 1 THEN 'H' ELSE 'V' END AS kind, 10 * avg(x) AS x, 10 * avg(y) AS y, 10 * avg(z) AS z FROM poses GROUP BY receptor),
@@ -120,8 +126,7 @@ def q_contacts(v):
     kind = F.when(F.col("receptor") % 3 == 0, "R").when(F.col("receptor") % 3 == 1, "H").otherwise("V")
     targets = v.poses.groupBy("receptor").agg(*[(10 * F.avg(c)).alias(c) for c in "xyz"]).select(F.col("receptor").alias("id"), kind.alias("kind"), "x", "y", "z")
     atoms = v.poses.groupBy("ligand").agg(*[(10 * F.avg(c)).alias(c) for c in "xyz"]).select(F.col("ligand").alias("id"), F.lit("").alias("kind"), "x", "y", "z")
-    cutoff = F.when(F.col("kind") == "R", 2.1).when(F.col("kind") == "H", 3.7).otherwise(4.0)
-    return m.contacts(atoms, targets, cutoff)
+    return m.contacts(atoms, targets)
 
 
 @query("design_filter", "SELECT ligand, run, round(energy, 6) AS pae_interaction FROM poses WHERE -energy < 2")

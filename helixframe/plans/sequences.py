@@ -9,7 +9,7 @@ from helixframe.operators.matrix import numbered_rows
 from helixframe.plans.views import query
 from helixframe.sources import text as src
 
-FASTA_TEXT = "concat('>', header, '\n', substring(seq, 1, 60), '\n', substring(seq, 61))"
+FASTA_TEXT = "concat('>', header, '\n', regexp_replace(seq, '(.{60})', '$1\n'))"
 RES = "residue_logp"
 
 
@@ -32,7 +32,7 @@ def q_proteome(v):
 @query("contig_lengths_from_fasta", "SELECT header AS contig, length FROM sequences")
 def q_fasta_lengths(v):
     path = src.write_text(v.sequences.select(F.expr(FASTA_TEXT)), "fasta")
-    return src.read_fasta(v.spark, path).select(F.col("header").alias("contig"), F.length("seq").cast("long").alias("length"))
+    return src.fasta_lengths(v.spark, path).select(F.col("header").alias("contig"), "length")
 
 
 @query("fasta_export", "SELECT concat('>sampled_seq_', row_number() OVER (ORDER BY seq_id)) AS header, seq FROM sequences")
@@ -70,10 +70,10 @@ def q_length_order(v):
 
 @query("token_batches", """WITH RECURSIVE o AS (SELECT seq_id, length, row_number() OVER (ORDER BY length, seq_id) AS rn FROM sequences),
 b AS (SELECT rn, seq_id, length, CAST(0 AS BIGINT) AS batch, 1 AS c FROM o WHERE rn = 1
-  UNION ALL SELECT o.rn, o.seq_id, o.length, CASE WHEN (b.c + 1) * o.length > 2048 THEN b.batch + 1 ELSE b.batch END, CASE WHEN (b.c + 1) * o.length > 2048 THEN 1 ELSE b.c + 1 END FROM b JOIN o ON o.rn = b.rn + 1)
+  UNION ALL SELECT o.rn, o.seq_id, o.length, CASE WHEN (b.c + 1) * o.length > 16384 THEN b.batch + 1 ELSE b.batch END, CASE WHEN (b.c + 1) * o.length > 16384 THEN 1 ELSE b.c + 1 END FROM b JOIN o ON o.rn = b.rn + 1)
 SELECT seq_id, batch FROM b""")
 def q_token_batches(v):
-    return s.token_batches(v.sequences.select("seq_id", "length"), 2048).select("seq_id", "batch")
+    return s.token_batches(v.sequences.select("seq_id", "length"), 16384).select("seq_id", "batch")
 
 
 @query("mean_pool", """WITH x AS (SELECT seq_id, token_pos, vec, min(token_pos) OVER (PARTITION BY seq_id) AS lo, max(token_pos) OVER (PARTITION BY seq_id) AS hi FROM token_vectors),
@@ -90,7 +90,7 @@ def q_likelihood(v):
 
 @query("score_csv_export", f"SELECT seq_id, round(avg(logp), 6) AS avg_log_likelihood FROM {RES} GROUP BY seq_id")
 def q_score_csv(v):
-    path = f"{src.shared_folder(v.spark)}/scores-{src.uuid.uuid4().hex}"
+    path = src.scratch_path(v.spark, "scores")
     r6(s.likelihoods(v.residue_logp), "avg_log_likelihood").select("seq_id", "avg_log_likelihood").write.option("header", True).csv(path)
     return v.spark.read.schema("seq_id long, avg_log_likelihood double").option("header", True).csv(path)
 
@@ -107,9 +107,9 @@ def q_confidence(v):
 
 
 @query("position_profile", f"""WITH c AS (SELECT pos, residue, count(*) AS n FROM {RES} GROUP BY 1, 2), b AS (SELECT residue, count(*) AS m FROM {RES} GROUP BY 1), t AS (SELECT count(*) AS t FROM {RES})
-SELECT pos, c.residue, round(n / sum(n) OVER (PARTITION BY pos), 6) AS freq, round(ln(n / sum(n) OVER (PARTITION BY pos) / (m / t)), 6) AS log_odds FROM c JOIN b USING (residue), t""")
+SELECT pos, c.residue, round(n / sum(n) OVER (PARTITION BY pos), 6) AS freq, round(ln(n / sum(n) OVER (PARTITION BY pos) / (m / t)), 6) AS log_odds, round(0.8 * n / sum(n) OVER (PARTITION BY pos) + 0.2 * m / t, 6) AS blended FROM c JOIN b USING (residue), t""")
 def q_profile(v):
-    return r6(s.position_profile(v.residue_logp), "freq", "log_odds")
+    return r6(s.position_profile(v.residue_logp, 0.2), "freq", "log_odds", "blended")
 
 
 @query("residue_bias", f"""WITH m AS (SELECT residue, avg(logp) + CASE WHEN residue = 'click' THEN 0.5 ELSE 0 END AS l FROM {RES} WHERE residue <> 'view' GROUP BY residue)
@@ -123,18 +123,17 @@ def q_length_stats(v):
     return r6(v.sequences.agg(F.count("*").alias("n"), F.sum("length").alias("total"), F.avg("length").alias("mean")), "mean")
 
 
-@query("complex_assembly", "SELECT grp, count(*) AS n_chains, CAST(sum(length) AS BIGINT) AS n_residues, string_agg(concat(seq_id, ':', length), ',' ORDER BY seq_id) AS chains FROM sequences GROUP BY grp")
+@query("complex_assembly", "SELECT grp, row_number() OVER (PARTITION BY grp ORDER BY seq_id) - 1 AS chain_no, seq_id, CAST(0 AS BIGINT) AS first_residue, length - 1 AS last_residue, count(*) OVER (PARTITION BY grp) AS n_chains, CAST(sum(length) OVER (PARTITION BY grp) AS BIGINT) AS n_residues FROM sequences")
 def q_complex(v):
     return s.complexes(v.sequences)
 
 
-@query("variant_effect_score", f"""WITH t AS (SELECT residue, avg(logp) AS l FROM {RES} GROUP BY residue),
-x AS (SELECT a.seq_id, a.pos, a.residue AS wild, b.residue AS mutant FROM {RES} a JOIN {RES} b ON b.seq_id = a.seq_id + 1 AND a.pos = b.pos WHERE a.residue <> b.residue)
-SELECT seq_id, round(sum(m.l - w.l), 6) + 0.0 AS effect FROM x JOIN t m ON m.residue = mutant JOIN t w ON w.residue = wild GROUP BY seq_id""")
+@query("variant_effect_score", f"""WITH x AS (SELECT a.seq_id, a.pos, a.residue AS wild, b.residue AS mutant FROM {RES} a JOIN {RES} b ON b.seq_id = a.seq_id + 1 AND a.pos = b.pos WHERE a.residue <> b.residue)
+SELECT x.seq_id, round(sum(m.logp - w.logp), 6) + 0.0 AS effect FROM x JOIN residue_table m ON m.seq_id = x.seq_id AND m.pos = x.pos AND m.residue = mutant JOIN residue_table w ON w.seq_id = x.seq_id AND w.pos = x.pos AND w.residue = wild GROUP BY x.seq_id""")
 def q_variant_effect(v):
     other = v.residue_logp.select((F.col("seq_id") - 1).alias("seq_id"), "pos", F.col("residue").alias("mutant"))
     variants = v.residue_logp.select("seq_id", "pos", F.col("residue").alias("wild")).join(other, ["seq_id", "pos"]).where("wild <> mutant")
-    return r6(s.variant_effect(v.residue_logp, variants), "effect")
+    return r6(s.variant_effect(v.residue_table, variants), "effect")
 
 
 @query("position_mask_join", f"SELECT seq_id, chain, pos, pos % 5 = 0 AS fixed FROM {RES}")
@@ -149,7 +148,10 @@ def q_tied(v):
     return s.tied_positions(v.residue_logp)
 
 
-@query("sequence_db_search", """WITH k AS (SELECT DISTINCT seq_id, substr(seq, CAST(a + 1 AS BIGINT), 6) AS k FROM sequences, range(0, 300) t(a) WHERE a <= length - 6),
+WORD = 12
+
+
+@query("sequence_db_search", f"""WITH a AS (SELECT seq_id, seq, unnest(range(0, greatest(0, length - {WORD - 1}))) AS a FROM sequences), k AS (SELECT DISTINCT seq_id, substr(seq, a + 1, {WORD}) AS k FROM a),
 n AS (SELECT seq_id, count(*) AS n FROM k GROUP BY 1),
 h AS (SELECT q.seq_id AS query, d.seq_id AS target, count(*) AS shared FROM k q JOIN k d USING (k) WHERE q.seq_id % 100 = 0 AND q.seq_id <> d.seq_id GROUP BY 1, 2),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query ORDER BY shared DESC, target) AS INT) AS rank FROM h)
@@ -157,8 +159,8 @@ SELECT query, target, shared, round(shared / a.n, 6) AS containment, round(share
 def q_search(v):
     from helixframe.operators.genome import kmers
 
-    database = kmers(v.sequences, "seq_id", "seq", 6)
-    return r6(s.kmer_hits(kmers(v.sequences.where("seq_id % 100 = 0"), "seq_id", "seq", 6), database), "containment", "jaccard")
+    database = v.kept("kmers", lambda: kmers(v.sequences, "seq_id", "seq", WORD).select("id", "kmer").distinct())
+    return r6(s.kmer_hits(kmers(v.sequences.where("seq_id % 100 = 0"), "seq_id", "seq", WORD), database), "containment", "jaccard")
 
 
 @query("keep_list_semi_join", "SELECT seq_id FROM (SELECT seq_id, row_number() OVER (ORDER BY length, seq_id) - 1 AS place FROM sequences) s WHERE place IN (SELECT item_id FROM benchmark)")
@@ -173,14 +175,14 @@ def q_kfold(v):
 
 @query("annotation_tsv_ingest", "SELECT seq_id, label, start_pos, end_pos FROM annotations")
 def q_tsv_in(v):
-    path = f"{src.shared_folder(v.spark)}/annotations-{src.uuid.uuid4().hex}"
+    path = src.scratch_path(v.spark, "annotations")
     v.annotations.write.option("sep", "\t").option("header", True).csv(path)
     return src.read_tsv(v.spark, path, "seq_id long, label string, start_pos int, end_pos int", ("label", "start_pos", "end_pos"))
 
 
 @query("annotation_tsv_export", "SELECT concat(label, chr(9), start_pos, chr(9), end_pos) AS line FROM annotations")
 def q_tsv_out(v):
-    path = f"{src.shared_folder(v.spark)}/annotations-{src.uuid.uuid4().hex}"
+    path = src.scratch_path(v.spark, "annotations")
     v.annotations.select("label", "start_pos", "end_pos").write.option("sep", "\t").csv(path)
     return src.read_lines(v.spark, path).select("line")
 
@@ -206,3 +208,11 @@ def q_replicate(v):
 def q_exclude(v):
     lines = v.documents.select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
     return lines.groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.count_if(~F.col("line").contains("the")).alias("kept"))
+
+
+@query("constraint_ingest", f"SELECT concat('s', seq_id) AS name, chain, pos FROM {RES} WHERE pos % 5 = 0")
+def q_constraints(v):
+    chains = v.residue_logp.where("pos % 5 = 0").groupBy("seq_id", "chain").agg(F.sort_array(F.collect_list("pos")).alias("places"))  # a design's positions are one line
+    maps = chains.groupBy("seq_id").agg(F.map_from_entries(F.collect_list(F.struct("chain", "places"))).alias("m"))
+    path = src.write_text(maps.select(F.to_json(F.create_map(F.concat(F.lit("s"), "seq_id"), "m"))), "constraints")
+    return src.read_constraints(v.spark, path)

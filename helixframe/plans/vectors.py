@@ -9,7 +9,6 @@ from helixframe.operators import graph as g
 from helixframe.operators import vectors as x
 from helixframe.operators.components import connected_components
 from helixframe.operators.matrix import train_prefix
-from helixframe.operators.scratch import cut_lineage
 from helixframe.plans.views import query
 
 K = 15
@@ -30,15 +29,15 @@ def r6(df, *cols):
 
 
 def neighbours(v) -> DataFrame:
-    return x.knn(v.vectors, K).withColumn("d", F.sqrt(F.round(F.col("d") * F.col("d"), 9)))
+    return v.kept("knn", lambda: x.knn(v.vectors, K))
 
 
 def gauss(v) -> DataFrame:
-    return cut_lineage(x.gauss_weights(neighbours(v)))
+    return v.kept("gauss", lambda: x.gauss_weights(neighbours(v)))
 
 
 def fuzzy(v) -> DataFrame:
-    return cut_lineage(x.fuzzy_union(x.fuzzy_memberships(neighbours(v), K)))
+    return v.kept("fuzzy", lambda: x.fuzzy_union(x.fuzzy_memberships(neighbours(v), K)))
 
 
 @query("knn_exact", f"WITH {KNN} SELECT src, dst, round(d, 6) AS d, rank FROM knn")
@@ -70,17 +69,23 @@ METRICS = {
     "kulsinski": "(tf + ft - tt + n) / (tf + ft + n)", "rogerstanimoto": "2 * (tf + ft) / (tt + ff + 2 * (tf + ft))", "sokalmichener": "2 * (tf + ft) / (tt + ff + 2 * (tf + ft))",
     "sokalsneath": "(tf + ft) / nullif(0.5 * tt + tf + ft, 0)", "yule": "2 * tf * ft / nullif(tt * ff + tf * ft, 0)",
     "seuclidean": "sqrt(list_sum(list_transform(z, lambda p: (p[1] - p[2]) * (p[1] - p[2]) / 2)))", "wminkowski": "pow(list_sum(list_transform(z, lambda p: pow(2 * abs(p[1] - p[2]), 3))), 1 / 3.0e0)",
+    "correlation": "1 - (list_sum(list_transform(z, lambda p: p[1] * p[2])) - sx * sy / n) / sqrt((list_sum(list_transform(z, lambda p: p[1] * p[1])) - sx * sx / n) * (list_sum(list_transform(z, lambda p: p[2] * p[2])) - sy * sy / n))",
+    "haversine": "2 * asin(sqrt(pow(sin((z[1][2] - z[1][1]) / 2), 2) + cos(z[1][1]) * cos(z[1][2]) * pow(sin((z[2][2] - z[2][1]) / 2), 2)))",
 }
+#: A band matrix in place of an inverse covariance: 2 on the diagonal, 0.5 beside it.
+INVERSE = [[2.0 if i == j else 0.5 if abs(i - j) == 1 else 0.0 for j in range(64)] for i in range(64)]
+MAHALANOBIS = "sqrt(2 * list_sum(list_transform(z, lambda p: (p[1] - p[2]) * (p[1] - p[2]))) + list_sum(list_transform(range(1, len(z)), lambda i: (z[i][1] - z[i][2]) * (z[i + 1][1] - z[i + 1][2]))))"
 EXTRA = {"seuclidean": {"weights": [2.0] * 64}, "wminkowski": {"weights": [2.0] * 64}}
 
 
 @query("pairwise_metric", f"""WITH p AS (SELECT a.id AS src, b.id AS dst, list_transform(list_zip(a.vec, b.vec), lambda p: [CAST(p[1] AS DOUBLE), CAST(p[2] AS DOUBLE)]) AS z FROM vectors a JOIN vectors b ON b.id = a.id + 1),
-c AS (SELECT *, CAST(len(z) AS DOUBLE) AS n, CAST(len(list_filter(z, lambda p: p[1] > 0 AND p[2] > 0)) AS DOUBLE) AS tt, CAST(len(list_filter(z, lambda p: p[1] > 0 AND p[2] <= 0)) AS DOUBLE) AS tf, CAST(len(list_filter(z, lambda p: p[1] <= 0 AND p[2] > 0)) AS DOUBLE) AS ft, CAST(len(list_filter(z, lambda p: p[1] <= 0 AND p[2] <= 0)) AS DOUBLE) AS ff FROM p)
-SELECT src, dst, {", ".join(f"round({sql}, 6) AS {name}" for name, sql in METRICS.items())} FROM c""")
+c AS (SELECT *, CAST(len(z) AS DOUBLE) AS n, CAST(len(list_filter(z, lambda p: p[1] > 0 AND p[2] > 0)) AS DOUBLE) AS tt, CAST(len(list_filter(z, lambda p: p[1] > 0 AND p[2] <= 0)) AS DOUBLE) AS tf, CAST(len(list_filter(z, lambda p: p[1] <= 0 AND p[2] > 0)) AS DOUBLE) AS ft, CAST(len(list_filter(z, lambda p: p[1] <= 0 AND p[2] <= 0)) AS DOUBLE) AS ff,
+  list_sum(list_transform(z, lambda p: p[1])) AS sx, list_sum(list_transform(z, lambda p: p[2])) AS sy FROM p)
+SELECT src, dst, {", ".join(f"round({sql}, 6) AS {name}" for name, sql in METRICS.items())}, round({MAHALANOBIS}, 6) AS mahalanobis FROM c""")
 def q_metrics(v):
     a = v.vectors.select(F.col("id").alias("src"), F.col("vec").alias("a"), (F.col("id") + 1).alias("dst"))
     joined = a.join(v.vectors.select(F.col("id").alias("dst"), F.col("vec").alias("b")), "dst")
-    return joined.select("src", "dst", *[F.round(x.metric(n, F.col("a"), F.col("b"), **EXTRA.get(n, {})), 6).alias(n) for n in METRICS])
+    return joined.select("src", "dst", *[F.round(x.metric(n, F.col("a"), F.col("b"), **EXTRA.get(n, {})), 6).alias(n) for n in METRICS], F.round(x.mahalanobis(F.col("a"), F.col("b"), INVERSE), 6).alias("mahalanobis"))
 
 
 @query("knn_distance_graph", f"WITH {KNN} SELECT src, dst, round(d, 6) AS w FROM knn WHERE src <> dst AND d > 0")
@@ -108,32 +113,52 @@ def q_gauss(v):
     return r6(x.gauss_weights(neighbours(v)), "w")
 
 
-@query("gauss_kernel_dense", f"""WITH p AS (SELECT a.id AS src, b.id AS dst, round({D2}, 9) AS d2 FROM small_vectors a, small_vectors b),
+@query("gauss_kernel_dense", f"""WITH p AS (SELECT a.id AS src, b.id AS dst, round({D2}, 9) AS d2 FROM vectors a, vectors b),
 s AS (SELECT src, d2 / 4 AS s FROM (SELECT src, d2, row_number() OVER (PARTITION BY src ORDER BY d2, dst) AS n FROM p WHERE src <> dst) r WHERE n = {K})
 SELECT src, count(*) AS n, round(sum(w), 6) AS total FROM (SELECT p.src, sqrt(2 * sqrt(i.s * j.s) / (i.s + j.s)) * exp(-d2 / (i.s + j.s)) AS w FROM p JOIN s i ON i.src = p.src JOIN s j ON j.src = p.dst WHERE p.src <> p.dst) w WHERE w > 1e-14 GROUP BY src""")
 def q_gauss_dense(v):
-    every = x.knn(v.small_vectors, 500).where("src <> dst").withColumn("d2", F.round(F.col("d") * F.col("d"), 9))
-    s = every.withColumn("n", F.row_number().over(Window.partitionBy("src").orderBy("d2", "dst"))).where(f"n = {K}").select("src", (F.col("d2") / 4).alias("s"))
-    joined = every.join(s.toDF("src", "si"), "src").join(s.toDF("dst", "sj"), "dst")
-    w = F.sqrt(2 * F.sqrt(F.col("si") * F.col("sj")) / (F.col("si") + F.col("sj"))) * F.exp(-F.col("d2") / (F.col("si") + F.col("sj")))
-    return r6(joined.withColumn("w", w).where("w > 1e-14").groupBy("src").agg(F.count("*").alias("n"), F.sum("w").alias("total")), "total")
-
-
-@query("fuzzy_connectivities")
+    return r6(x.gauss_kernel_dense(v.vectors, K).groupBy("src").agg(F.count("*").alias("n"), F.sum("w").alias("total")), "total")
+
+
+LISTS = KNN + """,
+lists AS (SELECT src, list(struct_pack(d := d, dst := dst) ORDER BY d, dst) AS n FROM knn WHERE src <> dst GROUP BY src)"""
+FUZZY = f"""WITH RECURSIVE {LISTS},
+rhos AS (SELECT src, n, coalesce(list_min(list_filter(list_transform(n, lambda p: p.d), lambda d: d > 0)), 0) AS rho FROM lists),
+b AS (SELECT src, 0.0e0 AS lo, 1.5e300 AS hi, 1.0e0 AS mid, 0 AS step FROM rhos
+  UNION ALL SELECT src, CASE WHEN t > log2({K}) THEN lo ELSE mid END, CASE WHEN t > log2({K}) THEN mid ELSE hi END, CASE WHEN t > log2({K}) THEN (lo + mid) / 2 WHEN hi > 1e300 THEN mid * 2 ELSE (mid + hi) / 2 END, step + 1
+  FROM (SELECT b.*, list_sum(list_transform(n, lambda p: CASE WHEN p.d - rho > 0 THEN exp(-(p.d - rho) / mid) ELSE 1 END)) AS t FROM b JOIN rhos USING (src) WHERE step < 64) s),
+m AS (SELECT src, p.dst AS dst, CASE WHEN p.d <= rho THEN 1 ELSE exp(-(p.d - rho) / mid) END AS w FROM (SELECT src, rho, mid, unnest(n) AS p FROM rhos JOIN (SELECT src, mid FROM b WHERE step = 64) e USING (src)) u)
+SELECT src, dst, round(w, 6) AS w FROM (SELECT coalesce(a.src, c.dst) AS src, coalesce(a.dst, c.src) AS dst, coalesce(a.w, 0) + coalesce(c.w, 0) - coalesce(a.w, 0) * coalesce(c.w, 0) AS w FROM m a FULL JOIN m c ON a.src = c.dst AND a.dst = c.src) f WHERE w > 0"""
+PERPLEXITY = 4.0
+AFFINITIES = f"""WITH RECURSIVE {KNN.replace("rank <= " + str(K), "rank <= 1 + least((SELECT count(*) FROM vectors) - 1, CAST(floor(3 * " + str(PERPLEXITY) + " + 1) AS BIGINT))")},
+lists AS (SELECT src, list(struct_pack(d2 := d * d, dst := dst) ORDER BY d, dst) AS n FROM knn WHERE src <> dst GROUP BY src),
+b AS (SELECT src, -1.5e300 AS lo, 1.5e300 AS hi, 1.0e0 AS b, 0 AS step FROM lists
+  UNION ALL SELECT src, CASE WHEN done THEN lo WHEN e > ln({PERPLEXITY}) THEN b ELSE lo END, CASE WHEN done OR e > ln({PERPLEXITY}) THEN hi ELSE b END,
+    CASE WHEN done THEN b WHEN e > ln({PERPLEXITY}) THEN CASE WHEN hi > 1e300 THEN b * 2 ELSE (b + hi) / 2 END ELSE CASE WHEN lo < -1e300 THEN b / 2 ELSE (b + lo) / 2 END END, step + 1
+  FROM (SELECT *, abs(e - ln({PERPLEXITY})) <= 1e-5 AS done FROM (SELECT src, n, lo, hi, b, step, ln(z) + b * list_sum(list_transform(n, lambda p: p.d2 * exp(-p.d2 * b))) / z AS e
+    FROM (SELECT b.*, n, 1e-300 + list_sum(list_transform(n, lambda p: exp(-p.d2 * b.b))) AS z FROM b JOIN lists USING (src) WHERE step < 100) q) w) s),
+p AS (SELECT src, p.dst AS dst, exp(-p.d2 * b) / (1e-300 + list_sum(list_transform(n, lambda y: exp(-y.d2 * b)))) AS p FROM (SELECT src, b, n, unnest(n) AS p FROM lists JOIN (SELECT src, b FROM b WHERE step = 100) e USING (src)) u)"""
+
+
+def affinities(v):
+    k = x.perplexity_neighbours(v.vectors.count(), PERPLEXITY)
+    return x.perplexity_affinities(x.knn(v.vectors, k + 1), PERPLEXITY)
+
+
+@query("fuzzy_connectivities", FUZZY)
 def q_fuzzy(v):
     return r6(fuzzy(v), "w")
 
 
-@query("perplexity_affinities")
+@query("perplexity_affinities", AFFINITIES + " SELECT src, dst, round(p, 6) AS p FROM p")
 def q_perplexity(v):
-    return r6(x.perplexity_affinities(neighbours(v), 4.0), "p")
+    return r6(affinities(v), "p")
 
 
-@query("joint_probabilities", f"""WITH {KNN}, c AS (SELECT src, dst, exp(-d) / sum(exp(-d)) OVER (PARTITION BY src) AS p FROM knn WHERE src <> dst),
-b AS (SELECT src, dst, p FROM c UNION ALL SELECT dst, src, p FROM c), s AS (SELECT src, dst, sum(p) AS p FROM b GROUP BY 1, 2) SELECT src, dst, round(p / (SELECT sum(p) FROM s), 9) AS p FROM s""")
+@query("joint_probabilities", AFFINITIES + """, both_ways AS (SELECT src, dst, p FROM p UNION ALL SELECT dst, src, p FROM p), s AS (SELECT src, dst, sum(p) AS p FROM both_ways GROUP BY 1, 2)
+SELECT src, dst, round(p / (SELECT sum(p) FROM s), 9) AS p FROM s""")
 def q_joint(v):
-    c = neighbours(v).where("src <> dst").withColumn("p", F.exp(-F.col("d")) / F.sum(F.exp(-F.col("d"))).over(Window.partitionBy("src"))).select("src", "dst", "p")
-    return x.joint_probabilities(c).withColumn("p", F.round("p", 9))
+    return x.joint_probabilities(v.kept("affinities", lambda: affinities(v))).withColumn("p", F.round("p", 9))
 
 
 @query("connected_components", f"""WITH RECURSIVE {KNN}, e AS (SELECT src, dst FROM knn WHERE rank <= 2 AND src <> dst UNION SELECT dst, src FROM knn WHERE rank <= 2 AND src <> dst),
@@ -159,27 +184,32 @@ def q_transition_asym(v):
     return r6(g.transition_asymmetric(g.transition_matrix(gauss(v))), "t")
 
 
-def eigen(v):
-    t = cut_lineage(g.transition_matrix(gauss(v)).select("src", "dst", "t"))
-    return g.diffusion_eigen(t, 6, rounds=12)
+PAIRS = 15
+
+
+def transitions(v):
+    return v.kept("transitions", lambda: g.transition_matrix(gauss(v)).select("src", "dst", "t"))
 
 
 @query("diffusion_eigen")
 def q_eigen(v):
-    values, vectors = eigen(v)
+    values, vectors = g.diffusion_eigen(transitions(v), PAIRS)
     return vectors.withColumn("eigenvalues", F.array(*map(F.lit, values)))
 
 
+def dpt(v):
+    values, vectors = g.diffusion_eigen(transitions(v), PAIRS)
+    return g.dpt_row(vectors, values, 0, connected_components(transitions(v).select("src", "dst")))
+
+
 @query("dpt_distance_row")
 def q_dpt(v):
-    values, vectors = eigen(v)
-    return g.dpt_row(vectors, values, 0)
+    return dpt(v)
 
 
 @query("pseudotime")
 def q_pseudotime(v):
-    values, vectors = eigen(v)
-    return g.pseudotime(g.dpt_row(vectors, values, 0))
+    return g.pseudotime(v.kept("dpt", lambda: dpt(v)))
 
 
 @query("nearest_root", f"SELECT b.id AS root FROM vectors a, vectors b WHERE a.id = 7 AND b.id <> 7 ORDER BY round({D2}, 9), b.id LIMIT 1")
@@ -196,12 +226,12 @@ def q_adjacency(v):
 
 @query("louvain")
 def q_louvain(v):
-    return g.louvain(fuzzy(v), rounds=4, levels=2)
+    return g.louvain(fuzzy(v))
 
 
 @query("leiden")
 def q_leiden(v):
-    return g.louvain(fuzzy(v), rounds=4, levels=2, connected=True)
+    return g.leiden(fuzzy(v))
 
 
 MOD = f"""WITH {GAUSS}, c AS (SELECT id, CAST(label AS BIGINT) AS community FROM vectors), p AS (SELECT a.community, sum(CASE WHEN a.community = b.community THEN w ELSE 0 END) AS inside, sum(w) AS total FROM gauss JOIN c a ON a.id = src JOIN c b ON b.id = dst GROUP BY 1),
@@ -243,7 +273,8 @@ def q_pca(v):
     return projected(v)[1].select("id", "pcs")
 
 
-LLOYD = """WITH v AS (SELECT id, list_transform(vec, lambda x: CAST(x AS DOUBLE)) AS vec FROM vectors), c0 AS (SELECT CAST(id AS INT) AS c, vec AS m FROM v WHERE id < 10),"""
+CLUSTERS = 35
+LLOYD = f"""WITH v AS (SELECT id, list_transform(vec, lambda x: CAST(x AS DOUBLE)) AS vec FROM vectors), c0 AS (SELECT CAST(id AS INT) AS c, vec AS m FROM v WHERE id < {CLUSTERS}),"""
 for _r in range(3):
     LLOYD += f"""
 a{_r} AS (SELECT id, arg_min(c, struct_pack(d := d, c := c)) AS cluster FROM (SELECT v.id, c, round(list_sum(list_transform(list_zip(v.vec, m), lambda p: (p[1] - p[2]) * (p[1] - p[2]))), 9) AS d FROM v, c{_r}) x GROUP BY id),
@@ -251,17 +282,21 @@ d{_r} AS (SELECT cluster, i, avg(x) AS m FROM (SELECT cluster, unnest(range(len(
 c{_r + 1} AS (SELECT cluster AS c, list(m ORDER BY i) AS m FROM d{_r} GROUP BY cluster),"""
 
 
-@query("kmeans", LLOYD + " a3 AS (SELECT id, arg_min(c, struct_pack(d := d, c := c)) AS cluster FROM (SELECT v.id, c, round(list_sum(list_transform(list_zip(v.vec, m), lambda p: (p[1] - p[2]) * (p[1] - p[2]))), 9) AS d FROM v, c3) x GROUP BY id) SELECT id, cluster FROM a3")
+@query("kmeans_fixed_rounds", LLOYD + " a3 AS (SELECT id, arg_min(c, struct_pack(d := d, c := c)) AS cluster FROM (SELECT v.id, c, round(list_sum(list_transform(list_zip(v.vec, m), lambda p: (p[1] - p[2]) * (p[1] - p[2]))), 9) AS d FROM v, c3) x GROUP BY id) SELECT id, cluster FROM a3")
+def q_kmeans_rounds(v):
+    return x.lloyd(v.vectors, CLUSTERS, 3).select("id", "cluster")
+
+
+@query("kmeans")
 def q_kmeans(v):
-    return x.lloyd(v.vectors, 10, 3).select("id", "cluster")
+    return x.kmeans(v.kept("pcs", lambda: projected(v)[1]), CLUSTERS, column="pcs").select("id", "cluster", "pcs")
 
 
 @query("reanalysis")
 def q_reanalysis(v):
     some = v.vectors.where(F.get("vec", 0) > 0)
-    pcs = projected(v)[1].join(some.select("id"), "id", "left_semi").select("id", F.col("pcs").alias("vec"))
-    kept = cut_lineage(pcs)
-    return g.louvain(cut_lineage(x.fuzzy_union(x.fuzzy_memberships(x.knn(kept, K), K))), rounds=4, levels=2, connected=True)
+    pcs = v.kept("pcs", lambda: projected(v)[1].join(some.select("id"), "id", "left_semi").select("id", F.col("pcs").alias("vec")))
+    return g.leiden(v.kept("fuzzy", lambda: x.fuzzy_union(x.fuzzy_memberships(x.knn(pcs, K), K))))
 
 
 @query("embedding_classifier")

@@ -5,17 +5,11 @@ State: routing and sorting keep none; the mate join is bounded by a watermark on
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helixframe.operators.genome import coordinate_sort, with_bin
-from helixframe.operators.scratch import shared_folder
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+from helixframe.operators.scratch import scratch_path as scratch
 
 
 def as_stream(rows: DataFrame, files: int = 4) -> DataFrame:
