@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import atexit
+import ctypes
 import re
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,6 +12,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from helixframe.operators.scratch import kept_table
+
 #: A word is a longest run of characters other than these six.
 SPACE_CLASS = r"\x20\x09-\x0D"
 A_TO_Z, A_TO_Z_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -23,17 +23,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share; a temporary one only where none is set, as in tests."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="helixframe-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder
-
-
 def small_batches(spark: SparkSession) -> None:
     """Lets Spark hand texts to Python a few megabytes at a time, so that a worker's memory doesn't follow long texts.
 
@@ -45,29 +34,10 @@ def small_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(most))
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    try:
-        jvm = spark.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-    except Exception:  # the session may be gone at exit; the folder is scratch space
-        pass
-
-
-def materialise(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Writes df as a Parquet table in the shared folder and returns it as reread.
-
-    The lineage ends there: a lost executor costs the tasks it ran, not the stages before. The table goes when the
-    driver's process ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    writer = df.write.mode("errorifexists")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    atexit.register(_remove, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a Parquet table in the shared folder, as reread: the lineage ends there, and a lost executor costs the tasks
+    that it ran, not the stages before. The table goes when the driver's process ends."""
+    return kept_table(df, name)
 
 
 def lower_ascii(text: Column) -> Column:
@@ -118,8 +88,10 @@ def word_codes(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.nda
 
 
 def give_back() -> None:
-    """Returns what Arrow keeps of freed buffers, since Spark's Python workers live on from stage to stage."""
+    """Returns what Arrow and the C library keep of freed memory, since Spark's Python workers live on from stage to stage."""
     pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
 
 
 def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> list[pa.RecordBatch]:
