@@ -9,7 +9,8 @@ headers, contents and footers are copied into one preallocated buffer. Each row
 (all of it, unless it is long or crosses tasks): its text, and the spans under the loss mask in code points.
 
 Null roles and texts count as empty, null turns come first, rows with equal turns go by role and text; a null conv_id is a
-conversation of its own. Repeated rows are turns of their own. An empty table gives no rows.
+conversation of its own. Repeated rows are turns of their own. An empty table gives no rows; texts of any length are copied whole, and
+further columns are ignored whatever their names.
 """
 
 from __future__ import annotations

@@ -1,16 +1,18 @@
 """Language identification by nearest centroids.
 
-A text becomes counts of byte 2- and 3-grams of its lower-cased letters, hashed to DIMENSIONS; logarithms of the counts
+A text becomes counts of byte 2- and 3-grams of its lower-cased letters, hashed to DIMENSIONS, where every character beyond ASCII counts as a
+letter; logarithms of the counts
 are weighted by inverse document frequency and brought to length 1. Spherical k-means gives each language several
 centroids. A text gets the language of the centroid with the largest cosine; where that lies below the centroid's own
 threshold, the text is rejected as too far from everything (`rejected`), and still names its nearest language.
 
 The model is fitted on a sample of labelled rows: about SAMPLE_ROWS in all, shared equally by the languages but at least
-LEAST_ROWS of each, whole texts, chosen by a hash of the id. All languages are learned; where they are more than
+LEAST_ROWS of each, whole texts, chosen by a hash of the id; executors count their grams, and only the counts (DIMENSIONS numbers a row) come to the driver. All languages are learned; where they are more than
 SAMPLE_ROWS / LEAST_ROWS, sample and model grow with their number. Everything that is predicted is predicted from whole texts.
 
 A null text and one without a letter give `und`, score 0 and rejection; so does any text where nothing can be learned.
-Ties go to the language that comes first by code point. Repeated rows are predicted one by one, null ids included.
+Ties go to the language that comes first by code point. Repeated rows are predicted one by one, null ids included. Texts of any
+length are counted in steps; an empty table gives no rows; further columns are carried, whatever their names, or ignored.
 """
 
 from __future__ import annotations
@@ -42,7 +44,7 @@ _KEEP[128:] = np.arange(128, 256)
 
 
 def gram_counts(text: str) -> np.ndarray:
-    """Counts of hashed 2- and 3-grams of letters; what is no letter is a space, and grams of two spaces don't count."""
+    """Counts of hashed 2- and 3-grams of letters; ASCII that is no letter is a space, and grams of two spaces don't count."""
     data = np.concatenate([[np.uint8(32)], _KEEP[np.frombuffer(text.lower().encode("utf-8", "replace"), np.uint8)], [np.uint8(32)]])
     counts = np.zeros(DIMENSIONS, np.int64)
     for at in range(0, len(data) - 1, STEP):
@@ -106,8 +108,8 @@ def cluster(rows: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return centroids, (rows @ centroids.T).argmax(axis=1)
 
 
-def fit(texts: list[str], labels: list[str]) -> Model:
-    raw = vectors(texts)
+def fit(raw: np.ndarray, labels: list[str]) -> Model:
+    """A model from the vectors() of texts and their languages."""
     idf = (np.log((1 + len(raw)) / (1 + (raw > 0).sum(axis=0))) + 1).astype(np.float32)
     rows, labels = normalised(raw * idf), np.array(labels, object)
     langs, of, centroids, limits = sorted(set(labels)), [], [], []
@@ -133,8 +135,18 @@ def train(labelled: DataFrame) -> Model:
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
     thin = usable.withColumn("place", place).join(F.broadcast(shares), "lang").where(F.col("place") * F.col("total") < F.lit(float(2 << 30)) * F.col("each"))
     order = F.row_number().over(Window.partitionBy("lang").orderBy("place", "doc_id", "text"))
-    rows = thin.withColumn("n", order).where("n <= each").select("text", "lang").toArrow()
-    return fit(rows.column("text").to_pylist(), rows.column("lang").to_pylist())
+    small_batches(labelled.sparkSession)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                yield pa.record_batch([part.column(0), part.column(1), pa.array([v.tobytes() for v in vectors(part.column(2).to_pylist())], pa.binary())], ["lang", "n", "grams"])
+
+    chosen = thin.withColumn("n", order).where("n <= each").select("lang", "n", "text").mapInArrow(count, "lang string, n int, grams binary")
+    rows = chosen.orderBy("lang", "n").toArrow()
+    raw = np.frombuffer(b"".join(rows.column("grams").to_pylist()), np.float32).reshape(-1, DIMENSIONS)
+    return fit(raw, rows.column("lang").to_pylist())
 
 
 def identify(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:

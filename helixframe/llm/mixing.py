@@ -9,7 +9,7 @@ which is rounded alone. The words taken of a source so differ from its target by
 All randomness is a hash of ids, so that reruns agree whatever the partitioning. Documents are dealt to groups by
 hash within their source: a source of any size is spread evenly. Rows that repeat id and source are one document, whose rows
 get the same number of copies. Null sources are a source (the last one), null ids are allowed, null texts have size 0
-and empty tables give no rows.
+and empty tables give no rows. The words of whole texts count, however long. Further columns are carried, whatever their names, or ignored.
 """
 
 from __future__ import annotations
@@ -112,9 +112,11 @@ def sizes_of(docs: DataFrame) -> DataFrame:
 
 def mix_documents(docs: DataFrame) -> DataFrame:
     """The documents as often as the mix takes them; columns stay as they are."""
-    copies = mix(sizes_of(docs)).where("copies > 0").select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("copies").alias("__copies"))
-    joined = docs.join(copies, docs["doc_id"].eqNullSafe(F.col("__id")) & docs["source"].eqNullSafe(F.col("__source")))
-    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
+    copies = mix(sizes_of(docs)).where("copies > 0").select(F.col("doc_id").alias("id"), F.col("source").alias("of"), "copies")
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    column = dict(zip(docs.columns, numbered.columns))
+    joined = numbered.join(copies, F.col(column["doc_id"]).eqNullSafe(F.col("id")) & F.col(column["source"]).eqNullSafe(F.col("of")))
+    return joined.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*numbered.columns).toDF(*docs.columns)
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

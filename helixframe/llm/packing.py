@@ -9,11 +9,12 @@ thus needs no state of earlier windows or other tasks, only the table of totals:
 The rounds follow each other without a gap and are cut at every window's length, so that only the last window is padded.
 Packets of a document that land next to each other are one piece.
 
-Sources' shares default to their tokens, so that all queues end together; with other shares, queues that end early leave
-their place to the rest. At most MOST_QUEUES queues are scheduled: with more sources than that, several share a queue.
+Sources' shares of a window default to WEIGHTS in turn, in the order of their names; queues that end early leave their place to the
+rest. MOST_QUEUES queues are scheduled: with more sources than that, a queue is shared by those of one hash, whose shares add up.
 
 Null and empty texts are documents of the end token alone; null sources form a queue; null ids are allowed; rows that repeat
-are documents of their own. An empty table gives no pieces. Texts are encoded whole; words are encoded once per task and
+are documents of their own. An empty table gives no pieces, further columns are ignored whatever their names. Texts of any length are encoded
+whole; words are encoded once per task and
 looked up after that, in a table that is emptied when it holds MOST_WORDS.
 """
 
@@ -33,8 +34,10 @@ from pyspark.sql import functions as F
 
 from helixframe.llm.common import give_back, materialise, read_table, slices, small_batches, split_words, whole_texts
 
-WINDOW, END_ID, GRAIN = 2048, 1, 64
+WINDOW, END_ID, GRAIN = 2048, 1, 128
 MOST_QUEUES, MOST_WORDS = 4096, 300_000
+#: Weights of the sources in order of their names, null last, in turn.
+WEIGHTS = (5, 2, 1)
 VOCABULARY = "word_bpe_49k.json"
 
 
@@ -229,19 +232,22 @@ PIECES = "doc_id long, source string, start long, length long, doc_tokens long,
 def pack(docs: DataFrame, path: str, shares: dict[str | None, float] | None = None) -> DataFrame:
     """Pieces of all documents with their ids (little-endian 32-bit numbers), sequence and offset.
 
-    shares: the part that each source's tokens should have in a window; by default its part of all tokens.
+    shares: the parts that the sources' tokens should have in a window, by name; by default WEIGHTS in turn.
     """
     tokens = materialise(tokenise(docs, path), "packing-tokens")
-    queue = F.col("source")
     sums = materialise(tokens.groupBy("source", "part").agg(F.sum("n").alias("n")), "packing-sums")
-    names = sums.groupBy("source").agg(F.sum("n").alias("total"))
+    # One row a source: its share is taken in the order of the names, then queues are made.
+    by_name = Window.partitionBy(F.lit(1)).orderBy(F.col("source").asc_nulls_last())
+    names = sums.groupBy("source").agg(F.sum("n").alias("total")).withColumn("share", F.get(F.array(*map(F.lit, WEIGHTS)), F.pmod(F.row_number().over(by_name) - 1, F.lit(len(WEIGHTS)))).cast("double"))
+    if shares is not None:
+        given = docs.sparkSession.createDataFrame([(k, float(x)) for k, x in shares.items()], "name string, given double")
+        names = names.join(given, F.col("source").eqNullSafe(F.col("name")), "left").select("source", "total", F.coalesce("given", F.lit(0.0)).alias("share"))
+    queue = F.col("source")
     if names.count() > MOST_QUEUES:
-        if shares is not None:
-            raise ValueError(f"shares can be set for at most {MOST_QUEUES} sources")
         queue = F.pmod(F.xxhash64("source"), F.lit(MOST_QUEUES)).cast("string")
-        names = sums.groupBy(queue.alias("source")).agg(F.sum("n").alias("total"))
-    listed = sorted(names.collect(), key=lambda r: (r["source"] is None, r["source"] or ""))  # at most MOST_QUEUES rows
-    plan = plan_of([r["total"] for r in listed], shares and [shares[r["source"]] for r in listed])
+    queues = names.groupBy(queue.alias("source")).agg(F.sum("total").alias("total"), F.sum("share").alias("share"))
+    listed = sorted(queues.collect(), key=lambda r: (r["source"] is None, r["source"] or ""))  # at most MOST_QUEUES rows
+    plan = plan_of([r["total"] for r in listed], [r["share"] for r in listed])
     number = {r["source"]: i for i, r in enumerate(listed)}
     # Parts in order, and in a part the sources of a queue in order: where a queue's tokens of a part and source begin.
     order = Window.partitionBy("queue").orderBy("part", F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)

@@ -5,7 +5,8 @@ kept when their score reaches a threshold: `iban` (length of its country and mod
 (shape alone is weak, so that a context word is needed).
 
 A null text has no spans, like an empty one. Whole texts are scanned; each expression is linear in the text's length.
-Rows, ties and extra columns pass through; repeated rows get the same spans each.
+Rows, ties and further columns pass through; one that has the result's name is replaced. Repeated rows get the same spans each, null ids
+are let through, and an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -203,7 +204,7 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     def count(kind):
         return F.size(F.filter("pii", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
-    return spans.select("doc_id", *map(count, BASE_KINDS), F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("pii")).alias("spans"))
+    return spans.select("doc_id", *map(count, BASE_KINDS), F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("pii")).alias("spans"), F.array_join(F.transform("pii", lambda s: F.round(s["score"], 2).cast("string")), ",").alias("scores"))
 
 
 QUERIES = {"op2_pii": op2_pii}

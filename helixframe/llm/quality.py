@@ -1,41 +1,45 @@
 """Line-first cleaning: rules judge each line, failing lines go, and a document that loses too much text is rejected.
 
-Lines are what `\\n` separates. A line without a word always stays. The rules:
+Lines are what `\\n` separates. A line without a word always stays. The rules, by what can be counted in a line and in the corpus:
 
-* punctuation: a short line that doesn't end a sentence, and a line in which doubled exclamation or question marks abound;
-* navigation: separators between most words, or a short line made of navigation words;
-* boilerplate: phrases of consent, rights and licence notices, in a line that holds little else;
-* symbols and capitals: too many characters of `#*$%&|<>` for its words, or a longer line in capitals.
+* boilerplate: a line that stands in many different places of the corpus, a place being the two lines around it. Copies of a
+  text put their lines in the same places over and over, and so don't make them boilerplate;
+* symbols: too many characters of `#*$%&|<>` for its words;
+* navigation: separators between most words, or a short line without a sentence's end beside another such line;
+* punctuation: a short line without a sentence's end by itself, or doubled exclamation or question marks that abound;
+* capitals: a longer line in capitals.
 
 A document is kept if it passes the base measures (at least 10 words, at most a fifth of them in repeated 5-word windows)
-and loses at most half of its word characters. Null text counts as empty. Whole texts are read; the windows are compared
-exactly, by ranking, never by a hash that could collide. Repeated rows are judged one by one.
+and loses at most half of its word characters. Null text counts as empty. Whole texts are read, however long; the windows are compared
+exactly, by ranking, never by a hash that could collide. Repeated rows are judged one by one, ids aren't looked at, and an empty table
+gives no rows. Further columns stay; one that has the result's name is replaced.
 """
 
 from __future__ import annotations
 
 import re
+import unicodedata
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-from helixframe.llm.common import give_back, read_table, slices, small_batches, word_codes
+from helixframe.llm.common import give_back, materialise, read_table, slices, small_batches, word_codes
 
 WINDOW, LEAST_WORDS, MOST_REPEATED_PERCENT, MOST_LOST = 5, 10, 20, 0.5
-SHORT_LINE, SEPARATORS_PER_WORD, SYMBOLS_PER_WORD, SHOUTS_PER_WORD, CAPITALS = 6, 0.2, 0.3, 0.2, 0.8
-SPACES, SYMBOLS, SENTENCE_ENDS = " \t\n\x0b\x0c\r", "#*$%&|<>", tuple(".!?…。！？\"'”’»)]:;")
-NAVIGATION = frozenset("home menu login logout register search sitemap next previous back top contact about help share print download subscribe newsletter inicio startseite accueil".split())
-BOILERPLATE = re.compile(
-    r"(?:accept|use[sd]?) (?:all )?cookies|cookie (?:policy|settings)|privacy policy|terms (?:of (?:use|service)|and conditions)|all rights reserved|enable javascript|©|copyright \(c\)"
-    r"|licen[sc]ed under|under the [\w .,-]*licen[sc]e|click here|sign up|follow us|powered by",
-    re.IGNORECASE,
-)
-MOST_BOILERPLATE_WORDS = 20
+SHORT_LINE, SEPARATORS_PER_WORD, SYMBOLS_PER_WORD, SHOUTS_PER_WORD = 6, 0.2, 0.3, 0.2
+SPACES, SYMBOLS, SEPARATORS = " \t\n\x0b\x0c\r", "#*$%&|<>", "|›»•"
+#: Punctuation, by its Unicode category, that doesn't end a sentence.
+_OPEN = frozenset("#*%&@/\\,-›»•")
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+#: Places that make a line boilerplate: a share of the documents, but at least so many, and so that there are fewer such lines than MOST_COMMON.
+COMMON_SHARE, LEAST_PLACES, MOST_COMMON = 1e-3, 12, 1 << 20
 
 MEASURES = T.StructType(
     [T.StructField(n, T.LongType()) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lost_chars")]
@@ -43,46 +47,63 @@ MEASURES = T.StructType(
 )
 
 
+def common_lines(docs: DataFrame, text_col: str = "text") -> np.ndarray:
+    """The sorted hashes of the boilerplate lines of a table.
+
+    A line's places are counted in all documents: distinct places first, so that a frequent line is spread by its places. The
+    sum of all places bounds the number of lines that reach the least number, which keeps the result below MOST_COMMON.
+    """
+    lines = F.filter(F.split(F.col(text_col), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    hashes = docs.select(F.transform(lines, lambda x: F.xxhash64(F.btrim(x, F.lit(SPACES)))).alias("h")).where(F.size("h") > 0)
+    none = F.array(F.lit(0).cast("long"))
+    around = F.arrays_zip(F.concat(none, "h").alias("a"), F.col("h").alias("line"), F.concat(F.slice("h", 2, F.size("h")), none).alias("b"))
+    placed = hashes.select(F.explode(F.slice(around, 1, F.size("h"))).alias("x"))
+    places = placed.select(F.col("x.line"), F.xxhash64("x.a", "x.b").alias("place")).distinct().groupBy("line").agg(F.count("*").alias("places"))
+    found = materialise(places.where(F.col("places") >= LEAST_PLACES), "quality-lines")
+    least = max(LEAST_PLACES, COMMON_SHARE * docs.count(), (found.agg(F.sum("places")).first()[0] or 0) / MOST_COMMON)
+    rows = found.where(F.col("places") >= least).select("line").toArrow()
+    return np.sort(rows.column("line").to_numpy())
+
+
+def ends_sentence(line: str) -> bool:
+    last = line.rstrip(SPACES)[-1]
+    return last not in _OPEN and unicodedata.category(last) in ("Po", "Pe", "Pf")
+
+
 def fails(line: str) -> str | None:
-    """The rule that a line with words fails, or None."""
-    words = line.split()
-    n = len(words)
+    """The rule that a line with words fails by itself, or None; `open` for a short line without a sentence's end."""
+    n = len(_WORD.findall(line))
     if sum(map(line.count, SYMBOLS)) > SYMBOLS_PER_WORD * n + 1:
-        return "navigation" if sum(map(line.count, "|›»•")) > SEPARATORS_PER_WORD * n else "symbols"
+        return "navigation" if sum(map(line.count, SEPARATORS)) > SEPARATORS_PER_WORD * n else "symbols"
     if sum(map(line.count, "›»•")) > max(2, SEPARATORS_PER_WORD * n):
         return "navigation"
     if line.count("!!") + line.count("??") > SHOUTS_PER_WORD * n + 1:
         return "punctuation"
     if n <= SHORT_LINE:
-        if all(w.strip(".,:;|-").lower() in NAVIGATION for w in words):
-            return "navigation"
-        if not line.rstrip().endswith(SENTENCE_ENDS):
-            return "punctuation"
-    elif line.isupper() and n > SHORT_LINE:
-        return "capitals"
-    if n <= MOST_BOILERPLATE_WORDS and BOILERPLATE.search(line):
-        return "boilerplate"
-    return None
-
-
-def clean_lines(text: str) -> tuple[str, int, int, dict[str, int]]:
+        return None if ends_sentence(line) else "open"
+    return "capitals" if line.isupper() else None
+
+
+def clean_lines(text: str, is_common: Callable[[str], bool] = lambda line: False) -> tuple[str, int, int, dict[str, int]]:
     """The text without failing lines, the word characters that went with them, repeated lines, failures by rule."""
-    kept, lost, repeated, rules, seen, verdicts = [], 0, 0, {}, set(), {}
-    for line in text.split("\n"):
-        if not line.strip(SPACES):
-            kept.append(line)
-            continue
-        if line in seen:
+    lines, verdicts, repeated = text.split("\n"), {}, 0
+    full = [i for i, line in enumerate(lines) if line.strip(SPACES)]
+    for i in full:
+        if lines[i] in verdicts:
             repeated += 1
         else:
-            seen.add(line)
-            verdicts[line] = fails(line)
-        if rule := verdicts[line]:
-            lost += len(line) - sum(map(line.count, SPACES))
+            verdicts[lines[i]] = "boilerplate" if is_common(lines[i]) else fails(lines[i])
+    lost, rules, gone = 0, {}, set()
+    for k, i in enumerate(full):
+        rule = verdicts[lines[i]]
+        if rule == "open":
+            beside = full[max(0, k - 1) : k] + full[k + 1 : k + 2]
+            rule = "navigation" if any(verdicts[lines[j]] == "open" for j in beside) else "punctuation"
+        if rule:
+            gone.add(i)
+            lost += len(lines[i]) - sum(map(lines[i].count, SPACES))
             rules[rule] = rules.get(rule, 0) + 1
-        else:
-            kept.append(line)
-    return "\n".join(kept), lost, repeated, rules
+    return "\n".join(line for i, line in enumerate(lines) if i not in gone), lost, repeated, rules
 
 
 def _ranks(values: np.ndarray) -> np.ndarray:
@@ -112,32 +133,48 @@ def repeated_words(codes: np.ndarray, counts: np.ndarray, window: int = WINDOW)
     return out
 
 
-def measured(texts: pa.Array) -> list[tuple]:
+def measured(texts: pa.Array, is_common: Callable[[str], bool] = lambda line: False) -> list[tuple]:
     codes, counts, _ = word_codes(texts)
     repeats = repeated_words(codes, counts)
     out = []
     for text, n, r in zip(texts.to_pylist(), counts.tolist(), repeats.tolist()):
         text = text or ""
-        cleaned, lost, repeated, rules = clean_lines(text)
+        cleaned, lost, repeated, rules = clean_lines(text, is_common)
         out.append((n, len(text) - sum(map(text.count, SPACES)), sum(map(text.count, SYMBOLS)), repeated, r, lost, rules, cleaned))
     return out
 
 
-@pandas_udf(MEASURES)
-def line_measures(texts: pd.Series) -> pd.DataFrame:
-    batch = pa.record_batch([pa.array(texts, pa.large_string(), from_pandas=True)], ["text"])
-    rows = [row for piece in slices(batch, "text") for row in measured(piece.column(0))]
-    give_back()
-    return pd.DataFrame(rows, columns=MEASURES.names)
+def line_measures(common: np.ndarray, spark: SparkSession):
+    """A column function of the measures of a text, given the boilerplate lines' hashes."""
+    held = spark.sparkContext.broadcast(common)  # fewer than MOST_COMMON numbers
+
+    @pandas_udf(MEASURES)
+    def apply(texts: pd.Series) -> pd.DataFrame:
+        listed = frozenset(held.value.tolist())
+
+        def is_common(line: str) -> bool:
+            h = xxhash.xxh64_intdigest(line.strip(SPACES), 42)
+            return (h - (h >> 63 << 64)) in listed
+
+        batch = pa.record_batch([pa.array(texts, pa.large_string(), from_pandas=True)], ["text"])
+        rows = [row for piece in slices(batch, "text") for row in measured(piece.column(0), is_common if listed else lambda line: False)]
+        give_back()
+        return pd.DataFrame(rows, columns=MEASURES.names)
 
+    return apply
 
-def judge_quality(docs: DataFrame, text_col: str = "text", out_col: str = "quality") -> DataFrame:
-    """Adds a struct: the measures, the cleaned text, base_failed and kept."""
+
+def judge_quality(docs: DataFrame, text_col: str = "text", out_col: str = "quality", common: np.ndarray | None = None) -> DataFrame:
+    """Adds a struct: the measures, the cleaned text, base_failed and kept. common: common_lines() of these or other documents."""
     small_batches(docs.sparkSession)
-    m = F.col("__m")
-    failed = (m["n_words"] < LEAST_WORDS) | (100 * m["n_repeat_words"] > MOST_REPEATED_PERCENT * m["n_words"])
-    kept = ~failed & (m["lost_chars"] <= MOST_LOST * m["word_chars"])
-    return docs.withColumn("__m", line_measures(F.col(text_col))).withColumn(out_col, F.struct("__m.*", failed.alias("base_failed"), kept.alias("kept"))).drop("__m")
+    measure = line_measures(common_lines(docs, text_col) if common is None else common, docs.sparkSession)
+
+    def verdict(m):
+        failed = (m["n_words"] < LEAST_WORDS) | (100 * m["n_repeat_words"] > MOST_REPEATED_PERCENT * m["n_words"])
+        kept = ~failed & (m["lost_chars"] <= MOST_LOST * m["word_chars"])
+        return F.struct(*[m[c].alias(c) for c in MEASURES.names], failed.alias("base_failed"), kept.alias("kept"))
+
+    return docs.withColumn(out_col, F.get(F.transform(F.array(measure(F.col(text_col))), verdict), 0))
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,8 @@ polynomial in the depth. The sample shapes the shards, never the result: all pai
 Exact copies are one fingerprint from the start. Shards return a spanning forest of their links, not the pairs.
 
 Null, empty and blank texts have fingerprint zero, which links like any other. Null ids are allowed: they share in
-links and never name a component unless all its ids are null. Repeated rows each get a row.
+links and never name a component unless all its ids are null. Repeated rows each get a row. Texts of any length are read whole, in
+slices of shingles; an empty table gives no rows; further columns are carried or ignored whatever their names.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ RADIUS, SHINGLE, SEED = 3, 3, 42
 SHARD_ROWS, MOST_LEVELS, SAMPLE_PER_SHARD = 2048, 16, 24
 #: A shard with more fingerprints of its own is split into parts, each of which sees all visitors.
 PART_ROWS = 16384
+#: Rows of one fingerprint that one task joins; in very large tables as many as keep fewer than MOST_HOT fingerprints above that.
+HOT_ROWS, MOST_HOT = 512, 1 << 20
 
 
 def fingerprints(texts: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
@@ -194,11 +197,11 @@ def shard_links(distinct: DataFrame, count: int, radius: int = RADIUS, shard_row
 
 
 def near_duplicates(prints: DataFrame, id_col: str = "doc_id", fp_col: str = "fp", radius: int = RADIUS) -> DataFrame:
-    """(fp, component, component_id) for each distinct fingerprint.
+    """(fp, component, component_id, n) for each distinct fingerprint.
 
-    component is the smallest fingerprint that can be reached over links, component_id the smallest id.
+    component is the smallest fingerprint that can be reached over links, component_id the smallest id; n: rows of the fingerprint.
     """
-    groups = materialise(prints.groupBy(F.col(fp_col).alias("fp")).agg(F.min(id_col).alias("least")), "simhash-groups")
+    groups = materialise(prints.groupBy(F.col(fp_col).alias("fp")).agg(F.min(id_col).alias("least"), F.count("*").alias("n")), "simhash-groups")
     edges = materialise(shard_links(groups, groups.count(), radius), "simhash-links")
     joined = connected_components(edges).withColumnRenamed("node", "fp").join(groups, "fp")
     least = joined.groupBy("component").agg(F.min("least").alias("component_id"))
@@ -207,35 +210,52 @@ def near_duplicates(prints: DataFrame, id_col: str = "doc_id", fp_col: str = "fp
         "fp",
         F.coalesce("component", "fp").alias("component"),
         F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id"),
+        "n",
     )
 
 
+def join_groups(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """rows with the columns of their fingerprint's group. The rows of a common fingerprint are dealt to several tasks by their hash,
+    and its group is sent to each of them."""
+    total = groups.agg(F.sum("n")).first()[0] or 0
+    most = max(HOT_ROWS, total // MOST_HOT)
+    hot = F.broadcast(groups.where(F.col("n") > most).select(F.col("fp").alias("hot_fp"), F.ceil(F.col("n") / most).alias("parts")))  # fewer than MOST_HOT rows
+    parts = F.coalesce("parts", F.lit(1).cast("long"))
+    dealt = rows.join(hot, F.col("fp") == F.col("hot_fp"), "left").withColumn("part", F.pmod(F.xxhash64(*rows.columns), parts)).drop("hot_fp", "parts")
+    sent = groups.join(hot, F.col("fp") == F.col("hot_fp"), "left").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).drop("hot_fp", "parts", "n")
+    return dealt.join(sent, ["fp", "part"]).drop("part")
+
+
 def deduplicate(docs: DataFrame, similarity: float | None = None) -> DataFrame:
     """Keeps one row of each component: one of its smallest id (without ids: of its smallest fingerprint).
 
     similarity: texts whose five-word shingles have at least this Jaccard similarity are linked as well.
-    Columns stay as they are. Among rows that repeat id and fingerprint, the one with the least hash of all columns stays.
+    Columns stay as they are, whatever their names. Of rows with the component's id, the one of the smallest fingerprint and then of
+    the least hash of all columns stays; of rows that are the same in every column, one. Texts are fingerprinted once: rows
+    are found again by the hash of their columns.
     """
     small_batches(docs.sparkSession)
-    columns = docs.columns
-    more = [] if similarity is None else [F.xxhash64("text").alias("variant"), minhash.signature("text").alias("signature")]
-    prints = materialise(docs.select("doc_id", simhash("text").alias("fp"), *more), "simhash-prints")
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    column = dict(zip(docs.columns, numbered.columns))
+    row, doc_id, text = F.xxhash64(*numbered.columns), F.col(column["doc_id"]), F.col(column["text"])
+    more = [] if similarity is None else [F.xxhash64(text).alias("variant"), minhash.signature(text).alias("signature")]
+    prints = materialise(numbered.select(doc_id.alias("doc_id"), simhash(text).alias("fp"), row.alias("row"), *more), "simhash-prints")
     groups = near_duplicates(prints)
     if similarity is not None:
-        groups = minhash.join_similar(docs, prints, materialise(groups, "simhash-components"), similarity)
-    mine = prints.select("doc_id", "fp").join(groups, "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    owners = mine.groupBy("component").agg(F.min("fp").alias("__owner_fp"), F.min("doc_id").alias("__owner_id")).drop("component")
-    marked = docs.withColumn("__fp", simhash("text"))
-    kept = marked.join(owners, (F.col("__fp") == F.col("__owner_fp")) & F.col("doc_id").eqNullSafe(F.col("__owner_id")), "left_semi")
-    rank = F.row_number().over(Window.partitionBy("__fp", "doc_id").orderBy(F.xxhash64(*columns)))
-    return kept.withColumn("__rank", rank).where("__rank = 1").select(*columns)
+        groups = minhash.join_similar(numbered.select(text.alias("text")), prints, materialise(groups, "simhash-components"), similarity)
+    mine = join_groups(prints.select("doc_id", "fp", "row"), groups).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    owners = mine.groupBy("component").agg(F.min(F.struct("fp", "row", "doc_id")).alias("o")).select(F.col("o.row").alias("row"), F.coalesce("o.doc_id", F.lit(-1)).alias("id"))
+    marked = numbered.withColumns({"row": row, "id": F.coalesce(doc_id, F.lit(-1))})
+    rank = F.row_number().over(Window.partitionBy("row", "id").orderBy("row"))
+    kept = marked.join(owners, ["row", "id"], "left_semi").withColumn("rank", rank).where("rank = 1")
+    return kept.select(*numbered.columns).toDF(*docs.columns)
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     docs = read_table(spark, sf_dir, "documents")
     prints = materialise(docs.select("doc_id", simhash("text").alias("fp")), "simhash-prints")
-    found = prints.join(near_duplicates(prints), "fp")
+    found = join_groups(prints, materialise(near_duplicates(prints), "simhash-components"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 

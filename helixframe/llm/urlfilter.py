@@ -7,10 +7,13 @@ nothing wrong through. A key of the universe is listed exactly if the number of
 miss is odd. So each URL is judged from the filters alone: they come as scalar subqueries, and no join touches the pages.
 
 Level 1 is sized for about as many false positives as there are listed keys. All levels together then take about
-1.5 * log2(universe / listed) + 9 bits for each listed key; this, not the corpus, bounds what executors hold.
+1.5 * log2(universe / listed) + 9 bits for each listed key; this, not the corpus, decides what executors hold. A level is
+put together in segments of bounded size, on as many tasks, and may take MOST_FILTER_BYTES at most: a list for which that is too little is an
+error before anything is gathered.
 
 What decides a URL is its longest listed key. Null URLs and those without `://` have an empty host and path and no rule.
-Repeated and tied rows are judged one by one; an empty list allows everything; further columns do no harm.
+Repeated and tied rows are judged one by one; an empty list allows everything, an empty table gives no rows; further columns do no
+harm, and those named like a result give way to it. A URL of any length is read whole.
 """
 
 from __future__ import annotations
@@ -34,6 +37,8 @@ RULES = (
 )
 #: Hash functions of the levels after the first, which sets their rate of false positives to one in eight.
 LATER_HASHES = 3
+#: Words of 64 bits in a segment of a filter, and bytes of a filter at most.
+SEGMENT_WORDS, MOST_FILTER_BYTES = 1 << 13, 64 << 20
 
 
 def split_url(url: Column) -> tuple[Column, Column]:
@@ -58,7 +63,7 @@ def candidates(host: Column, path: Column, lengths: list[int]) -> Column:
 
 @dataclass(frozen=True)
 class Level:
-    """One Bloom filter: a table of one row with its words of 64 bits, and how keys map to bits."""
+    """One Bloom filter: a table of one row with its segments of words of 64 bits, and how keys map to bits."""
 
     words: DataFrame
     bits: int
@@ -73,18 +78,25 @@ class Level:
 
     def passes(self, key: Column, words: Column) -> Column:
         """Whether all bits of the key are set in the words."""
-        tests = [F.getbit(F.get(words, F.shiftright(p, 6).cast("int")), p.bitwiseAND(F.lit(63)).cast("int")) == 1 for p in self.positions(key)]
-        return reduce(lambda a, b: a & b, tests)
+        def is_set(p):
+            at = F.shiftright(p, 6)
+            word = F.get(F.get(words, F.floor(at / SEGMENT_WORDS).cast("int")), (at % SEGMENT_WORDS).cast("int"))
+            return F.getbit(word, p.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+        return reduce(lambda a, b: a & b, map(is_set, self.positions(key)))
 
 
 def build_level(keys: DataFrame, count: int, hashes: int, seed: int) -> Level:
     bits = 64 * ceil(max(64, count * hashes / log(2)) / 64)
+    if bits > 8 * MOST_FILTER_BYTES:
+        raise ValueError(f"a filter of {count} keys takes {bits // 8} bytes; {MOST_FILTER_BYTES} are allowed")
     level = Level(keys, bits, hashes, seed)
     set_bits = keys.select(F.explode(F.array(*level.positions(F.col("key")))).alias("p"))
     filled = set_bits.groupBy(F.shiftright("p", 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("word"))
     dense = filled.unionByName(keys.sparkSession.range(bits // 64).select(F.col("id").alias("at"), F.lit(0).cast("long").alias("word"))).groupBy("at").agg(F.bit_or("word").alias("word"))
-    words = dense.agg(F.array_sort(F.collect_list(F.struct("at", "word"))).alias("all")).select(F.transform("all", lambda x: x["word"]).alias("words"))
-    return Level(materialise(words, "bloom-level"), bits, hashes, seed)
+    in_order = lambda c, by, x: F.transform(F.array_sort(F.collect_list(F.struct(by, x))), lambda p: p[x]).alias(c)
+    segments = dense.groupBy(F.floor(F.col("at") / SEGMENT_WORDS).alias("segment")).agg(in_order("words", "at", "word"))
+    return Level(materialise(segments.agg(in_order("words", "segment", "words")), "bloom-level"), bits, hashes, seed)
 
 
 @dataclass(frozen=True)

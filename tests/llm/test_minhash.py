@@ -1,7 +1,10 @@
 import random
 
+import numpy as np
+import pytest
+
 import corpus_pipeline
-from helixframe.llm import simhash
+from helixframe.llm import minhash, simhash
 from tests.llm.test_simhash import plain_components, plain_fingerprint
 
 
@@ -10,7 +13,10 @@ def shingles(text):
     return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
 
 
-def test_stage_links_near_copies(spark):
+@pytest.mark.parametrize("part", [256, 5])
+def test_stage_links_near_copies(spark, monkeypatch, part):
+    monkeypatch.setattr(minhash, "PART", part)
+    monkeypatch.setattr(minhash, "REACH", ((2, 1), (minhash.BANDS, 1)))
     rng = random.Random(21)
     vocabulary = [f"w{i}" for i in range(900)]
     texts = []
@@ -44,3 +50,26 @@ def test_stage_links_near_copies(spark):
     kept = [r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()]
     assert sorted(kept) == [i for i in range(len(texts)) if find(i) == i]
     assert len(kept) < simhash.deduplicate(docs).count()
+
+
+def test_links_of_parts_equal_all_pairs():
+    rng = np.random.default_rng(3)
+    base = [rng.choice(400, 60, replace=False) for _ in range(6)]
+    sets = [np.unique(np.where(rng.random(60) < 0.03, rng.integers(400, 900, 60), base[i % 6])) for i in range(60)]
+    labels, sides = np.arange(60) // 2, np.arange(60) % 3 // 2
+    for s in (sides, np.zeros(60, int)):
+        want = set()
+        for a in range(60):
+            for b in range(a):
+                shared = len(np.intersect1d(sets[a], sets[b]))
+                if labels[a] != labels[b] and (s[a] != s[b] or not s.any()) and shared >= 0.8 * (len(sets[a]) + len(sets[b]) - shared):
+                    want.add((min(labels[a], labels[b]), max(labels[a], labels[b])))
+
+        def classes(edges):
+            root = list(range(30))
+            for _ in range(30):
+                for x, y in edges:
+                    root[x] = root[y] = min(root[x], root[y])
+            return root
+
+        assert want and classes(minhash._linked(sets, labels, s, 0.8)) == classes(want)

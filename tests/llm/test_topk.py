@@ -20,6 +20,8 @@ def plain(rows, k=5):
 def test_equals_brute_force(spark, tmp_path, monkeypatch, block, bins, n):
     monkeypatch.setattr(topk, "BLOCK", block)
     monkeypatch.setattr(topk, "BINS", bins)
+    monkeypatch.setattr(topk, "ROW_BLOCK", block * 20)
+    monkeypatch.setattr(topk, "PIECE", max(5, block // 3))
     rng = random.Random(n)
     rows = [(i, [round(rng.gauss(0, 0.2), 3) for _ in range(6)]) for i in range(n)]
     if n > 10:
@@ -29,3 +31,12 @@ def test_equals_brute_force(spark, tmp_path, monkeypatch, block, bins, n):
     got = topk.op9_topk(spark, str(tmp_path))
     assert got.columns == ["query_id", "rank", "vec_id", "score"]
     assert sorted(map(tuple, got.collect())) == plain(floats)
+
+
+def test_scores_beyond_64_bits_are_an_error(spark):
+    rows = spark.createDataFrame([(0, [1 << 40]), (1, [1 << 40])], "id long, v array<long>")
+    with pytest.raises(OverflowError):
+        topk.top_k(rows, rows)
+    fits = spark.createDataFrame([(0, [1 << 30, 3]), (1, [(1 << 30) + 1, -7]), (2, [-(1 << 30), 1])], "id long, v array<long>")
+    got = sorted(map(tuple, topk.top_k(fits, fits.where("id = 0")).collect()))
+    assert got == [(0, 1, 1, (1 << 30) * ((1 << 30) + 1) - 21), (0, 2, 2, 3 - (1 << 60))]

@@ -1,6 +1,7 @@
 import random
 
 import duckdb
+import pytest
 
 from helixframe.llm import urlfilter
 
@@ -21,7 +22,8 @@ def test_query_equals_sql(spark, tmp_path):
     assert by_id[0][1:] == ("www.example.com", "/en/1", "www.example.com/en/", "allow") and by_id[2][3:] == ("example.com/en/", "block") and by_id[11][1:] == ("", "", None, "allow")
 
 
-def test_cascade_is_exact_over_the_universe(spark):
+def test_cascade_is_exact_over_the_universe(spark, monkeypatch):
+    monkeypatch.setattr(urlfilter, "SEGMENT_WORDS", 16)
     rng = random.Random(2)
     universe = [f"h{rng.randrange(10**6)}.example/{i}" for i in range(6000)]
     listed = set(universe[:500]) | {"elsewhere/"}
@@ -37,3 +39,15 @@ def test_cascade_is_exact_over_the_universe(spark):
 def test_empty_pages(spark, tmp_path):
     spark.createDataFrame([], "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
     assert urlfilter.op10_url_filters(spark, str(tmp_path)).count() == 0
+
+
+def test_too_large_a_list_is_an_error_and_long_urls_are_read_whole(spark, monkeypatch):
+    keys = spark.createDataFrame([(f"h{i}/",) for i in range(900)], "key string")
+    monkeypatch.setattr(urlfilter, "MOST_FILTER_BYTES", 64)
+    with pytest.raises(ValueError, match="900 keys"):
+        urlfilter.build_cascade(keys, keys)
+    monkeypatch.undo()
+    pages = spark.createDataFrame([(1, "https://" + "a." * 300 + "net/es/" + "x/" * 200_000)], "page_id long, url string")
+    rules = spark.createDataFrame([("net", "/es/", "block")], "host string, path string, verdict string")
+    row = urlfilter.judge(pages, rules, [4]).first()
+    assert row["verdict"] == "block" and len(row["path"]) == 400_004
