@@ -251,3 +251,63 @@ def test_results_do_not_depend_on_partitions(spark, partitions):
     rows = table(spark, [(i * 7 % 1009, i % 5) for i in range(1009)], "id long, x int").repartition(partitions)
     got = {r["id"]: r["row"] for r in matrix.numbered_rows(rows, "id").collect()}
     assert got == {i: i for i in range(1009)}
+
+
+def test_common_keys_are_split_without_loss(spark):
+    rng = random.Random(5)
+    a = [(i, rng.choice("xxxxyz")) for i in range(90)]
+    b = [(i, rng.choice("xxyyw")) for i in range(70)]
+    want = sorted((i, j, k) for i, k in a for j, m in b if k == m)
+    for most in (7, 1000):
+        got = genome.split_join(table(spark, a, "i long, k string"), table(spark, b, "j long, k string"), "k", most)
+        assert sorted((r["i"], r["j"], r["k"]) for r in got.collect()) == want
+
+
+def test_numbers_and_running_sums_of_repeated_rows(spark):
+    rows = table(spark, [(i % 7, 3) for i in range(500)] + [(-5, 2)], "x int, size int").repartition(6)
+    got = sorted((r["row"], r["x"], r["before"]) for r in matrix.numbered_rows(rows, "x", size="size").collect())
+    assert [g[0] for g in got] == list(range(501)) and [g[1] for g in got] == sorted(g[1] for g in got)
+    assert [g[2] for g in got] == [0, *(2 + 3 * i for i in range(500))]
+
+
+def test_shards_keep_their_order_and_one_header(spark):
+    rows = table(spark, [(i % 3, i, f"row {i}") for i in range(400)], "shard int, pos int, line string").repartition(4)
+    path = src.write_shards(rows, ["pos"], "t", "#head")
+    lines = [r["line"] for r in src.ordered_lines(spark, src.concat_shards(spark, path, "u", "#")).orderBy("place").collect()]
+    assert lines == ["#head", *(f"row {i}" for s in range(3) for i in range(s, 400, 3))]
+
+
+def test_fasta_runs_lists_and_manifests(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(src, "RUN_LINES", 4)
+    path = written(spark, tmp_path, "r.fasta", "".join(f">h{i}\n" + "AC\n" * (i % 5) for i in range(60)))
+    assert {r["header"]: r["seq"] for r in src.read_fasta(spark, path).collect()} == {f"h{i}": "AC" * (i % 5) for i in range(60)}
+    assert {r["header"]: r["length"] for r in src.fasta_lengths(spark, path).collect()} == {f"h{i}": 2 * (i % 5) for i in range(60)}
+    names = table(spark, [("a",), ("b",)], "name string")
+    (tmp_path / "s" / "a").mkdir(parents=True)
+    written(spark, tmp_path / "s" / "a", "x.txt", "x")
+    files = src.list_files(spark, str(tmp_path / "s"))
+    assert [r["name"] for r in src.missing_shards(spark, names, files).collect()] == ["b"]
+    with pytest.raises(FileNotFoundError, match="b"):
+        src.require_shards(spark, names, files)
+    lines = written(spark, tmp_path, "c.jsonl", '{"d1": {"A": [1, 2], "B": []}}\n\n{"d2": {"A": [7]}}\n')
+    assert sorted(map(tuple, src.read_constraints(spark, lines).collect())) == [("d1", "A", 1), ("d1", "A", 2), ("d2", "A", 7)]
+
+
+def test_glm_rules_and_repeated_poses(spark):
+    full = table(spark, [(c, 1, 5.0) for c in range(4)] + [(c, 2, 2.0 * c) for c in range(4)] + [(c, 3, float(c * c)) for c in range(4)], "cell_id long, gene_id long, value double")
+    left = table(spark, [(c, g, 1e-12 if g < 3 else c - 1.0) for g in (1, 2, 3) for c in range(4)], "cell_id long, gene_id long, value double")
+    got = {(r["gene_id"], r["cell_id"]): r["value"] for r in matrix.regress_out_glm(full, left).collect()}
+    assert got[1, 3] == 5.0 and got[2, 3] == 0.0 and got[3, 3] == 2.0
+    poses = table(spark, [(1, -2.0, 0.0, 0.0, 0.0)] * 2 + [(1, -1.0, 9.0, 0.0, 0.0)], "ligand long, energy double, x double, y double, z double")
+    assert sorted(r["cluster"] for r in molecules.pose_clusters(poses).collect()) == [0, 0, 1]
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    from helixframe.operators import scratch
+
+    class Session:
+        conf = type("C", (), {"get": staticmethod(lambda *_: None)})
+        sparkContext = type("X", (), {"master": "spark://host:7077"})
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch.shared_folder(Session())
