@@ -55,8 +55,8 @@ def test_stage_links_near_copies(spark, monkeypatch, part):
 def test_links_of_parts_equal_all_pairs():
     rng = np.random.default_rng(3)
     base = [rng.choice(400, 60, replace=False) for _ in range(6)]
-    sets = [np.unique(np.where(rng.random(60) < 0.03, rng.integers(400, 900, 60), base[i % 6])) for i in range(60)]
-    labels, sides = np.arange(60) // 2, np.arange(60) % 3 // 2
+    sets = [np.unique(np.where(rng.random(60) < 0.04, rng.integers(400, 900, 60), base[i % 6])) for i in range(60)]
+    labels, sides = np.arange(60) // 2, np.arange(60) // 6 % 2
     for s in (sides, np.zeros(60, int)):
         want = set()
         for a in range(60):
