@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from helixframe.llm import audit, chat, langid, mixing, packing, pii, quality, resampling, scoring, simhash, topk, urlfilter
+from helixframe.llm import audit, chat, htmltext, langid, mixing, packing, pii, quality, resampling, scoring, simhash, topk, urlfilter
 
-MODULES = (audit, chat, langid, mixing, packing, pii, quality, resampling, scoring, simhash, topk, urlfilter)
+MODULES = (audit, chat, htmltext, langid, mixing, packing, pii, quality, resampling, scoring, simhash, topk, urlfilter)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
