@@ -5,9 +5,9 @@ with a probability of 0.0002, a pair below 0.3 rarely shares one. No pair links
 reach the similarity. Texts of fewer than five words are one shingle; null and blank texts have none and never link here.
 
 A band's texts stand in an order of their own, and a text first meets the next ones of other groups within a reach: this joins
-most of a large group by few comparisons, and what links have joined isn't compared again. All pairs of a band of up to REACH[-1] + 1 texts
-meet; in larger ones a pair may stay apart where no chain leads over others. With `full`, what is left of such bands is compared in
-full, part by part of bounded size, where a part reports links only; this sends whole sets to many parts.
+most of a large group by few comparisons, and what links have joined isn't compared again. Bands that hold more texts than the reach covers
+and still several groups are then compared in full: every pair of texts of different groups that share a band is decided. Texts that hold too few shingles of other
+groups to link to any are left out, and parts of bounded size meet in tasks that report links only. Blocks of equal texts enter as one text.
 """
 
 from __future__ import annotations
@@ -28,8 +28,8 @@ SHINGLE, BANDS, ROWS, SEED = 5, 16, 4, 42
 #: Rounds of links: (bands that are read, neighbours that a text meets in each). The first joins most of large groups cheaply.
 REACH = ((4, 1), (BANDS, 6))
 
-#: Texts of a part of a band that is compared in full.
-PART = 256
+#: Shingles of a part of a band that is compared in full; shingles that make over 1/HOT_SHARE of all rows are broadcast.
+PART, HOT_SHARE = 1 << 18, 1000
 
 _RNG = np.random.default_rng(SEED)
 _FLIP = _RNG.integers(0, 1 << 64, BANDS * ROWS, np.uint64)
@@ -149,27 +149,60 @@ def _linked(sets: list[np.ndarray], labels: np.ndarray, sides: np.ndarray, simil
     return found
 
 
-def _rest(labelled: DataFrame, texts: DataFrame, reach: int, similarity: float) -> DataFrame:
+def _ambiguous(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Those of members (variant, label, n) that may reach the similarity with a member of another label, as (variant).
+
+    Such a pair shares at least similarity x n shingles of either text, each of which two labels hold. Texts with fewer of those
+    go, and with them their shingles, as long as that removes a tenth of the texts. Common shingles are broadcast: those that make
+    over a thousandth of all rows are fewer than HOT_SHARE.
+    """
+    wanted = texts.join(members.select("variant"), "variant", "left_semi").dropDuplicates(["variant"])
+    tokens = materialise(members.join(wanted, "variant").select("variant", "label", "n", F.explode(shingle_set("text")).alias("token")), "minhash-tokens")
+    before = members.count()
+    while True:
+        held = tokens.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("rows")).where("low < high")
+        held = materialise(held.select("token", "rows"), "minhash-held")
+        hot = F.broadcast(held.where(F.col("rows") > tokens.count() / HOT_SHARE).select("token"))
+        shared = tokens.join(hot, "token", "left_semi").unionByName(tokens.join(hot, "token", "left_anti").join(held.select("token"), "token", "left_semi"))
+        left = shared.groupBy("variant", "n").agg(F.count("*").alias("c")).where(F.col("c") >= similarity * F.col("n") - 1e-9)
+        left = materialise(left.select("variant"), "minhash-left")
+        after = left.count()
+        if not after or after > 0.9 * before:
+            return left
+        tokens, before = materialise(tokens.join(left, "variant", "left_semi"), "minhash-tokens"), after
+
+
+def _rest(labelled: DataFrame, texts: DataFrame, reach: int, similarity: float, part: int = PART) -> DataFrame:
     """Links (src, dst) of labels over all pairs of the bands that hold more texts than the reach covers, and several labels.
 
-    A band is cut into parts: a label with many texts in it has parts of its own, the others share parts. Each two parts meet in
+    Texts without a chance of a link to another label are left out first. A band is then cut into parts of about `part` shingles: a
+    label with many of them in it has parts of its own, the others share parts. Each two parts meet in
     a task, but for those of one label, which are linked already. So nothing of a band is gathered beyond two parts.
     """
+
+    def crowded_rows(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        sizes = rows.groupBy("band", "label").agg(F.sum("n").alias("own"), F.count("*").alias("texts"))
+        small = F.sum(F.when(F.col("own") < part, F.col("own")).otherwise(0)).alias("small")
+        crowded = sizes.groupBy("band").agg(F.sum("texts").alias("all"), F.count("*").alias("labels"), small).where("labels > 1")
+        return sizes, crowded
+
     rows = labelled.select("variant", "label", "n", F.explode("bands").alias("band"))
-    sizes = rows.groupBy("band", "label").agg(F.count("*").alias("own"))
-    crowded = sizes.groupBy("band").agg(F.sum("own").alias("all"), F.count("*").alias("labels"), F.sum(F.when(F.col("own") < PART, F.col("own")).otherwise(0)).alias("small"))
-    crowded = crowded.where((F.col("all") > reach + 1) & (F.col("labels") > 1))
+    crowded = crowded_rows(rows)[1].where(F.col("all") > reach + 1).select("band")
+    rows = materialise(rows.join(crowded, "band", "left_semi"), "minhash-crowded")
+    left = _ambiguous(rows.select("variant", "label", "n").distinct(), texts, similarity)
+    rows = materialise(rows.join(left, "variant", "left_semi"), "minhash-crowded")
+    sizes, crowded = crowded_rows(rows)
     placed = rows.join(sizes.join(crowded, "band").select("band", "label", "own", "small"), ["band", "label"])
-    big = F.col("own") >= PART
-    placed = placed.select("band", "variant", "label", F.when(big, F.col("label")).alias("of"), F.pmod(F.xxhash64("variant"), F.ceil(F.when(big, F.col("own")).otherwise(F.col("small")) / PART).cast("long")).alias("k"))
-    placed = materialise(placed, "minhash-crowded")
+    big = F.col("own") >= part
+    placed = placed.select("band", "variant", "label", F.when(big, F.col("label")).alias("of"), F.pmod(F.xxhash64("variant"), F.ceil(F.when(big, F.col("own")).otherwise(F.col("small")) / part).cast("long")).alias("k"))
+    placed = materialise(placed, "minhash-placed")
     parts = placed.select("band", "of", "k").distinct()
     a, b = parts.toDF("band", "of_a", "k_a"), parts.toDF("band", "of_b", "k_b")
     later = F.struct(F.coalesce("of_a", F.lit(0)), F.col("of_a").isNull(), "k_a") <= F.struct(F.coalesce("of_b", F.lit(0)), F.col("of_b").isNull(), "k_b")
     apart = ~F.coalesce(F.col("of_a") == F.col("of_b"), F.lit(False))
     pairs = a.join(b, "band").where(later & apart).withColumn("pair", F.xxhash64("band", "of_a", "k_a", "of_b", "k_b"))
     ends = pairs.select("band", "pair", F.explode(F.array(F.struct(F.col("of_a").alias("of"), F.col("k_a").alias("k")), F.struct(F.col("of_b").alias("of"), F.col("k_b").alias("k")))).alias("e")).select("band", "pair", "e.of", "e.k").distinct()
-    sets = materialise(texts.join(placed.select("variant").distinct(), "variant", "left_semi").dropDuplicates(["variant"]).select("variant", shingle_set("text").alias("set")), "minhash-rest")
+    sets = materialise(texts.join(left, "variant", "left_semi").dropDuplicates(["variant"]).select("variant", shingle_set("text").alias("set")), "minhash-rest")
     same = (placed["band"] == ends["band"]) & placed["of"].eqNullSafe(ends["of"]) & (placed["k"] == ends["k"])
     sent = placed.join(ends, same).select("pair", "variant", "label", F.xxhash64(placed["of"], placed["k"]).alias("side")).join(sets, "variant").select("pair", "label", "side", "set")
 
@@ -181,7 +214,7 @@ def _rest(labelled: DataFrame, texts: DataFrame, reach: int, similarity: float)
     return sent.groupBy("pair").applyInArrow(compare, "src long, dst long").distinct()
 
 
-def join_similar(docs: DataFrame, prints: DataFrame, groups: DataFrame, similarity: float, full: bool = False) -> DataFrame:
+def join_similar(docs: DataFrame, prints: DataFrame, groups: DataFrame, similarity: float, reach: tuple = REACH, part: int = PART) -> DataFrame:
     """groups (fp, component, component_id, n) with those joined that hold texts of at least the similarity.
 
     prints: (fp, variant, signature) of each row of docs, variant the xxhash64 of its text.
@@ -200,7 +233,7 @@ def join_similar(docs: DataFrame, prints: DataFrame, groups: DataFrame, similari
         least = moved.groupBy("component").agg(F.min("component_id").alias("least"))
         return materialise(moved.join(least, "component").select("fp", "component", F.col("least").alias("component_id"), "n"), "minhash-groups")
 
-    for bands, reach in REACH:
-        pairs = materialise(_candidates(labelled(), bands, reach, similarity), "minhash-pairs")
+    for bands, near in reach:
+        pairs = materialise(_candidates(labelled(), bands, near, similarity), "minhash-pairs")
         groups = joined(materialise(_confirmed(pairs, texts, similarity), "minhash-links"))
-    return joined(materialise(_rest(labelled(), texts, REACH[-1][1], similarity), "minhash-links")) if full else groups
+    return joined(materialise(_rest(labelled(), texts, reach[-1][1], similarity, part), "minhash-links"))

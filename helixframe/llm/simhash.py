@@ -226,10 +226,10 @@ def join_groups(rows: DataFrame, groups: DataFrame) -> DataFrame:
     return dealt.join(sent, ["fp", "part"]).drop("part")
 
 
-def deduplicate(docs: DataFrame, similarity: float | None = None, full: bool = False) -> DataFrame:
+def deduplicate(docs: DataFrame, similarity: float | None = None, **how) -> DataFrame:
     """Keeps one row of each component: one of its smallest id (without ids: of its smallest fingerprint).
 
-    similarity: texts whose five-word shingles have at least this Jaccard similarity are linked as well; full: see minhash.
+    similarity: texts whose five-word shingles have at least this Jaccard similarity are linked as well; how: reach and part of minhash.join_similar().
     Columns stay as they are, whatever their names. Of rows with the component's id, the one of the smallest fingerprint and then of
     the least hash of all columns stays; of rows that are the same in every column, one. Texts are fingerprinted once: rows
     are found again by the hash of their columns.
@@ -242,7 +242,7 @@ def deduplicate(docs: DataFrame, similarity: float | None = None, full: bool = F
     prints = materialise(numbered.select(doc_id.alias("doc_id"), simhash(text).alias("fp"), row.alias("row"), *more), "simhash-prints")
     groups = near_duplicates(prints)
     if similarity is not None:
-        groups = minhash.join_similar(numbered.select(text.alias("text")), prints, materialise(groups, "simhash-components"), similarity, full)
+        groups = minhash.join_similar(numbered.select(text.alias("text")), prints, materialise(groups, "simhash-components"), similarity, **how)
     mine = join_groups(prints.select("doc_id", "fp", "row"), groups).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     owners = mine.groupBy("component").agg(F.min(F.struct("fp", "row", "doc_id")).alias("o")).select(F.col("o.row").alias("row"), F.coalesce("o.doc_id", F.lit(-1)).alias("id"))
     marked = numbered.withColumns({"row": row, "id": F.coalesce(doc_id, F.lit(-1))})
