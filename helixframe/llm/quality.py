@@ -38,8 +38,8 @@ SPACES, SYMBOLS, SEPARATORS = " \t\n\x0b\x0c\r", "#*$%&|<>", "|›»•"
 #: Punctuation, by its Unicode category, that doesn't end a sentence.
 _OPEN = frozenset("#*%&@/\\,-›»•")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
-#: Places that make a line boilerplate: a share of the documents, but at least so many, and so that there are fewer such lines than MOST_COMMON.
-COMMON_SHARE, LEAST_PLACES, MOST_COMMON = 1e-3, 12, 1 << 20
+#: Places that make a line boilerplate: a share of the documents, but at least so many.
+COMMON_SHARE, LEAST_PLACES = 1e-3, 12
 
 MEASURES = T.StructType(
     [T.StructField(n, T.LongType()) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lost_chars")]
@@ -50,8 +50,9 @@ MEASURES = T.StructType(
 def common_lines(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     """The sorted hashes of the boilerplate lines of a table.
 
-    A line's places are counted in all documents: distinct places first, so that a frequent line is spread by its places. The
-    sum of all places bounds the number of lines that reach the least number, which keeps the result below MOST_COMMON.
+    A line's places are counted in all documents: distinct places first, so that a frequent line is spread by its places. Documents
+    have no more places than lines, so that fewer lines reach the share than 1 / COMMON_SHARE times the lines of a document on average,
+    however many documents there are.
     """
     lines = F.filter(F.split(F.col(text_col), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     hashes = docs.select(F.transform(lines, lambda x: F.xxhash64(F.btrim(x, F.lit(SPACES)))).alias("h")).where(F.size("h") > 0)
@@ -60,7 +61,7 @@ def common_lines(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     placed = hashes.select(F.explode(F.slice(around, 1, F.size("h"))).alias("x"))
     places = placed.select(F.col("x.line"), F.xxhash64("x.a", "x.b").alias("place")).distinct().groupBy("line").agg(F.count("*").alias("places"))
     found = materialise(places.where(F.col("places") >= LEAST_PLACES), "quality-lines")
-    least = max(LEAST_PLACES, COMMON_SHARE * docs.count(), (found.agg(F.sum("places")).first()[0] or 0) / MOST_COMMON)
+    least = max(LEAST_PLACES, COMMON_SHARE * docs.count())
     rows = found.where(F.col("places") >= least).select("line").toArrow()
     return np.sort(rows.column("line").to_numpy())
 
@@ -146,18 +147,20 @@ def measured(texts: pa.Array, is_common: Callable[[str], bool] = lambda line: Fa
 
 def line_measures(common: np.ndarray, spark: SparkSession):
     """A column function of the measures of a text, given the boilerplate lines' hashes."""
-    held = spark.sparkContext.broadcast(common)  # fewer than MOST_COMMON numbers
+    held = spark.sparkContext.broadcast(common)  # bounded as in common_lines()
 
     @pandas_udf(MEASURES)
     def apply(texts: pd.Series) -> pd.DataFrame:
-        listed = frozenset(held.value.tolist())
+        listed = held.value
 
         def is_common(line: str) -> bool:
             h = xxhash.xxh64_intdigest(line.strip(SPACES), 42)
-            return (h - (h >> 63 << 64)) in listed
+            h -= h >> 63 << 64
+            at = listed.searchsorted(h)
+            return at < len(listed) and listed[at] == h
 
         batch = pa.record_batch([pa.array(texts, pa.large_string(), from_pandas=True)], ["text"])
-        rows = [row for piece in slices(batch, "text") for row in measured(piece.column(0), is_common if listed else lambda line: False)]
+        rows = [row for piece in slices(batch, "text") for row in measured(piece.column(0), is_common if len(listed) else lambda line: False)]
         give_back()
         return pd.DataFrame(rows, columns=MEASURES.names)
 

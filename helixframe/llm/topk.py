@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from helixframe.llm.common import materialise, read_table
 
 K, QUERY_MODULUS, SCALE = 5, 50, 256
-#: Queries and rows of a block, bins of a range in one pass, queries and rows scored at once.
-BLOCK, ROW_BLOCK, BINS, PIECE = 8192, 65536, 1024, 1024
+#: Queries and rows of a block and bytes of their components, bins of a range in one pass, queries and rows scored at once.
+BLOCK, ROW_BLOCK, BLOCK_BYTES, BINS, PIECE = 8192, 65536, 32 << 20, 1024, 1024
 OWN = np.iinfo(np.int64).min
 
 
@@ -75,16 +75,17 @@ def _meet(asked: DataFrame, rows: DataFrame, query_blocks: int, row_blocks: int,
 
 def top_k(rows: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """(query_id, rank, vec_id, score) of the k best rows of each query; both tables: (id, v) as from quantised()."""
-    largest = lambda df: df.agg(F.max(F.coalesce(F.array_max(F.transform("v", lambda x: F.abs(x))), F.lit(0))), F.max(F.size("v")), F.count("*")).first()
+    largest = lambda df: df.agg(F.max(F.coalesce(F.array_max(F.transform("v", lambda x: F.abs(x))), F.lit(0))), F.max(F.size("v")), F.count("*"), F.sum(F.size("v"))).first()
     kept = materialise(rows.select(F.col("id").alias("row_id"), F.col("v").alias("row_v"), F.monotonically_increasing_id().alias("at")), "topk-rows")
     asked = materialise(queries.groupBy("id").agg(F.min("v").alias("v")), "topk-queries")
-    (most_row, width_r, n_rows), (most_query, width_q, n_queries) = largest(kept.withColumnRenamed("row_v", "v")), largest(asked)
+    (most_row, width_r, n_rows, size_r), (most_query, width_q, n_queries, size_q) = largest(kept.withColumnRenamed("row_v", "v")), largest(asked)
     width = max(1, min(width_r or 0, width_q or 0))
     limit = int(most_row or 0) * int(most_query or 0) * width
     if limit >= 1 << 62:
         raise OverflowError("scores may pass 64 bits")
     exact = limit < 1 << 53
-    row_blocks, query_blocks = max(1, -(-n_rows // ROW_BLOCK)), max(1, -(-n_queries // BLOCK))
+    blocks_of = lambda n, most, numbers: max(1, -(-n // most), -(-8 * (numbers or 0) // BLOCK_BYTES))
+    row_blocks, query_blocks = blocks_of(n_rows, ROW_BLOCK, size_r), blocks_of(n_queries, BLOCK, size_q)
     blocks = kept.select("row_id", "row_v", F.pmod(F.xxhash64("at"), F.lit(row_blocks)).cast("int").alias("rb"))  # whatever repeats
     start = (F.lit(x).cast("long").alias(n) for n, x in (("low", -limit), ("top", limit + 1), ("above", 0)))
     state = materialise(asked.select("id", "v", F.pmod(F.xxhash64("id"), F.lit(query_blocks)).cast("int").alias("qb"), *start), "topk-ranges")

@@ -8,8 +8,8 @@ miss is odd. So each URL is judged from the filters alone: they come as scalar s
 
 Level 1 is sized for about as many false positives as there are listed keys. All levels together then take about
 1.5 * log2(universe / listed) + 9 bits for each listed key; this, not the corpus, decides what executors hold. A level is
-put together in segments of bounded size, on as many tasks, and may take MOST_FILTER_BYTES at most: a list for which that is too little is an
-error before anything is gathered.
+put together in segments of bounded size, on as many tasks, and may take MOST_FILTER_BYTES at most. Longer lists are dealt to shards by the
+hash of the key; each shard has cascades of its own, over its own part of the universe, and the pages are judged shard after shard.
 
 What decides a URL is its longest listed key. Null URLs and those without `://` have an empty host and path and no rule.
 Repeated and tied rows are judged one by one; an empty list allows everything, an empty table gives no rows; further columns do no
@@ -49,10 +49,13 @@ def split_url(url: Column) -> tuple[Column, Column]:
     return F.coalesce(F.translate(host, A_TO_Z, A_TO_Z_LOWER), F.lit("")), F.coalesce(path, F.lit(""))
 
 
-def candidates(host: Column, path: Column, lengths: list[int]) -> Column:
-    """(length, host length, key) of each key that a rule for the URL can have. A host has no slash, a path begins with one."""
-    labels = F.split(host, r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+def candidates(host: Column, path: Column, lengths: list[int], most_labels: int) -> Column:
+    """(length, host length, key) of each key that a rule for the URL can have. A host has no slash, a path begins with one.
+
+    No suffix has more labels than the listed hosts, so that a host of many labels costs no more than its length.
+    """
+    counts = F.sequence(F.lit(1), F.least(F.size(F.split(host, r"\.")), F.lit(most_labels)))
+    suffixes = F.transform(counts, lambda i: F.call_function("substring_index", host, F.lit("."), -i))
     sizes = F.filter(F.array(*map(F.lit, lengths)).cast("array<int>"), lambda n: n <= F.length(path))
 
     def with_paths(suffix):
@@ -132,24 +135,49 @@ def build_cascade(listed: DataFrame, universe: DataFrame) -> Cascade:
     return Cascade(tuple(levels))
 
 
+def shards_for(listed: int, others: int) -> int:
+    """Into how many shards by hash keys have to be dealt, so that each one's first level stays well below MOST_FILTER_BYTES."""
+    hashes = min(30, max(1, ceil(log2(max(2.0, others / max(1, listed))))))
+    return max(1, ceil(listed * max(hashes, LATER_HASHES) / log(2) / 8 / (MOST_FILTER_BYTES / 2)))
+
+
+def _decided(block: Cascade, allow: Cascade):
+    """What the cascades say of a candidate."""
+
+    def decided(c):
+        blocked = block.contains(c["key"], "__block")
+        return F.struct(c["length"].cast("int"), c["of_host"].cast("int"), c["key"], F.when(blocked, F.lit("block")).when(allow.contains(c["key"], "__allow"), F.lit("allow")).alias("verdict"))
+
+    return decided
+
+
 def judge(pages: DataFrame, rules: DataFrame, lengths: list[int], url_col: str = "url") -> DataFrame:
     """Adds host, path, rule and verdict. rules: (host, path, verdict); lengths: the lengths that their paths have."""
     host, path = split_url(F.col(url_col))
-    keys = candidates(F.col("__host"), F.col("__path"), lengths)
+    labels = rules.agg(F.max(F.size(F.split("host", r"\.")))).first()[0] or 0
+    keys = candidates(F.col("__host"), F.col("__path"), lengths, max(1, labels))
     split = pages.withColumns({"__host": host, "__path": path})
     universe = split.select(F.explode(keys).alias("c")).select("c.key").distinct()
     listed = rules.select(F.concat("host", "path").alias("key"), "verdict")
-    block = build_cascade(listed.where("verdict = 'block'").select("key"), universe)
-    allow = build_cascade(listed.where("verdict = 'allow'").select("key"), universe)
-    ready = allow.attach(block.attach(split, "__block"), "__allow")
-
-    def decided(c):
-        blocked = block.contains(c["key"], "__block")
-        return F.struct(c["length"], c["of_host"], c["key"], F.when(blocked, F.lit("block")).when(allow.contains(c["key"], "__allow"), F.lit("allow")).alias("verdict"))
-
-    best = F.array_max(F.filter(F.transform(keys, decided), lambda d: d["verdict"].isNotNull()))
-    chosen = ready.select(*[F.col(c) for c in pages.columns], F.col("__host").alias("host"), F.col("__path").alias("path"), best.alias("__best"))
-    return chosen.select(*[c for c in pages.columns if c not in ("host", "path", "rule", "verdict")], "host", "path", F.col("__best.key").alias("rule"), F.coalesce("__best.verdict", F.lit("allow")).alias("verdict"))
+    count = listed.count()
+    # Most lists are small enough for one shard whatever the universe is.
+    shards = 1 if shards_for(count, 1 << 62) == 1 else shards_for(count, universe.count())
+    ready = split.withColumn("__best", F.lit(None).cast("struct<length:int,of_host:int,key:string,verdict:string>"))
+    for shard in range(shards):
+        mine = lambda key: F.pmod(F.xxhash64(key, F.lit(0)), F.lit(shards)) == shard if shards > 1 else F.lit(True)  # noqa: B023, E731
+        own, asked = listed.where(mine(F.col("key"))), universe.where(mine(F.col("key")))
+        block = build_cascade(own.where("verdict = 'block'").select("key"), asked)
+        allow = build_cascade(own.where("verdict = 'allow'").select("key"), asked)
+
+        of_shard = F.filter(keys, lambda c: mine(c["key"])) if shards > 1 else keys
+        best = F.array_max(F.filter(F.transform(of_shard, _decided(block, allow)), lambda d: d["verdict"].isNotNull()))
+        attached = allow.attach(block.attach(ready, "__block"), "__allow")
+        found = F.array_max(F.array("__best", best)) if shards > 1 else best
+        ready = attached.select(*[F.col(c) for c in pages.columns], "__host", "__path", found.alias("__best"))
+        if shards > 1:  # one shard's filters at a time
+            ready = materialise(ready, "bloom-judged")
+    chosen = ready.withColumns({"host": F.col("__host"), "path": F.col("__path"), "__rule": F.col("__best.key"), "__verdict": F.coalesce("__best.verdict", F.lit("allow"))})
+    return chosen.select(*[c for c in pages.columns if c not in ("host", "path", "rule", "verdict")], "host", "path", F.col("__rule").alias("rule"), F.col("__verdict").alias("verdict"))
 
 
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:

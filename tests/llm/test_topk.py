@@ -16,8 +16,9 @@ def plain(rows, k=5):
     return out
 
 
-@pytest.mark.parametrize("block,bins,n", [(2048, 1024, 400), (16, 4, 1300), (16, 64, 4), (16, 64, 0)])
-def test_equals_brute_force(spark, tmp_path, monkeypatch, block, bins, n):
+@pytest.mark.parametrize("block,bins,n,most", [(2048, 1024, 400, 1 << 20), (2048, 1024, 400, 6000), (16, 4, 1300, 1 << 20), (16, 64, 4, 1 << 20), (16, 64, 0, 1 << 20)])
+def test_equals_brute_force(spark, tmp_path, monkeypatch, block, bins, n, most):
+    monkeypatch.setattr(topk, "BLOCK_BYTES", most)
     monkeypatch.setattr(topk, "BLOCK", block)
     monkeypatch.setattr(topk, "BINS", bins)
     monkeypatch.setattr(topk, "ROW_BLOCK", block * 20)

@@ -41,13 +41,34 @@ def test_empty_pages(spark, tmp_path):
     assert urlfilter.op10_url_filters(spark, str(tmp_path)).count() == 0
 
 
-def test_too_large_a_list_is_an_error_and_long_urls_are_read_whole(spark, monkeypatch):
+def test_a_list_beyond_one_filter_is_judged_in_shards(spark, monkeypatch):
+    rng = random.Random(4)
+    hosts = sorted({f"{rng.choice('abcdef')}{i}.example" for i in range(300)})
+    listed = [(h, "/", "block" if i % 3 else "allow") for i, h in enumerate(hosts)] + [(f"x.{h}", "/en/", "allow") for h in hosts[:100]]
+    urls = [f"https://{rng.choice(['', 'x.', 'y.x.', 'z.'])}{rng.choice([*hosts, 'other.example'])}/{rng.choice(['', 'en/', 'en', 'de/'])}" for _ in range(900)]
+    monkeypatch.setattr(urlfilter, "MOST_FILTER_BYTES", 256)
+    assert urlfilter.shards_for(len(listed), len(urls)) >= 2
+
+    def plain(url):
+        host, path = url[8:].split("/", 1)
+        best = max(((len(h + p), len(h), h + p, v) for h, p, v in listed if (host == h or host.endswith("." + h)) and ("/" + path).startswith(p)), default=None)
+        return (url, best and best[2], best[3] if best else "allow")
+
+    pages = spark.createDataFrame([(i, u, "kept") for i, u in enumerate(urls)], "page_id long, url string, verdict string")
+    got = urlfilter.judge(pages, spark.createDataFrame(listed, "host string, path string, verdict string"), [1, 4])
+    assert got.columns == ["page_id", "url", "host", "path", "rule", "verdict"]
+    assert sorted((r["url"], r["rule"], r["verdict"]) for r in got.collect()) == sorted(map(plain, urls))
+
+
+def test_one_filter_never_passes_its_bound(spark, monkeypatch):
     keys = spark.createDataFrame([(f"h{i}/",) for i in range(900)], "key string")
     monkeypatch.setattr(urlfilter, "MOST_FILTER_BYTES", 64)
     with pytest.raises(ValueError, match="900 keys"):
         urlfilter.build_cascade(keys, keys)
-    monkeypatch.undo()
-    pages = spark.createDataFrame([(1, "https://" + "a." * 300 + "net/es/" + "x/" * 200_000)], "page_id long, url string")
-    rules = spark.createDataFrame([("net", "/es/", "block")], "host string, path string, verdict string")
+
+
+def test_long_urls_are_read_whole(spark):
+    pages = spark.createDataFrame([(1, "https://" + "a." * 100_000 + "net/es/" + "x/" * 200_000)], "page_id long, url string")
+    rules = spark.createDataFrame([("net", "/es/", "block"), ("b.net", "/es/", "allow")], "host string, path string, verdict string")
     row = urlfilter.judge(pages, rules, [4]).first()
-    assert row["verdict"] == "block" and len(row["path"]) == 400_004
+    assert row["verdict"] == "block" and row["rule"] == "net/es/" and len(row["path"]) == 400_004 and len(row["host"]) == 200_003
