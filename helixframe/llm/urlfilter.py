@@ -146,7 +146,7 @@ def _decided(block: Cascade, allow: Cascade):
 
     def decided(c):
         blocked = block.contains(c["key"], "__block")
-        return F.struct(c["length"].cast("int"), c["of_host"].cast("int"), c["key"], F.when(blocked, F.lit("block")).when(allow.contains(c["key"], "__allow"), F.lit("allow")).alias("verdict"))
+        return F.struct(c["length"].cast("int").alias("length"), c["of_host"].cast("int").alias("of_host"), c["key"].alias("key"), F.when(blocked, F.lit("block")).when(allow.contains(c["key"], "__allow"), F.lit("allow")).alias("verdict"))
 
     return decided
 
