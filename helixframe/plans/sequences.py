@@ -157,10 +157,8 @@ h AS (SELECT q.seq_id AS query, d.seq_id AS target, count(*) AS shared FROM k q
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query ORDER BY shared DESC, target) AS INT) AS rank FROM h)
 SELECT query, target, shared, round(shared / a.n, 6) AS containment, round(shared / (a.n + b.n - shared), 6) AS jaccard, rank FROM r JOIN n a ON a.seq_id = query JOIN n b ON b.seq_id = target WHERE rank <= 3""")
 def q_search(v):
-    from helixframe.operators.genome import kmers
-
-    database = v.kept("kmers", lambda: kmers(v.sequences, "seq_id", "seq", WORD).select("id", "kmer").distinct())
-    return r6(s.kmer_hits(kmers(v.sequences.where("seq_id % 100 = 0"), "seq_id", "seq", WORD), database), "containment", "jaccard")
+    sequences = v.sequences.select(F.col("seq_id").alias("id"), "seq")
+    return r6(s.search_database(sequences.where("id % 100 = 0"), sequences, WORD), "containment", "jaccard")
 
 
 @query("keep_list_semi_join", "SELECT seq_id FROM (SELECT seq_id, row_number() OVER (ORDER BY length, seq_id) - 1 AS place FROM sequences) s WHERE place IN (SELECT item_id FROM benchmark)")

@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -311,3 +312,25 @@ def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch.shared_folder(Session())
+
+
+def test_sequence_search_equals_all_pairs(spark):
+    """Repeats, short, empty and null sequences, a motif that all share, ties, and a map of few bits that lets more through."""
+    rng = random.Random(8)
+    motif = "HOTHOTHOT"
+    seqs = {i: "".join(rng.choice("ACDE") for _ in range(rng.randint(0, 60))) + motif for i in range(60)}
+    seqs |= {100: seqs[0], 101: seqs[0], 102: "", 103: None, 104: "ACD", 105: "Z" * 5000}
+    table = spark.createDataFrame(list(seqs.items()), "id long, seq string").repartition(3)
+    asked = [i for i in seqs if i % 10 == 0]
+    sets = {i: {t[a : a + 5] for a in range(len(t or "") - 4)} if t else set() for i, t in seqs.items()}
+    want = []
+    for q in asked:
+        found = sorted((-len(sets[q] & sets[d]), d) for d in seqs if d != q and sets[q] & sets[d])[:3]
+        want += [(q, d, -n, -n / len(sets[q]), -n / len(sets[q] | sets[d]), i + 1) for i, (n, d) in enumerate(found)]
+    got = sequences.search_database(table.where("id % 10 = 0"), table, 5).collect()
+    assert sorted(tuple(r) for r in got) == sorted(want)
+    assert sequences.search_database(table.limit(0), table, 5).count() == 0 == sequences.search_database(table, table.limit(0), 5).count()
+    with pytest.raises(ValueError, match="64 bits"):
+        sequences.kmer_sets(pa.array(["A"]), 13)
+    with pytest.raises(ValueError, match="A to Z"):
+        sequences.kmer_sets(pa.array(["a-B"]), 3)
