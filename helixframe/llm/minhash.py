@@ -30,6 +30,8 @@ REACH = ((4, 1), (BANDS, 6))
 
 #: Shingles of a part of a band that is compared in full; shingles that make over 1/HOT_SHARE of all rows are broadcast.
 PART, HOT_SHARE = 1 << 18, 1000
+#: Bits of the map of wanted texts at most: 4 MB.
+MAP_BITS = 1 << 25
 
 _RNG = np.random.default_rng(SEED)
 _FLIP = _RNG.integers(0, 1 << 64, BANDS * ROWS, np.uint64)
@@ -98,6 +100,22 @@ def shingle_set(texts: pd.Series) -> pd.Series:
     return pd.Series([s.view(np.int64) for sets in _pieces(texts) for s in sets], dtype=object)
 
 
+def _texts_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(variant, text) of the wanted variants, each once.
+
+    A map of at most MAP_BITS bits, in which each wanted variant sets one, keeps most other texts out of the shuffle, and copies of a
+    text are put together before it. A full map lets all texts pass, which the join then sorts out.
+    """
+    bits = min(MAP_BITS, 64 * (wanted.count() // 4 + 1))
+    place = F.pmod(F.col("variant"), F.lit(bits))
+    filled = wanted.select(place.alias("p")).groupBy(F.shiftright("p", 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("word"))
+    dense = filled.unionByName(wanted.sparkSession.range(bits // 64).select(F.col("id").alias("at"), F.lit(0).cast("long").alias("word"))).groupBy("at").agg(F.bit_or("word").alias("word"))
+    words = materialise(dense.agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "word"))), lambda x: x["word"]).alias("words")), "minhash-map")
+    mapped = texts.withColumn("__words", words.select("words").scalar())
+    hit = F.getbit(F.get("__words", F.shiftright(place, 6).cast("int")), place.bitwiseAND(F.lit(63)).cast("int")) == 1
+    return mapped.where(hit).select("variant", "text").dropDuplicates(["variant"]).join(wanted, "variant", "left_semi")
+
+
 def _candidates(labelled: DataFrame, bands: int, reach: int, similarity: float) -> DataFrame:
     """Distinct pairs (a, la, b, lb) of texts and their groups' labels that share a band hash and have other labels."""
     rows = labelled.select("variant", "label", "n", F.explode(F.slice("bands", 1, bands)).alias("band"))
@@ -113,8 +131,8 @@ def _candidates(labelled: DataFrame, bands: int, reach: int, similarity: float)
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """Edges (src, dst) of labels whose texts reach the similarity."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("variant")).distinct()
-    sets = materialise(texts.join(wanted, "variant", "left_semi").dropDuplicates(["variant"]).select("variant", shingle_set("text").alias("set")), "minhash-sets")
+    wanted = materialise(pairs.select(F.explode(F.array("a", "b")).alias("variant")).distinct(), "minhash-wanted")
+    sets = materialise(_texts_of(texts, wanted).select("variant", shingle_set("text").alias("set")), "minhash-sets")
     both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
     shared = F.size(F.array_intersect("sa", "sb"))
     counted = both.select("la", "lb", shared.alias("i"), (F.size("sa") + F.size("sb")).alias("total"))
@@ -156,8 +174,8 @@ def _ambiguous(members: DataFrame, texts: DataFrame, similarity: float) -> DataF
     go, and with them their shingles, as long as that removes a tenth of the texts. Common shingles are broadcast: those that make
     over a thousandth of all rows are fewer than HOT_SHARE.
     """
-    wanted = texts.join(members.select("variant"), "variant", "left_semi").dropDuplicates(["variant"])
-    tokens = materialise(members.join(wanted, "variant").select("variant", "label", "n", F.explode(shingle_set("text")).alias("token")), "minhash-tokens")
+    members = materialise(members, "minhash-members")
+    tokens = materialise(members.join(_texts_of(texts, members.select("variant")), "variant").select("variant", "label", "n", F.explode(shingle_set("text")).alias("token")), "minhash-tokens")
     before = members.count()
     while True:
         held = tokens.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("rows")).where("low < high")
@@ -202,7 +220,7 @@ def _rest(labelled: DataFrame, texts: DataFrame, reach: int, similarity: float,
     apart = ~F.coalesce(F.col("of_a") == F.col("of_b"), F.lit(False))
     pairs = a.join(b, "band").where(later & apart).withColumn("pair", F.xxhash64("band", "of_a", "k_a", "of_b", "k_b"))
     ends = pairs.select("band", "pair", F.explode(F.array(F.struct(F.col("of_a").alias("of"), F.col("k_a").alias("k")), F.struct(F.col("of_b").alias("of"), F.col("k_b").alias("k")))).alias("e")).select("band", "pair", "e.of", "e.k").distinct()
-    sets = materialise(texts.join(left, "variant", "left_semi").dropDuplicates(["variant"]).select("variant", shingle_set("text").alias("set")), "minhash-rest")
+    sets = materialise(_texts_of(texts, left).select("variant", shingle_set("text").alias("set")), "minhash-rest")
     same = (placed["band"] == ends["band"]) & placed["of"].eqNullSafe(ends["of"]) & (placed["k"] == ends["k"])
     sent = placed.join(ends, same).select("pair", "variant", "label", F.xxhash64(placed["of"], placed["k"]).alias("side")).join(sets, "variant").select("pair", "label", "side", "set")
 
