@@ -6,7 +6,9 @@
 4. mixing: documents are taken as often as their source's target asks;
 5. packing: what is left becomes pieces of token sequences.
 
-Stages before the last return the columns of `documents`. A stage's result is written as Parquet and read again.
+Stages before the last return the columns of `documents`, further ones as they are, whatever their names. A stage's result is written as Parquet and
+read again. Null texts go in the first stage. Rows that repeat are judged alike by the first and third stage; the second keeps one of them. Whole texts are
+read at any length, and an empty table gives empty results.
 """
 
 from __future__ import annotations
@@ -29,7 +31,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of linked fingerprints and of similar five-word shingles."""
+    """Keeps the document with the smallest id of each group of linked fingerprints and of similar five-word shingles.
+
+    Every pair of texts of different groups that shares a band is decided. Of rows that repeat the smallest id one stays; see deduplicate()."""
     return simhash.deduplicate(docs, SIMILARITY)
 
 
@@ -40,7 +44,8 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats and drops documents so that each source's words come to its target."""
+    """Repeats and drops documents so that each source's words come to its target. Documents without a word are taken as their rounding says;
+    a null source is a source. Rows of one id and source are one document."""
     return mixing.mix_documents(docs)
 
 
