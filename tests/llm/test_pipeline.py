@@ -51,6 +51,31 @@ def test_stages(stages):
 
 def test_run_equals_stages(spark, stages):
     path, rows, _ = stages
-    got = corpus_pipeline.run(spark, path)
-    assert {r["doc_id"] for r in got.collect()} == {r["doc_id"] for r in rows[-1]}
-    assert sum(r["length"] for r in got.collect()) == sum(r["length"] for r in rows[-1])
+    got = corpus_pipeline.run(spark, path).collect()
+    content = lambda found: sorted((r["doc_id"], r["start"], r["ids_crc32"], r["length"], r["doc_tokens"]) for r in found)
+    places = lambda found: sorted((r["sequence_id"], r["offset"], r["length"]) for r in found)
+    whole = lambda found: sorted((i, sum(n for j, _, _, n, _ in content(found) if j == i)) for i in {r["doc_id"] for r in found})
+    assert whole(got) == whole(rows[-1]) and sum(n for _, _, n in places(got)) == sum(n for _, _, n in places(rows[-1]))
+
+
+def test_stages_at_the_edges(spark):
+    """Empty tables, repeated rows, null and empty texts and sources, a very long text, and columns named like those inside."""
+    rng = random.Random(31)
+    text = lambda n: " ".join(rng.choice(WORDS["en"]) for _ in range(n))
+    schema = "doc_id long, text string, lang string, source string, n_chars long, fp long, component string, row string, id string, size long, label string"
+    rows = [(i, text(40), "en", f"s{i % 3}" if i % 5 else None) for i in range(60)]
+    rows += [rows[0], rows[0], (1, rows[1][1], "en", "s1"), (70, None, None, None), (71, "", "en", "s0"), (72, " \n", "en", "s0"), (73, text(60_000), "en", "s2"), (74, text(3), "en", "s1")]
+    docs = spark.createDataFrame([(*r, len(r[1] or ""), 7, "c", "r", "i", 9, "l") for r in rows], schema).repartition(4)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, "")
+        assert docs.columns == [c.split()[0] for c in schema.split(", ")]
+        docs = corpus_pipeline.materialise(docs, "edges")
+        found = docs.collect()
+        assert found and all((r["fp"], r["component"], r["row"], r["id"], r["size"], r["label"]) == (7, "c", "r", "i", 9, "l") for r in found)
+        assert all(r["text"] for r in found)
+    assert corpus_pipeline.pack_sequences(spark, docs, "").count() >= docs.count()
+    empty = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        empty = corpus_pipeline.materialise(stage(spark, empty, ""), "edges")
+        assert empty.count() == 0 and empty.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+    assert corpus_pipeline.pack_sequences(spark, empty, "").count() == 0
