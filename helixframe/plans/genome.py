@@ -186,14 +186,15 @@ def q_barcodes(v):
     return g.barcode_orientation(v.reads.where("mate = 1").select(F.substring("seq", 1, 4).alias("barcode")), v.reads.where("mate = 2").select(F.substring("seq", 1, 4).alias("barcode")))
 
 
-SEED = 15
+#: Letters of a seed, and more reads than a sample has, so that a sample and an ordinal make one number.
+SEED, READS = 15, 1 << 32
 
 
-@query("kmer_seed_join", f"""WITH k AS (SELECT sample * 1000 + ordinal AS id, mate, seq, unnest(range(0, greatest(0, length(seq) - {SEED - 1}))) AS a FROM reads), s AS (SELECT id, mate, a, substr(seq, a + 1, {SEED}) AS k FROM k),
+@query("kmer_seed_join", f"""WITH k AS (SELECT sample * {READS} + ordinal AS id, mate, seq, unnest(range(0, greatest(0, length(seq) - {SEED - 1}))) AS a FROM reads), s AS (SELECT id, mate, a, substr(seq, a + 1, {SEED}) AS k FROM k),
 votes AS (SELECT r.id AS read, c.id AS contig, CAST(c.a - r.a AS INT) AS diagonal, count(*) AS votes FROM s r JOIN s c ON r.k = c.k AND r.mate = 1 AND c.mate = 2 GROUP BY 1, 2, 3)
 SELECT read, contig, diagonal, votes FROM (SELECT *, row_number() OVER (PARTITION BY read ORDER BY votes DESC, contig, diagonal) AS n FROM votes) v WHERE n = 1""")
 def q_seeds(v):
-    ids = v.reads.withColumn("id", F.col("sample") * 1000 + F.col("ordinal"))
+    ids = v.reads.withColumn("id", F.col("sample") * READS + F.col("ordinal"))
     return g.seed_votes(g.kmers(ids.where("mate = 1"), "id", "seq", SEED), g.kmers(ids.where("mate = 2"), "id", "seq", SEED))
 
 
