@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from helixframe.operators.scratch import kept_table
+
 
 def generation_quality(molecules: DataFrame, train: DataFrame) -> DataFrame:
     """(run_id, validity, uniqueness, abs_uniqueness, novelty, abs_novelty); ratios of nothing are null."""
@@ -32,6 +34,34 @@ def tanimoto(a: Column, b: Column) -> Column:
     return F.try_divide(F.size(F.array_intersect(a, b)), F.size(F.array_union(a, b)))
 
 
+def similar_sets(rows: DataFrame, least: float) -> DataFrame:
+    """(a, b, similarity): all pairs of different sets whose tanimoto() is at least `least` (above zero), a below b; rows: (id, items).
+
+    Equal sets stand for each other: the smallest id meets the other sets, and each further id is a row (smallest, id, 1.0).
+    Empty and null sets and null items are in no pair. Items are ordered from rare to common; two sets that are similar enough share one among
+    the first n - ceil(least * n) + 1 of each. Pairs meet on such an item, and only those whose sizes and places there leave room
+    for the similarity fetch the whole sets.
+    """
+    sets = rows.select("id", F.array_sort(F.array_compact(F.array_distinct("items"))).alias("items")).where(F.size("items") > 0)
+    named = kept_table(sets.withColumn("digest", F.sha2(F.to_json("items"), 256)))
+    first = named.groupBy("digest").agg(F.min("id").alias("a"))
+    copies = named.select("digest", F.col("id").alias("b")).join(first, "digest").where("a <> b").select("a", "b", F.lit(1.0).alias("similarity"))
+    words = named.join(first, "digest").where("id = a").select("id", F.size("items").alias("n"), F.explode("items").alias("item"))
+    common = words.groupBy("item").agg(F.count("*").alias("c"))
+    ordered = words.join(common, "item").groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("c", "item"))).alias("o"))
+    whole = kept_table(ordered.select("id", "n", F.col("o.item").alias("items")))
+    near = 1e-9  # a product that rounds up must not shorten a prefix
+    prefix = F.slice("items", F.lit(1), (F.col("n") - F.ceil(F.lit(least) * F.col("n") - near) + 1).cast("int"))
+    heads = whole.select("id", "n", F.posexplode(prefix).alias("at", "item"))
+    x, y = (heads.select("item", *[F.col(c).alias(c + side) for c in ("id", "n", "at")]) for side in "xy")
+    room = F.least(F.col("nx") - F.col("atx"), F.col("ny") - F.col("aty")) >= least / (1 + least) * (F.col("nx") + F.col("ny")) - near
+    fits = F.least("nx", "ny") >= least * F.greatest("nx", "ny") - near
+    asked = x.join(y, "item").where((F.col("idx") < F.col("idy")) & fits & room).select(F.col("idx").alias("a"), F.col("idy").alias("b")).distinct()
+    left, right = whole.select(F.col("id").alias("a"), F.col("items").alias("f")), whole.select(F.col("id").alias("b"), F.col("items").alias("g"))
+    pairs = asked.join(left, "a").join(right, "b").select("a", "b", tanimoto(F.col("f"), F.col("g")).alias("similarity"))
+    return pairs.where(F.col("similarity") >= least).unionByName(copies)
+
+
 def constrained_summary(pairs: DataFrame, cutoffs: list[float]) -> DataFrame:
     """(cutoff, n, success, mean_similarity, sd_similarity, mean_gain, sd_gain): each start's best gain among pairs similar enough.
 
@@ -138,14 +168,25 @@ def tiles(contigs: DataFrame, size: int) -> DataFrame:
     return rows.select("contig", F.floor(F.col("start_pos") / size).cast("long").alias("tile"), "start_pos", F.least(F.col("start_pos") + size, F.col("length")).cast("long").alias("end_pos"))
 
 
+#: Tiles go eight to a block, eight blocks to a block of the next level, and so on.
+BLOCK_BITS = 3
+
+
 def overlaps(signal: DataFrame, windows: DataFrame, size: int, pad: int) -> DataFrame:
-    """Signal x tile with `pad` added to both ends of a tile: an equi join on tile numbers, then the exact test.
+    """Signal x tile with `pad` added to both ends of a tile: an equi join on blocks of tiles, then the exact test.
 
-    windows as made by tiles(); a signal is sent to the tiles that its padded span touches.
+    windows as made by tiles(). A signal is sent to the blocks that its padded span touches, on the level where these are at most
+    nine, whatever its length; a tile is sent to its block of each level that some signal is on. A pair meets once.
     """
-    first, last = F.floor((F.col("start_pos") - pad) / size), F.floor((F.col("end_pos") - 1 + pad) / size)
-    spread = signal.where("end_pos > start_pos").withColumn("tile", F.explode(F.sequence(F.greatest(F.lit(0), first), F.greatest(F.lit(0), last)))).withColumnsRenamed({"start_pos": "s", "end_pos": "e"})
-    joined = spread.join(windows, ["contig", "tile"])
+    first, last = (F.greatest(F.lit(0), F.floor(c / size)).cast("long") for c in (F.col("start_pos") - pad, F.col("end_pos") - 1 + pad))
+    spans = signal.where("end_pos > start_pos").select("contig", F.col("start_pos").alias("s"), F.col("end_pos").alias("e"), "value", first.alias("first"), last.alias("last"))
+    # bin() writes a number in base two, so that its length gives the level exactly.
+    levelled = spans.withColumn("level", F.expr(f"cast(floor((length(bin(last - first)) - 1) / {BLOCK_BITS}) as int)"))
+    block = lambda c: F.expr(f"shiftright({c}, {BLOCK_BITS} * level)")
+    sent = levelled.withColumn("block", F.explode(F.sequence(block("first"), block("last"))))
+    used = levelled.agg(F.collect_set("level").alias("levels")).select("levels").scalar()  # at most 22 levels
+    placed = windows.withColumn("levels", used).withColumn("level", F.explode("levels")).withColumn("block", block("tile"))
+    joined = sent.drop("first", "last").join(placed.select("contig", "tile", "start_pos", "end_pos", "level", "block"), ["contig", "level", "block"])
     return joined.where((F.col("s") < F.col("end_pos") + pad) & (F.col("e") > F.col("start_pos") - pad)).select("contig", "tile", "s", "e", "value")
 
 

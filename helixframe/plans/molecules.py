@@ -55,6 +55,16 @@ def q_tanimoto(v):
     return r6(pairs(v).where("similarity >= 0").select("start_id", "target", "similarity"), "similarity")
 
 
+SETS = """WITH s AS (SELECT ordinal, fp, min(ordinal) OVER (PARTITION BY fp) AS rep FROM molecules WHERE len(fp) > 0), r AS (SELECT ordinal, fp, len(fp) AS n FROM s WHERE ordinal = rep),
+p AS (SELECT a.ordinal AS a, b.ordinal AS b, len(list_intersect(a.fp, b.fp)) AS i, a.n + b.n AS n FROM r a JOIN r b ON a.ordinal < b.ordinal AND least(a.n, b.n) >= 0.4 * greatest(a.n, b.n))
+SELECT a, b, round(CAST(i AS DOUBLE) / (n - i), 6) AS similarity FROM p WHERE CAST(i AS DOUBLE) / (n - i) >= 0.4e0 UNION ALL SELECT DISTINCT rep, ordinal, 1.0e0 FROM s WHERE rep <> ordinal"""
+
+
+@query("tanimoto_search", SETS)
+def q_tanimoto_search(v):
+    return r6(m.similar_sets(v.molecules.select(F.col("ordinal").alias("id"), F.col("fp").alias("items")), 0.4), "similarity")
+
+
 @query("constrained_opt_summary", PAIRS + """, h AS (SELECT c AS cutoff, p.* FROM p, (VALUES (0.0), (0.2), (0.4), (0.6)) x(c) WHERE similarity >= c AND gain > 0),
 b AS (SELECT cutoff, start_id, similarity, gain, row_number() OVER (PARTITION BY cutoff, start_id ORDER BY gain DESC, similarity DESC) AS n FROM h)
 SELECT CAST(cutoff AS DOUBLE) AS cutoff, count(*) AS n, round(avg(similarity), 6) AS mean_similarity, round(stddev_pop(similarity), 6) AS sd_similarity, round(avg(gain), 6) AS mean_gain, round(stddev_pop(gain), 6) AS sd_gain,

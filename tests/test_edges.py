@@ -149,6 +149,48 @@ def test_overlaps_at_tile_edges(spark):
     assert molecules.overlaps(signal, windows, 100, 5).where("s = 200").count() == 2
 
 
+def test_overlaps_of_long_and_short_signals(spark):
+    rng = random.Random(4)
+    rows = [("a", s, s + n, float(i)) for i, (s, n) in enumerate((rng.randrange(0, 29000), rng.choice([1, 9, 80, 700, 6000, 30000])) for _ in range(60))]
+    rows += [("a", 500, 500, 0.0), ("b", 0, 1 << 40, 1.0), ("c", 5, 6, 2.0)]
+    signal = table(spark, rows, "contig string, start_pos long, end_pos long, value double")
+    windows = molecules.tiles(table(spark, [("a", 30007), ("b", 95)], "contig string, length long"), 10).persist()
+    for pad in (0, 7, 25):
+        want = sorted((v, t["tile"]) for t in windows.collect() for c, s, e, v in rows if c == t["contig"] and s < e and s < t["end_pos"] + pad and e > t["start_pos"] - pad)
+        assert sorted((r["value"], r["tile"]) for r in molecules.overlaps(signal, windows, 10, pad).collect()) == want
+
+
+def test_a_signal_over_a_million_tiles(spark):
+    windows = molecules.tiles(table(spark, [("a", 1_000_000)], "contig string, length long"), 1)
+    signal = table(spark, [("a", 3, 1 << 50, 1.0), ("a", 999_999, 1_000_000, 2.0)], "contig string, start_pos long, end_pos long, value double")
+    got = molecules.overlaps(signal, windows, 1, 0)
+    assert [tuple(r) for r in got.groupBy("value").agg(F.count("*"), F.count_distinct("tile"), F.min("tile")).orderBy("value").collect()] == [(1.0, 999_997, 999_997, 3), (2.0, 1, 1, 999_999)]
+
+
+def plain_similar_sets(rows, least):
+    reps, want = {}, set()
+    for i, items in sorted(rows, key=lambda r: r[0]):
+        group = frozenset(x for x in items or () if x is not None)
+        if group and reps.setdefault(group, i) != i:
+            want.add((reps[group], i, 1.0))
+    for (f, a), (g, b) in itertools.combinations(reps.items(), 2):
+        if len(f & g) / len(f | g) >= least:
+            want.add((min(a, b), max(a, b), len(f & g) / len(f | g)))
+    return want
+
+
+@pytest.mark.parametrize("least", [0.07, 0.4, 0.8, 1.0])
+def test_similar_sets_against_all_pairs(spark, least):
+    rng = random.Random(8)
+    rows = [(i, [f"w{int(rng.paretovariate(0.7)) % 60}" for _ in range(rng.choice([1, 2, 5, 15, 40]))]) for i in range(150)]
+    rows += [(200 + i, list(rows[i % 3][1]) + [None]) for i in range(9)] + [(300, []), (301, None), (302, [None]), (303, ["hot"]), (304, ["hot", "hot"])]
+    rows += [(400 + i, [f"t{j}" for j in range(20) if j != i]) for i in range(12)]
+    frame = table(spark, [(i, x, "clash") for i, x in rows], "id long, items array<string>, n string")
+    got = [(r["a"], r["b"], r["similarity"]) for r in molecules.similar_sets(frame, least).collect()]
+    assert len(got) == len(set(got)) and set(got) == plain_similar_sets(rows, least)
+    assert molecules.similar_sets(frame.limit(0), least).count() == 0
+
+
 def test_knn_with_duplicates_and_few_rows(spark, monkeypatch):
     rows = [(i, [float(i // 2), 0.0]) for i in range(7)]
     frame = table(spark, rows, "id long, vec array<float>")
