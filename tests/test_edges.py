@@ -248,7 +248,7 @@ def cliques(spark, sizes, bridges=()):
 
 def test_communities_of_cliques(spark):
     edges = cliques(spark, [6, 5, 7], [(0, 6), (7, 12)]).persist()
-    for found in (graph.louvain(edges), graph.leiden(edges)):
+    for found in (graph.louvain(edges), graph.leiden(edges), graph.leiden(edges, refine=True)):
         groups = {}
         for r in found.collect():
             groups.setdefault(r["community"], set()).add(r["node"])
@@ -256,6 +256,64 @@ def test_communities_of_cliques(spark):
         assert graph.modularity(edges, found).agg(F.sum("q")).first()[0] > 0.5
 
 
+def plain_gains(w, labels, parts, resolution):
+    """What single, well connected nodes could still gain by joining a well connected part of their community."""
+    n, k, m, out = len(w), w.sum(axis=1), w.sum(), []
+    members = {p: [i for i in range(n) if parts[i] == p] for p in set(parts)}
+
+    def firm(some):
+        rest = [i for i in range(n) if labels[i] == labels[some[0]] and i not in some]
+        return sum(w[i, j] for i in some for j in rest) >= resolution * sum(k[i] for i in some) * sum(k[j] for j in rest) / m
+
+    for p, mine in members.items():
+        if len(mine) == 1 and firm(mine):
+            i = mine[0]
+            out += [w[i, to].sum() - resolution * k[i] * k[to].sum() / m for q, to in members.items() if q != p and labels[to[0]] == labels[i] and w[i, to].sum() > 0 and firm(to)]
+    return out
+
+
+@pytest.mark.parametrize("resolution", [1.0, 0.3, 4.0])
+def test_refined_parts_are_connected_and_complete(spark, resolution):
+    import numpy as np
+
+    rng, n = random.Random(12), 60
+    w = np.zeros((n, n))
+    for i, j in itertools.combinations(range(n), 2):
+        if rng.random() < (0.5 if i // 6 == j // 6 else 0.04):
+            w[i, j] = w[j, i] = rng.choice([1.0, 2.0, 0.5])
+    for i in range(n - 1):  # no node without an edge
+        w[i, i + 1] = w[i + 1, i] = max(w[i, i + 1], 0.25)
+    w[7, 7] = 3.0
+    edges = table(spark, [(i, j, float(w[i, j])) for i in range(n) for j in range(n) if w[i, j]], "src long, dst long, w double").persist()
+    labels = [i % 12 // 6 * 100 + i // 30 for i in range(n)]
+    found = dict(map(tuple, graph.refined(edges, table(spark, list(enumerate(labels)), "node long, community long"), float(w.sum()), resolution).collect()))
+    parts = [found[i] for i in range(n)]
+    groups = {p: {i for i in range(n) if parts[i] == p} for p in parts}
+    assert sorted(found) == list(range(n)) and 2 < len(groups) < n
+    for mine in groups.values():
+        assert len({labels[i] for i in mine}) == 1
+        seen, todo = set(), [min(mine)]
+        while todo:
+            x = todo.pop()
+            if x not in seen:
+                seen.add(x)
+                todo += [y for y in mine if w[x, y]]
+        assert seen == mine
+    assert all(g <= 1e-9 for g in plain_gains(w, labels, parts, resolution))
+
+
+def test_refinement_parts_weakly_joined_cliques(spark):
+    edges = cliques(spark, [6, 5, 7], [(0, 6), (7, 12)])
+    light = F.least("src", "dst").isin(0, 7) & F.greatest("src", "dst").isin(6, 12)  # the two bridges
+    edges = edges.withColumn("w", F.when(light, 0.1).otherwise(F.col("w")))
+    together = edges.select(F.col("src").alias("node")).distinct().withColumn("community", F.lit(0).cast("long"))
+    m2 = edges.agg(F.sum("w")).first()[0]
+    found = dict(map(tuple, graph.refined(edges, together, m2).collect()))
+    kinds = [{found[i] for i in block} for block in (range(6), range(6, 11), range(11, 18))]
+    assert not (kinds[0] & kinds[1] or kinds[1] & kinds[2] or kinds[0] & kinds[2])
+    assert graph.refined(edges.limit(0), together.limit(0), 1.0).count() == 0
+
+
 def test_components_of_paths_and_loops(spark):
     path = [(i, i + 1) for i in range(200)] + [(500, 501), (501, 500), (700, 700), (None, 3)]
     got = {r["node"]: r["component"] for r in connected_components(table(spark, path, "src long, dst long")).collect()}
