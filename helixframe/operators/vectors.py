@@ -8,8 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import PCA, BucketedRandomProjectionLSH
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.feature import BucketedRandomProjectionLSH
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,21 +19,6 @@ from helixframe.operators.scratch import kept_table
 BLOCK, DENSE_BLOCK = 4096, 1024
 
 
-def centred(vectors: DataFrame, train: DataFrame) -> DataFrame:
-    """Adds features: the vector less the mean of the training rows. Spark's projection does not centre by itself."""
-    dims = train.select(F.posexplode("vec").alias("d", "x")).groupBy("d").agg(F.avg(F.col("x").cast("double")).alias("m"))
-    mean = dims.agg(F.transform(F.sort_array(F.collect_list(F.struct("d", "m"))), lambda p: p["m"]).alias("m")).select("m").scalar()
-    return vectors.withColumn("__m", mean).withColumn("features", array_to_vector(F.zip_with("vec", "__m", lambda a, b: a.cast("double") - b))).drop("__m")
-
-
-def pca_fit(train: DataFrame, k: int):
-    return PCA(k=k, inputCol="features", outputCol="pcs").fit(train)
-
-
-def pca_project(model, vectors: DataFrame) -> DataFrame:
-    return model.transform(vectors).withColumn("pcs", vector_to_array("pcs")).drop("features")
-
-
 def kmeans(vectors: DataFrame, k: int, seed: int = 0, column: str = "vec") -> DataFrame:
     """Adds cluster, as text, from Spark's k-means."""
     ready = vectors.withColumn("features", array_to_vector(F.transform(column, lambda x: x.cast("double"))))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from helixframe.operators import graph as g
+from helixframe.operators import projection as p
 from helixframe.operators import vectors as x
 from helixframe.operators.components import connected_components
 from helixframe.operators.matrix import train_prefix
@@ -256,21 +257,24 @@ def q_labels(v):
     return labels.withColumn("place", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(F.col("label").cast("int"))))
 
 
-def projected(v):
-    train = train_prefix(v.vectors.withColumnRenamed("id", "ordinal")).withColumnRenamed("ordinal", "id").drop("row")
-    model = x.pca_fit(x.centred(train, train), 10)
-    return model, x.pca_project(model, x.centred(v.vectors, train))
+COMPONENTS = 50
+
+
+def projected(vectors):
+    """A projection that is fitted on the first rows of the table, and all its rows with their coordinates, as pcs."""
+    model = p.fit(train_prefix(vectors.withColumnRenamed("id", "ordinal")).withColumnRenamed("ordinal", "id").drop("row"), COMPONENTS)
+    return model, p.project(model, vectors)
 
 
 @query("pca_fit")
 def q_pca_fit(v):
-    model, _ = projected(v)
-    return v.spark.range(1).select(F.posexplode(F.array(*[F.lit(float(e)) for e in model.explainedVariance])).alias("component", "explained"))
+    model, _ = projected(v.vectors)
+    return v.spark.range(1).select(F.posexplode(F.array(*[F.lit(float(e)) for e in model.explained])).alias("component", "explained"))
 
 
 @query("pca_project")
 def q_pca(v):
-    return projected(v)[1].select("id", "pcs")
+    return projected(v.vectors)[1].select("id", "pcs")
 
 
 CLUSTERS = 35
@@ -289,13 +293,13 @@ def q_kmeans_rounds(v):
 
 @query("kmeans")
 def q_kmeans(v):
-    return x.kmeans(v.kept("pcs", lambda: projected(v)[1]), CLUSTERS, column="pcs").select("id", "cluster", "pcs")
+    return x.kmeans(v.kept("pcs", lambda: projected(v.vectors)[1]), CLUSTERS, column="pcs").select("id", "cluster", "pcs")
 
 
 @query("reanalysis")
 def q_reanalysis(v):
-    some = v.vectors.where(F.get("vec", 0) > 0)
-    pcs = v.kept("pcs", lambda: projected(v)[1].join(some.select("id"), "id", "left_semi").select("id", F.col("pcs").alias("vec")))
+    some = v.kept("chosen", lambda: v.vectors.where(F.get("vec", 0) > 0))
+    pcs = v.kept("pcs", lambda: projected(some)[1].select("id", F.col("pcs").alias("vec")))
     return g.leiden(v.kept("fuzzy", lambda: x.fuzzy_union(x.fuzzy_memberships(x.knn(pcs, K), K))))
 
 

@@ -4,12 +4,13 @@ import itertools
 import math
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from helixframe.functions import scalars, udfs
-from helixframe.operators import genome, graph, matrix, molecules, sequences, vectors
+from helixframe.operators import genome, graph, matrix, molecules, projection, sequences, vectors
 from helixframe.operators.components import connected_components
 from helixframe.sources import text as src
 
@@ -223,6 +224,34 @@ def test_approximate_neighbours_recall(spark):
     assert len(exact & found) / len(exact) > 0.9
 
 
+@pytest.mark.parametrize("blocks", [6, 2])
+def test_projection_of_wide_vectors_equals_the_dense_one(spark, monkeypatch, blocks):
+    monkeypatch.setattr(projection, "BLOCKS", blocks)
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((400, 60)) * np.linspace(3, 0.5, 60) @ rng.standard_normal((60, 240)) + rng.standard_normal(240) + 0.2 * rng.standard_normal((400, 240))
+    frame = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(x)] + [(400, None)], "id long, vec array<double>").repartition(5)
+    model = projection.fit(frame, 20)
+    _, s, vt = np.linalg.svd(x - x.mean(axis=0), full_matrices=False)
+    assert model.explained == pytest.approx((s**2 / (s**2).sum())[:20].tolist(), abs=1e-9)
+    assert np.abs((model.components * vt[:20].T).sum(axis=0)) == pytest.approx(np.ones(20), abs=1e-6)
+    assert model.passes < 12
+    got = {r["id"]: r["pcs"] for r in projection.project(model, frame).collect()}
+    assert got[400] is None and np.array([got[i] for i in range(400)]) == pytest.approx((x - x.mean(axis=0)) @ model.components, abs=1e-9)
+
+
+def test_projection_of_few_dimensions_equal_rows_and_errors(spark):
+    few = table(spark, [(i, [float(i), 2.0 * i, 7.0]) for i in range(9)], "id long, vec array<float>")
+    model = projection.fit(few, 50)
+    assert model.components.shape == (3, 3) and model.explained == pytest.approx([1, 0, 0], abs=1e-12)
+    same = projection.fit(table(spark, [(i, [1.0] * 30) for i in range(5)], "id long, vec array<double>"), 4)
+    assert same.explained.tolist() == [0.0] * 4 and same.components.shape == (30, 4)
+    line = projection.fit(table(spark, [(i, [float(i * j) for j in range(40)]) for i in range(8)], "id long, vec array<double>"), 5)
+    assert line.explained == pytest.approx([1, 0, 0, 0, 0], abs=1e-9)
+    for rows in ([(1, [1.0])], [(1, [1.0]), (2, [1.0, 2.0])], [(1, [1.0, None]), (2, [1.0, 2.0])]):
+        with pytest.raises(ValueError):
+            projection.fit(table(spark, rows, "id long, vec array<double>"), 2)
+
+
 def test_geodesic_and_mahalanobis(spark):
     row = table(spark, [([0.0, 0.0], [0.0, math.pi / 2])], "a array<double>, b array<double>")
     got = row.select(vectors.metric("haversine", F.col("a"), F.col("b")), vectors.mahalanobis(F.col("a"), F.col("b"), [[1.0, 0.0], [0.0, 4.0]])).first()
