@@ -8,7 +8,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -127,15 +126,6 @@ def gauss_kernel_dense(vectors: DataFrame, k: int, least: float = 1e-14) -> Data
     return block_pairs(scaled, kernel, "src long, dst long, w double", DENSE_BLOCK)
 
 
-def knn_approx(vectors: DataFrame, k: int, bucket: float = 2.0, tables: int = 4, radius: float = 2.0) -> DataFrame:
-    """(src, dst, d, rank) from random-projection buckets; what no bucket shares is missed, see the recall test."""
-    ready = vectors.select("id", array_to_vector(F.transform("vec", lambda x: x.cast("double"))).alias("features"))
-    model = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes", bucketLength=bucket, numHashTables=tables, seed=7).fit(ready)
-    joined = model.approxSimilarityJoin(ready, ready, radius, "d").select(F.col("datasetA.id").alias("src"), F.col("datasetB.id").alias("dst"), "d")
-    rank = F.row_number().over(Window.partitionBy("src").orderBy((F.col("src") != F.col("dst")).cast("int"), "d", "dst"))
-    return joined.withColumn("rank", rank).where(F.col("rank") <= k)
-
-
 def knn_params(n: int, k: int, method: str = "umap", metric: str = "euclidean", use_knn: bool = True) -> int:
     """The number of neighbours that is used; more than n becomes 1 + n // 2."""
     if method not in ("umap", "gauss", "rapids"):

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from helixframe.operators import graph as g
+from helixframe.operators import neighbours as nb
 from helixframe.operators import projection as p
 from helixframe.operators import vectors as x
 from helixframe.operators.components import connected_components
@@ -53,7 +54,7 @@ def q_knn_radius(v):
 
 @query("knn_approx")
 def q_knn_approx(v):
-    return x.knn_approx(v.vectors, K)
+    return nb.knn_approx(v.vectors, K)
 
 
 @query("knn_params", f"SELECT count(*) AS n, CAST(CASE WHEN {K} > count(*) THEN 1 + floor(count(*) / 2) ELSE {K} END AS INT) AS k FROM vectors")

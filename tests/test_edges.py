@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helixframe.functions import scalars, udfs
-from helixframe.operators import genome, graph, matrix, molecules, projection, sequences, vectors
+from helixframe.operators import genome, graph, matrix, molecules, neighbours, projection, sequences, vectors
 from helixframe.operators.components import connected_components
 from helixframe.sources import text as src
 
@@ -215,15 +215,48 @@ def test_memberships_and_affinities_reach_their_targets(spark):
     assert all(r["h"] == pytest.approx(math.log(4), abs=1e-4) and r["s"] == pytest.approx(1) for r in entropy)
 
 
+def pairs_of(rows):
+    return {(r["src"], r["dst"]) for r in rows.collect()}
+
+
 def test_approximate_neighbours_recall(spark):
     rng = random.Random(4)
     rows = [(i, [rng.gauss(i % 5 * 4, 0.3) for _ in range(6)]) for i in range(200)]
     frame = table(spark, rows, "id long, vec array<double>")
-    exact = {(r["src"], r["dst"]) for r in vectors.knn(frame, 8).collect()}
-    found = {(r["src"], r["dst"]) for r in vectors.knn_approx(frame, 8, bucket=6.0, tables=6, radius=4.0).collect()}
+    exact, found = pairs_of(vectors.knn(frame, 8)), pairs_of(neighbours.knn_approx(frame, 8))
     assert len(exact & found) / len(exact) > 0.9
 
 
+def test_approximate_neighbours_compare_few_pairs(spark):
+    rng = np.random.default_rng(1)
+    x = rng.standard_normal((6000, 5)) @ rng.standard_normal((5, 32)) + 0.05 * rng.standard_normal((6000, 32))
+    frame = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(x)], "id long, vec array<double>").repartition(8)
+    tally = spark.sparkContext.accumulator(0)
+    rows = neighbours.knn_approx(frame, 8, width=9, tally=tally).collect()
+    exact = pairs_of(vectors.knn(frame, 8))
+    found = {(r["src"], r["dst"]) for r in rows}
+    assert len(found) == len(rows) == 8 * 6000 and {r["rank"] for r in rows if r["src"] == r["dst"]} == {1}
+    assert len(exact & found) / len(exact) >= 0.9
+    assert 2 * tally.value / 6000**2 < 0.1  # of all ordered pairs, those that several lists compare again counted again
+
+
+def test_approximate_neighbours_of_copies_hubs_and_few_rows(spark):
+    schema = "id long, vec array<double>"
+    copies = table(spark, [(i, [1.0, 2.0]) for i in range(300)] + [(300 + i, [float(i), -5.0]) for i in range(100)] + [(999, None)], schema)
+    rows = neighbours.knn_approx(copies, 5).collect()
+    assert len(rows) == 400 * 5 and 999 not in {r["src"] for r in rows}
+    assert all(r["d"] == 0 and r["dst"] < 300 for r in rows if r["src"] < 300)
+    rng = random.Random(3)
+    hub = table(spark, [(0, [0.0] * 8)] + [(i, [rng.gauss(0, 1) * 3 for _ in range(8)]) for i in range(1, 500)], schema)  # all list the middle
+    exact, found = pairs_of(vectors.knn(hub, 5)), pairs_of(neighbours.knn_approx(hub, 5))
+    assert len(exact & found) / len(exact) >= 0.9
+    few = table(spark, [(1, [0.0]), (2, [3.0])], schema)
+    assert [(r["src"], r["dst"], r["d"], r["rank"]) for r in neighbours.knn_approx(few, 5).orderBy("src", "rank").collect()] == [(1, 1, 0.0, 1), (1, 2, 3.0, 2), (2, 2, 0.0, 1), (2, 1, 3.0, 2)]
+    assert neighbours.knn_approx(few.limit(1), 5).count() == 1 and neighbours.knn_approx(few.limit(0), 5).count() == 0
+    assert pairs_of(neighbours.choose_neighbours(hub, 5)) == exact
+    assert neighbours.choose_neighbours(hub, 5, exact_rows=10).count() == 2500 and neighbours.choose_neighbours(few, 5).count() == 4
+
+
 @pytest.mark.parametrize("blocks", [6, 2])
 def test_projection_of_wide_vectors_equals_the_dense_one(spark, monkeypatch, blocks):
     monkeypatch.setattr(projection, "BLOCKS", blocks)
