@@ -56,9 +56,15 @@ def q_router(v):
     return routes.route_to_bins(routes.as_stream(keyed(v)), genome.bins(v)).select("name", "key", "bin")
 
 
+CONSUMERS = 16
+
+
 @query("stream_end_of_input", "SELECT mate AS producer, count(*) AS rows FROM reads GROUP BY mate")
 def q_end(v):
-    return routes.producers_seen(routes.as_stream(v.reads), "mate")
+    sent = v.reads.select("mate", F.pmod(F.xxhash64("sample", "ordinal"), F.lit(CONSUMERS)).alias("consumer"), F.timestamp_seconds(F.lit(1_700_000_000) + F.col("ordinal")).alias("at"))
+    producers = [str(r[0]) for r in sent.select("mate").distinct().orderBy("mate").collect()]
+    ended = routes.await_producers(routes.as_stream(routes.with_end_marks(sent, "consumer", "mate", "at")), producers, patience_s=10**9)
+    return ended.where("ended").groupBy(F.col("producer").cast("int").alias("producer")).agg(F.sum("rows").alias("rows"))
 
 
 @query("stream_mate_join", "SELECT a.sample, a.ordinal, a.seq AS seq1, b.seq AS seq2 FROM (SELECT * FROM reads WHERE mate = 1) a JOIN (SELECT * FROM reads WHERE mate = 2) b ON a.sample = b.sample AND a.ordinal = b.ordinal")

@@ -1,12 +1,17 @@
 """Structured Streaming forms of the alignment flow. Each consumes what is there (availableNow) and equals its batch twin.
 
-State: routing and sorting keep none; the mate join is bounded by a watermark on the time of arrival; counts keep a row a bin.
+State: routing and sorting keep none; the mate join is bounded by a watermark on the time of arrival; counts keep a row a bin,
+end marks two numbers for each consumer and producer.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from helixframe.operators.genome import coordinate_sort, with_bin
 from helixframe.operators.scratch import scratch_path as scratch
@@ -31,15 +36,68 @@ def route_to_bins(alignments: DataFrame, bins: DataFrame) -> DataFrame:
     return spark.read.parquet(path).withColumn("bin", F.col("bin").cast("int"))
 
 
-def producers_seen(stream: DataFrame, producer: str) -> DataFrame:
-    """(producer, rows) once the input has ended: availableNow stops by itself, so that all producers can be counted."""
-    spark, path = stream.sparkSession, scratch(stream.sparkSession, "seen")
-
-    def add(batch: DataFrame, number: int) -> None:
-        batch.groupBy(producer).agg(F.count("*").alias("n")).write.mode("overwrite").parquet(f"{path}/batch={number}")
-
-    _run(stream.writeStream.foreachBatch(add), spark, "seen")
-    return spark.read.parquet(path).groupBy(F.col(producer).alias("producer")).agg(F.sum("n").alias("rows"))
+def with_end_marks(rows: DataFrame, consumer: str, producer: str, at: str) -> DataFrame:
+    """(consumer, producer, announced, at): the rows, announced null, and for each consumer an end mark of every producer.
+
+    A mark says how many rows the producer has sent there, none included, so that marks may overtake rows. Names are text.
+    """
+    sent = rows.select(F.col(consumer).cast("string").alias("consumer"), F.col(producer).cast("string").alias("producer"), F.col(at).alias("at"))
+    names = sent.agg(F.sort_array(F.collect_set("producer")).alias("p")).select("p").scalar()
+    per = sent.groupBy("consumer", "producer").agg(F.count("*").alias("announced"))
+    every = sent.groupBy("consumer").agg(F.max("at").alias("at")).withColumn("producer", F.explode(names))
+    marks = every.join(per, ["consumer", "producer"], "left").select("consumer", "producer", F.coalesce("announced", F.lit(0)).alias("announced"), "at")
+    return sent.select("consumer", "producer", F.lit(None).cast("long").alias("announced"), "at").unionByName(marks)
+
+
+ENDED = "consumer string, producer string, rows long, ended boolean"
+
+
+def await_producers(events: DataFrame, producers: list[str], patience_s: int = 3600) -> DataFrame:
+    """(consumer, producer, rows, ended) of each consumer, once: when the end marks of all producers and the rows they announce have come,
+    or when events patience_s seconds younger than the consumer's last one have come; ended then tells which producers are complete.
+
+    events: the stream of with_end_marks(). A consumer's state is two numbers a producer and stays as long as the query does, so that what
+    comes after its end is let go. A consumer that waits when the input ends has no rows. An unknown producer, two marks of one
+    producer that differ, and more rows than announced are errors. Events of the feed may be out of order by patience_s seconds; what
+    is older than that is dropped by the watermark, and its consumer ends by time.
+    """
+    at = {name: i for i, name in enumerate(producers)}
+
+    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        received, announced, closed = state.get if state.exists else ([0] * len(at), [-1] * len(at), False)
+        received, announced, last = list(received), list(announced), 0
+        if closed:
+            for _ in frames:
+                pass
+            return
+        if not state.hasTimedOut:
+            for frame in frames:
+                if unknown := set(frame["producer"]) - set(at):
+                    raise ValueError(f"unknown producers: {sorted(map(str, unknown))}")
+                is_mark = frame["announced"].notna()
+                for name, n in frame["producer"][~is_mark].value_counts().items():
+                    received[at[name]] += int(n)
+                for name, n in zip(frame["producer"][is_mark], frame["announced"][is_mark]):
+                    if announced[at[name]] not in (-1, int(n)):
+                        raise ValueError(f"producer {name} has ended twice")
+                    announced[at[name]] = int(n)
+                last = max(last, int(frame["at"].max().timestamp() * 1000))
+        ended = [r == a for r, a in zip(received, announced)]
+        if any(-1 < a < r for r, a in zip(received, announced)):
+            raise ValueError(f"consumer {key[0]} has got more rows than were announced")
+        closed = all(ended) or state.hasTimedOut
+        state.update((received, announced, closed))
+        if closed:
+            yield pd.DataFrame({"consumer": key[0], "producer": producers, "rows": received, "ended": ended})
+        else:
+            state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs()) + 1)
+
+    spark, path = events.sparkSession, scratch(events.sparkSession, "ended")
+    done = events.withWatermark("at", f"{patience_s} seconds").groupBy("consumer").applyInPandasWithState(
+        step, ENDED, "received array<long>, announced array<long>, closed boolean", "append", GroupStateTimeout.EventTimeTimeout
+    )
+    _run(done.writeStream.format("parquet").option("path", path), spark, "ended")
+    return spark.read.schema(ENDED).parquet(path)
 
 
 def join_mates(first: DataFrame, second: DataFrame, delay: str = "1 hour") -> DataFrame:
