@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.functions import udfs
+from helixframe.functions import glm, udfs
 from helixframe.operators import matrix as m
 from helixframe.plans.views import Views, query
 from helixframe.sources import text as src
@@ -249,6 +249,12 @@ def q_gene_fit(v):
     return r4(udfs.per_gene_fit(v.kept("grid", lambda: grid(v)), udfs.LEAST_SQUARES, ["n_counts", "percent"]))
 
 
+@query("per_gene_glm")
+def q_gene_glm(v):
+    counted = m.dense_grid(m.subset_genes(filtered(v), hvg(v)), per_cell(v), hvg(v))
+    return glm.residuals(counted, glm.POISSON, ["n_counts", "percent"])
+
+
 @query("regress_out_category", f"""WITH {GRID}, x AS (SELECT grid.*, category, avg(value) OVER (PARTITION BY gene_id, category) AS x FROM grid JOIN cells USING (cell_id)),
 s AS (SELECT gene_id, CAST(count(*) AS DOUBLE) AS n, sum(x) AS sx, sum(value) AS sy, sum(x * x) AS sxx, sum(x * value) AS sxy FROM x GROUP BY gene_id),
 f AS (SELECT gene_id, coalesce((n * sxy - sx * sy) / nullif(round(n * sxx - sx * sx, 9), 0), 0) AS slope, sx, sy, n FROM s)

@@ -41,7 +41,7 @@ def test_equals_sql(spark, db, name):
 
 def test_queries_without_sql_are_few():
     assert set(registry.queries()) - set(registry.oracle_sql()) == {
-        "knn_approx", "diffusion_eigen", "dpt_distance_row", "pseudotime", "louvain", "leiden", "pca_fit", "pca_project", "kmeans", "reanalysis", "embedding_classifier",
+        "knn_approx", "diffusion_eigen", "dpt_distance_row", "pseudotime", "louvain", "leiden", "pca_fit", "pca_project", "kmeans", "reanalysis", "embedding_classifier", "per_gene_glm",
     }
 
 
