@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from helixframe.operators import genome as g
 from helixframe.operators.matrix import numbered_rows
 from helixframe.plans.views import query
+from helixframe.sources import fastq
 from helixframe.sources import text as src
 
 PRIMARY = 20
@@ -63,7 +64,7 @@ READS_TEXT = "concat_ws('\n', concat('@', sample, ':', ordinal, ':', mate), seq,
 @query("fastq_ingest", "SELECT concat(sample, ':', ordinal, ':', mate) AS name, seq, qual FROM reads WHERE mate = 1")
 def q_fastq(v):
     path = src.write_text(v.reads.where("mate = 1").select(F.expr(READS_TEXT)), "fastq")
-    return src.read_fastq(v.spark, path, 1).select("name", "seq", "qual")
+    return fastq.read_fastq(v.spark, path, 1).select("name", "seq", "qual")
 
 
 @query("barcode_sequence_lines", "SELECT seq AS line FROM reads WHERE mate = 2")

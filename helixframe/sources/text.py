@@ -105,12 +105,6 @@ def records(lines: DataFrame, size: int) -> DataFrame:
     return lines.groupBy("file", F.floor(F.col("ordinal") / size).alias("record")).agg(*at)
 
 
-def read_fastq(spark: SparkSession, path: str, mate: int) -> DataFrame:
-    """(ordinal, name, seq, qual, mate). Records are four lines by number, so that a quality line may begin with `@`."""
-    found = records(read_lines(spark, path), 4)
-    return found.select(F.col("record").alias("ordinal"), F.expr("substring(l0, 2)").alias("name"), F.col("l1").alias("seq"), F.col("l3").alias("qual"), F.lit(mate).alias("mate"))
-
-
 def _numbered_records(lines: DataFrame, head: Column) -> DataFrame:
     """Adds head and record, the number of heads up to a line in its file: counted in runs of lines, which are then added up."""
     flagged = lines.withColumn("head", head).withColumn("run", F.floor(F.col("ordinal") / RUN_LINES))

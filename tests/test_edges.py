@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from helixframe.functions import scalars, udfs
 from helixframe.operators import genome, graph, matrix, molecules, neighbours, projection, sequences, vectors
 from helixframe.operators.components import connected_components
+from helixframe.sources import fastq
 from helixframe.sources import text as src
 
 
@@ -26,7 +27,7 @@ def written(spark, tmp_path, name, content):
 
 def test_fastq_quality_line_may_begin_with_at(spark, tmp_path):
     path = written(spark, tmp_path, "tiny.fastq", "@r1 x\nACGT\n+\n@@@@\n@r2\nAC\n+\n@I\n@r3\nA\n+\n@")
-    got = sorted(map(tuple, src.read_fastq(spark, path, 1).collect()))
+    got = sorted(map(tuple, fastq.read_fastq(spark, path, 1).collect()))
     assert got == [(0, "r1 x", "ACGT", "@@@@", 1), (1, "r2", "AC", "@I", 1), (2, "r3", "A", "@", 1)]
 
 
