@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from helixframe.operators.scratch import kept_table
+
 #: Columns beside the wanted ones, blocks held before they are contracted, passes before an error, and the residual wanted of a component.
 EXTRA, BLOCKS, PASSES, RESIDUAL = 10, 6, 200, 1e-7
 
@@ -67,7 +69,7 @@ def fit(train: DataFrame, k: int, column: str = "vec", seed: int = 0, tolerance:
     lengths or with null components, fewer than two rows, and PASSES passes without an end.
     Signs are fixed: a component's largest entry is positive.
     """
-    rows = train.where(F.col(column).isNotNull()).select(F.transform(column, lambda x: x.cast("double")).alias("vec"))
+    rows = kept_table(train.where(F.col(column).isNotNull()).select(F.transform(column, lambda x: x.cast("double")).alias("vec")), "train")
     least, most, n, holes = rows.agg(F.min(F.size("vec")), F.max(F.size("vec")), F.count("*"), F.count_if(F.exists("vec", lambda x: x.isNull()))).first()
     if n < 2:
         raise ValueError("a projection needs two rows or more")
