@@ -206,6 +206,22 @@ def test_knn_with_duplicates_and_few_rows(spark, monkeypatch):
         vectors.knn_params(50, 15, "umap", use_knn=False)
 
 
+def test_rows_meet_few_blocks(spark):
+    rows = spark.range(40_000).select("id", F.array(F.col("id").cast("float")).alias("vec"))
+    met = vectors.block_pairs(rows, lambda ids, a, names, b: [[len(ids)], [len(names)]], "mine long, others long")
+    assert met.agg(F.sum("mine"), F.sum("others")).first() == (8 * 40_000, 8 * 40_000)  # ten blocks of 4,096 before
+
+
+@pytest.mark.parametrize("block", [1 << 16, 7])
+def test_kernel_sums_equal_the_pairs(spark, monkeypatch, block):
+    monkeypatch.setattr(vectors, "BLOCK", block)
+    rng = random.Random(5)
+    frame = table(spark, [(3 * i, [rng.gauss(i % 4 * 5, 1) for _ in range(3)]) for i in range(60)], "id long, vec array<double>")
+    pairs = vectors.gauss_kernel_dense(frame, 5).groupBy("src").agg(F.count("*").alias("n"), F.sum("w").alias("total")).collect()
+    sums = vectors.gauss_kernel_sums(frame, 5).collect()
+    assert {(r["src"], r["n"], round(r["total"], 9)) for r in sums} == {(r["src"], r["n"], round(r["total"], 9)) for r in pairs} and len(sums) == 60
+
+
 def test_memberships_and_affinities_reach_their_targets(spark):
     rng = random.Random(2)
     rows = [(i, [rng.gauss(0, 1) for _ in range(4)]) for i in range(120)]
