@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -102,27 +104,34 @@ def best_pose(poses: DataFrame) -> DataFrame:
 POSE_CLUSTER = T.StructType([T.StructField("ligand", T.LongType()), T.StructField("energy", T.DoubleType()), T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType()), T.StructField("z", T.DoubleType()), T.StructField("cluster", T.IntegerType())])
 
 
+#: Poses that a task groups at a time, on average.
+POSES = 1 << 17
+
+
 def pose_clusters(poses: DataFrame, tolerance: float = 2.0) -> DataFrame:
     """(ligand, energy, x, y, z, cluster): a pose joins the first leader within the tolerance, else it leads a new cluster.
 
-    Poses go by energy; a ligand has as many as docking made runs, so that a group is small.
+    Poses go by energy. Ligands are dealt to parts, whose number grows with the poses; in a round the first pose of each ligand that has no
+    cluster leads the next one and takes the poses near it, for all ligands of a part at once.
     """
 
-    def lead(table):
-        import numpy as np
-
-        t = table.sort_values(["energy", "x", "y", "z"], kind="stable")
-        xyz, leaders, out = t[["x", "y", "z"]].to_numpy(), [], []
-        for p in xyz:
-            near = np.flatnonzero(np.sqrt(((np.array(leaders) - p) ** 2).sum(axis=1)) <= tolerance) if leaders else []
-            if len(near):
-                out.append(int(near[0]))
-            else:
-                leaders.append(p)
-                out.append(len(leaders) - 1)
-        return t.assign(cluster=np.array(out, "int32"))[POSE_CLUSTER.names]
-
-    return poses.select(*POSE_CLUSTER.names[:-1]).groupBy("ligand").applyInPandas(lead, POSE_CLUSTER)
+    def lead(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks().sort_by([(c, "ascending") for c in POSE_CLUSTER.names[:-1]])
+        ligand = table.column("ligand").combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
+        xyz = [table.column(c).to_numpy() for c in "xyz"]
+        cluster, left, at = np.zeros(len(ligand), np.int32), np.arange(len(ligand)), 0
+        while len(left):
+            firsts = np.flatnonzero(np.diff(ligand[left], prepend=ligand[left[0]] - 1))
+            leader = left[np.repeat(firsts, np.diff(firsts, append=len(left)))]
+            near = np.sqrt(sum((c[leader] - c[left]) ** 2 for c in xyz)) <= tolerance
+            near[firsts] = True
+            cluster[left[near]] = at
+            left, at = left[~near], at + 1
+        return table.append_column("cluster", pa.array(cluster))
+
+    rows = poses.select(*[F.col(f.name).cast(f.dataType) for f in POSE_CLUSTER.fields[:-1]])
+    parts = max(1, -(-rows.count() // POSES))
+    return rows.groupBy(F.pmod(F.xxhash64("ligand"), F.lit(parts)).alias("part")).applyInArrow(lead, POSE_CLUSTER)
 
 
 #: Receptors of a panel that a ligand meets in one step.

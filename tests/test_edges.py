@@ -482,6 +482,22 @@ def test_glm_rules_and_repeated_poses(spark):
     assert sorted(r["cluster"] for r in molecules.pose_clusters(poses).collect()) == [0, 0, 1]
 
 
+def test_pose_clusters_against_one_pose_after_another(spark, monkeypatch):
+    monkeypatch.setattr(molecules, "POSES", 100)
+    rng = random.Random(3)
+    rows = [(rng.choice([None, 1, 2, 2, 2, 9]), *(float(rng.randrange(m)) for m in (5, 6, 4, 3))) for _ in range(400)]
+    want = []
+    for ligand in {r[0] for r in rows}:
+        leaders = []
+        for r in sorted(r for r in rows if r[0] == ligand):
+            near = [i for i, p in enumerate(leaders) if math.dist(p, r[2:]) <= 2]
+            leaders += [] if near else [r[2:]]
+            want.append((*r, near[0] if near else len(leaders) - 1))
+    frame = molecules.pose_clusters(table(spark, rows, "ligand long, energy double, x double, y double, z double"))
+    assert sorted(map(str, map(tuple, frame.collect()))) == sorted(map(str, want))
+    assert "FlatMapGroupsInArrow" in frame._jdf.queryExecution().toString()  # many ligands a call, not one
+
+
 def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
     from helixframe.operators import scratch
 
