@@ -17,11 +17,16 @@ from helixframe.operators.genome import coordinate_sort, with_bin
 from helixframe.operators.scratch import scratch_path as scratch
 
 
-def as_stream(rows: DataFrame, files: int = 4) -> DataFrame:
-    """A table written as files and read as a stream of them, one at a time."""
+#: Rows of a file of a feed.
+FILE_ROWS = 1 << 18
+
+
+def as_stream(rows: DataFrame, batches: int = 4) -> DataFrame:
+    """A table written as files of bounded size, whose number grows with the table, and read as a stream of them in so many batches."""
     path = scratch(rows.sparkSession, "feed")
-    rows.repartition(files).write.parquet(path)
-    return rows.sparkSession.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    at_once = -(-rows.count() // (batches * FILE_ROWS)) or 1
+    rows.repartition(batches * at_once).write.parquet(path)
+    return rows.sparkSession.readStream.schema(rows.schema).option("maxFilesPerTrigger", at_once).parquet(path)
 
 
 def _run(writer, spark: SparkSession, name: str) -> None:

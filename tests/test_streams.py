@@ -4,6 +4,7 @@ import datetime as dt
 
 import pytest
 from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
 
 from helixframe.operators.scratch import scratch_path
 from helixframe.streaming import routes
@@ -61,3 +62,12 @@ def test_marks_count_rows_of_every_pair(spark):
     rows = spark.createDataFrame([(1, 1, START), (1, 1, START), (2, 2, START)], "c int, m int, at timestamp")
     marks = routes.with_end_marks(rows, "c", "m", "at").where("announced is not null").collect()
     assert sorted((r["consumer"], r["producer"], r["announced"]) for r in marks) == [("1", "1", 2), ("1", "2", 0), ("2", "1", 0), ("2", "2", 1)]
+
+
+def test_files_of_a_feed_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(routes, "FILE_ROWS", 10, raising=False)
+    rows = routes.as_stream(spark.range(100).select("id", F.input_file_name().alias("file")))
+    path, batches = scratch_path(spark, "fed"), []
+    rows.select("id", F.input_file_name().alias("file")).writeStream.foreachBatch(lambda df, n: (batches.append(n), df.write.mode("append").parquet(path))[0]).option("checkpointLocation", scratch_path(spark, "fed-state")).trigger(availableNow=True).start().awaitTermination()
+    most = spark.read.parquet(path).groupBy("file").count().agg(F.max("count"), F.sum("count")).first()
+    assert most[0] <= 12 and most[1] == 100 and len(batches) == 4  # files of 25 rows before
