@@ -92,7 +92,7 @@ def grid_around(points: DataFrame, delta: float, size: int) -> DataFrame:
     """(id, i, j, vec): vec + delta * (i * x + j * y) for i and j from -size to size; points: (id, vec, x, y)."""
     axis = F.sequence(F.lit(-size), F.lit(size))
     cells = points.withColumn("i", F.explode(axis)).withColumn("j", F.explode(axis))
-    moved = F.zip_with(F.zip_with("vec", F.col("x"), lambda p, a: p.cast("double") + F.col("i") * delta * a), F.col("y"), lambda p, b: p + F.col("j") * delta * b)
+    moved = F.zip_with(F.zip_with("vec", F.col("x"), lambda p, a: p.cast("double") + (F.col("i") * delta * a + F.lit(0.0))), F.col("y"), lambda p, b: p + (F.col("j") * delta * b + F.lit(0.0)))
     return cells.select("id", "i", "j", moved.alias("vec"))
 
 

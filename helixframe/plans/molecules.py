@@ -16,7 +16,8 @@ def r6(df, *cols):
 
 
 def rounded(vec: str):
-    return F.transform(vec, lambda x: F.round(x, 6) + F.lit(0.0))
+    """Components to six places; zero keeps the sign of what it was rounded from, as in SQL."""
+    return F.transform(vec, lambda x: F.round(F.abs(x), 6) * F.signum(x))
 
 
 QUALITY = """WITH d AS (SELECT DISTINCT run_id, mol FROM molecules WHERE valid), n AS (SELECT run_id, count(*) AS n, count(*) FILTER (valid) AS nv FROM molecules GROUP BY 1),

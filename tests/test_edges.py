@@ -498,6 +498,15 @@ def test_pose_clusters_against_one_pose_after_another(spark, monkeypatch):
     assert "FlatMapGroupsInArrow" in frame._jdf.queryExecution().toString()  # many ligands a call, not one
 
 
+def test_rounded_components_keep_their_sign(spark):
+    from helixframe.plans.molecules import rounded
+
+    row = table(spark, [(1, [-1e-7, 1e-7, -0.0, -0.25, 0.1234565])], "id long, vec array<double>").select(rounded("vec").alias("v")).first()
+    assert list(map(repr, row["v"])) == ["-0.0", "0.0", "-0.0", "-0.25", "0.123457"]
+    grid = molecules.grid_around(table(spark, [(1, [-0.0], [0.0], [0.0])], "id long, vec array<float>, x array<double>, y array<double>"), 0.5, 1)
+    assert {repr(r["vec"][0]) for r in grid.collect()} == {"0.0"}
+
+
 def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
     from helixframe.operators import scratch
 
