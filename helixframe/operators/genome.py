@@ -114,9 +114,13 @@ MOST_OF_A_KEY = 4096
 
 
 def split_join(left: DataFrame, right: DataFrame, key: str, most: int | None = None) -> DataFrame:
-    """left and right joined on the key, whose common values are cut into parts on both sides: each part meets each part."""
+    """left and right joined on the key, whose common values are cut into parts on both sides: each part meets each part.
+
+    Sides are often exploded from rows whose size says nothing of theirs, so that Spark would take them for small: only the common keys,
+    which are few, are left for it to broadcast.
+    """
     most = most or MOST_OF_A_KEY
-    counts = left.groupBy(key).agg(F.count("*").alias("nl")).join(right.groupBy(key).agg(F.count("*").alias("nr")), key)
+    counts = left.groupBy(key).agg(F.count("*").alias("nl")).hint("merge").join(right.groupBy(key).agg(F.count("*").alias("nr")), key)
     hot = counts.where((F.col("nl") > most) | (F.col("nr") > most)).select(key, F.ceil(F.col("nl") / most).alias("__lp"), F.ceil(F.col("nr") / most).alias("__rp"))
 
     def dealt(rows: DataFrame, own: str, other: str) -> DataFrame:
@@ -124,7 +128,7 @@ def split_join(left: DataFrame, right: DataFrame, key: str, most: int | None = N
         mine = joined.withColumn("__mine", F.pmod(F.xxhash64(*rows.columns), F.col(own)))
         return mine.withColumn("__their", F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1))).select(*rows.columns, F.col("__mine").alias(own), F.col("__their").alias(other))
 
-    return dealt(left, "__lp", "__rp").join(dealt(right, "__rp", "__lp"), [key, "__lp", "__rp"]).drop("__lp", "__rp")
+    return dealt(left, "__lp", "__rp").hint("merge").join(dealt(right, "__rp", "__lp"), [key, "__lp", "__rp"]).drop("__lp", "__rp")
 
 
 def seed_votes(reads: DataFrame, reference: DataFrame) -> DataFrame:

@@ -507,6 +507,18 @@ def test_rounded_components_keep_their_sign(spark):
     assert {repr(r["vec"][0]) for r in grid.collect()} == {"0.0"}
 
 
+def test_exploded_kmers_are_not_broadcast(spark):
+    from helixframe.operators import scratch
+
+    rows = table(spark, [(i, "ACGTTGCA" * 3) for i in range(4)], "id long, seq string")
+    rows = scratch.kept_table(rows.withColumn("seq", F.repeat("seq", 2)))
+    cut = genome.kmers(rows, "id", "seq", 5)
+    joined = genome.split_join(cut.select("id", "kmer"), cut.select(F.col("id").alias("of"), "kmer"), "kmer")
+    plan = joined._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("SortMergeJoin") == 3 and plan.count("BroadcastHashJoin") == 2  # broadcast: the common keys, once a side
+    assert joined.count() == sum(n * n for (n,) in cut.groupBy("kmer").count().select("count").collect())
+
+
 def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
     from helixframe.operators import scratch
 
