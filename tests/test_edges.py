@@ -193,6 +193,15 @@ def test_similar_sets_against_all_pairs(spark, least):
     assert molecules.similar_sets(frame.limit(0), least).count() == 0
 
 
+def test_similar_sets_over_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(molecules, "SET_ITEMS", 150)
+    monkeypatch.setattr(molecules, "SET_CELLS", 64)
+    rng = random.Random(9)
+    rows = [(i, [f"w{j}" for j in rng.sample(range(30), rng.choice([2, 5, 6, 14, 28]))]) for i in range(90)]
+    got = [(r["a"], r["b"], r["similarity"]) for r in molecules.similar_sets(table(spark, rows, "id long, items array<string>"), 0.4).collect()]
+    assert len(got) == len(set(got)) and set(got) == plain_similar_sets(rows, 0.4)
+
+
 def test_knn_with_duplicates_and_few_rows(spark, monkeypatch):
     rows = [(i, [float(i // 2), 0.0]) for i in range(7)]
     frame = table(spark, rows, "id long, vec array<float>")
