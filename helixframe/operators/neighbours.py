@@ -34,7 +34,7 @@ def _meet(rows: DataFrame, tally: Accumulator | None) -> DataFrame:
             all_ids, fresh, radius, vecs = (lists.flatten().field(n) for n in ("id", "fresh", "radius", "vec"))
             ends = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
             all_ids, radius, fresh = all_ids.to_numpy(), radius.to_numpy(), fresh.to_numpy(zero_copy_only=False)
-            x = vecs.flatten().to_numpy(zero_copy_only=False).reshape(len(all_ids), -1) if len(all_ids) else np.zeros((0, 1))
+            x = vecs.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(all_ids), -1) if len(all_ids) else np.zeros((0, 1))
             norms, out, seen = (x * x).sum(axis=1), [], 0
             for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()):
                 ids, part, new = all_ids[a:b], x[a:b], fresh[a:b]
@@ -83,7 +83,7 @@ def knn_approx(vectors: DataFrame, k: int, width: int | None = None, seed: int =
     null take no part; ids are distinct. Copies of one vector may fill each other's lists, as they do in the exact result.
     tally, if given, counts the comparisons. A row lists itself and fewer than k others only where the table is that small.
     """
-    rows = kept_table(vectors.where("vec is not null").select("id", F.transform("vec", lambda x: x.cast("double")).alias("vec")), "rows")
+    rows = kept_table(vectors.where("vec is not null").select("id", "vec"), "rows")  # in their own type: each round sends them
     n = rows.count()
     width = min(width or k + 5, max(n - 1, 1))
 
