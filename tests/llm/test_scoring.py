@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 
 from helixframe.llm import scoring
+from helixframe.llm.common import split_words
 
 
 def tokens(text):
@@ -198,3 +199,24 @@ def test_nothing_to_learn_and_empty(spark):
     only = next(i for i in range(100) if held(i))
     row = scoring.score_documents(spark.createDataFrame([(only, "a b")], "doc_id long, text string")).first()
     assert row["train_tokens"] == 0 and row["n_known"] == 0 and row["base_score"] == 0 and row["score"] < 0
+
+
+def test_long_texts_learn_after_each_token():
+    """Texts of different lengths side by side, one far beyond the 512th token, cost what the plain mixer says."""
+    marks, symbol, rest, model = toy(5)
+    rng = np.random.default_rng(4)
+    sizes = np.array([2500, 700, 90, 1])
+    codes = np.minimum(rng.geometric(0.12, sizes.sum()) - 1, 39)
+    codes[1200:2500] = 39 - codes[1200:2500]  # what was learned first is wrong later
+    unknown, adds, first = np.arange(40) % 9 == 8, np.append(scoring.before(marks), 0), np.cumsum(sizes) - sizes
+    parts = [events(marks, codes[a : a + n], np.where(rng.random(n) < 0.1, rng.integers(1, 3, n), 0)) for a, n in zip(first, sizes)]
+    every = scoring.Events(*(np.concatenate([getattr(p, f) for p in parts]) for f in ("code", "asked", "before", "pair")))
+    got = scoring.stream_costs(every, symbol, adds, unknown, rest, model, first, sizes)
+    assert got == pytest.approx([plain_cost(p, symbol, adds, unknown, rest, model) for p in parts], rel=1e-4)
+
+
+def test_a_chunk_is_encoded_by_pieces():
+    texts = pa.array(["A b\tc" * 300_000, None, "", "b é c a " * 700_000, "New"])
+    codes, counts, words = scoring.chunk_codes(pa.record_batch([pa.array(range(5)), texts], ["doc_id", "text"]))
+    want = split_words(texts, lower=True)
+    assert counts.tolist() == want[1].tolist() and words.take(pa.array(codes)).equals(want[0])
