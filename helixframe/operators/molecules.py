@@ -218,20 +218,28 @@ CONTACT_CUTOFFS = {"R": 2.1, "H": 3.7, "V": 4.0}
 
 
 def contacts(poses: DataFrame, targets: DataFrame, cutoffs: dict[str, float] = CONTACT_CUTOFFS) -> DataFrame:
-    """Pairs within the cutoff of the target's kind, by a grid of cells as wide as the largest one: a pose looks into the 27 around its own.
+    """Pairs within the cutoff of the target's kind, by a grid of cells half as wide as the largest one.
 
+    A target goes to the cells that its own cutoff reaches, at most 216, and a pose to the one that it lies in. Few rows have many
+    pairs, so that cells are dealt to a set number of tasks, which Spark doesn't put together by the size of their rows.
     Both sides: (id, kind, x, y, z). Targets of other kinds have no contacts.
     """
-    size = max(cutoffs.values())
+    size = max(cutoffs.values()) / 2
     cutoff = F.try_element_at(F.create_map(*[F.lit(x) for kv in cutoffs.items() for x in kv]), F.col("kind"))
-    cell = [F.floor(F.col(c) / size).alias(f"c{c}") for c in "xyz"]
-    placed = targets.select(F.col("id").alias("target"), F.col("kind"), *[F.col(c).alias(f"t{c}") for c in "xyz"], *cell)
-    around = F.array(F.lit(-1), F.lit(0), F.lit(1))
-    asked = poses.select(F.col("id").alias("pose"), "x", "y", "z", *cell)
+    # A little further than the cutoff, for what rounding does to the exact test below.
+    reach = cutoff + 1e-9 * (1 + F.greatest(*[F.abs(F.col(c)) for c in "xyz"]))
+    placed = targets.select(F.col("id").alias("target"), "kind", *[F.col(c).alias(f"t{c}") for c in "xyz"], reach.alias("reach"))
     for c in "xyz":
-        asked = asked.withColumn("d", F.explode(around)).withColumn(f"c{c}", F.col(f"c{c}") + F.col("d")).drop("d")
+        low, high = (F.floor((F.col(f"t{c}") + way * F.col("reach")) / size) for way in (-1, 1))
+        placed = placed.withColumn(f"c{c}", F.explode(F.sequence(low, high)))
+    # From a target to the nearest point of a cell.
+    gaps = [F.greatest(F.lit(0.0), F.col(f"c{c}") * size - F.col(f"t{c}"), F.col(f"t{c}") - (F.col(f"c{c}") + 1) * size) for c in "xyz"]
+    placed = placed.where(sum((x * x for x in gaps[1:]), gaps[0] * gaps[0]) <= F.col("reach") * F.col("reach")).drop("reach")
+    asked = poses.select(F.col("id").alias("pose"), "x", "y", "z", *[F.floor(F.col(c) / size).alias(f"c{c}") for c in "xyz"])
     square = sum(((F.col(c) - F.col(f"t{c}")) * (F.col(c) - F.col(f"t{c}")) for c in "yz"), (F.col("x") - F.col("tx")) * (F.col("x") - F.col("tx")))
-    return asked.join(placed, ["cx", "cy", "cz"]).where(square <= cutoff * cutoff).select("pose", "target", "kind")
+    cells, tasks = ["cx", "cy", "cz"], int(poses.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = asked.repartition(tasks, *cells).join(placed.repartition(tasks, *cells), cells)
+    return met.where(square <= cutoff * cutoff).select("pose", "target", "kind")
 
 
 def tiles(contigs: DataFrame, size: int) -> DataFrame:

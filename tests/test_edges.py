@@ -572,3 +572,18 @@ def test_sequence_search_counts_in_tasks_whatever_the_blocks(spark, monkeypatch)
     assert sorted(map(tuple, sequences.search_database(table, table, 6).collect())) == whole
     block = sequences._QueryBlock(pa.table({"query": [1, 2], "nq": [3, 2], "kmers": pa.array([[1, 5, 9], [5, 9]], pa.list_(pa.int64()))}))
     assert block.shared(np.array([5, 7, 9])).tolist() == [2, 2] and block.shared(np.array([1, 10])).tolist() == [1, 0]
+
+
+def test_contacts_of_crowded_cells_spread_over_tasks(spark):
+    """All pairs by brute force, on borders of cells and of cutoffs too; the work isn't put into one task because its rows are few."""
+    rng = random.Random(6)
+    point = lambda: tuple(rng.choice([rng.uniform(-6, 6), float(rng.randint(-6, 6)), rng.randint(-6, 6) + 0.1]) for _ in "xyz")
+    poses = [(i, "", *point()) for i in range(300)] + [(900, "", math.nan, 0.0, 0.0), (901, "", None, 0.0, 0.0)]
+    targets = [(i, "RHVX"[i % 4], *point()) for i in range(80)] + [(90, "V", math.nan, 0.0, 0.0), (91, "V", 0.0, None, 0.0)]
+    table = lambda rows: spark.createDataFrame(rows, "id long, kind string, x double, y double, z double").repartition(3, "id")
+    out = molecules.contacts(table(poses), table(targets))
+    cut = molecules.CONTACT_CUTOFFS
+    square = lambda p, t: (p[2] - t[2]) * (p[2] - t[2]) + (p[3] - t[3]) * (p[3] - t[3]) + (p[4] - t[4]) * (p[4] - t[4])
+    want = [(p[0], t[0], t[1]) for p in poses[:300] for t in targets[:80] if t[1] in cut and square(p, t) <= cut[t[1]] * cut[t[1]]]
+    assert want and sorted(map(tuple, out.collect())) == sorted(want)
+    assert out.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
