@@ -615,3 +615,12 @@ def test_contacts_of_crowded_cells_spread_over_tasks(spark):
     want = [(p[0], t[0], t[1]) for p in poses[:300] for t in targets[:80] if t[1] in cut and square(p, t) <= cut[t[1]] * cut[t[1]]]
     assert want and sorted(map(tuple, out.collect())) == sorted(want)
     assert out.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_screening_keeps_nulls_and_spreads_few_receptors_over_tasks(spark):
+    ligands, receptors = table(spark, [(i,) for i in range(9000)] + [(None,)], "ligand long"), table(spark, [(i,) for i in range(600)] + [(None,), (5,)], "receptor long")
+    found = molecules.screening(ligands, receptors)
+    sums = found.agg(F.count("*"), F.countDistinct("ligand", "receptor"), F.sum("ligand"), F.sum("receptor"), F.count_if(F.col("ligand").isNull()), F.count_if(F.col("receptor").isNull())).first()
+    assert tuple(sums) == (9001 * 602, 9000 * 600, 602 * sum(range(9000)), 9001 * (5 + sum(range(600))), 602, 9001)
+    assert found.select(F.spark_partition_id().alias("p")).distinct().count() > 1
+    assert molecules.screening(ligands.limit(0), receptors).count() == molecules.screening(ligands, receptors.limit(0)).count() == 0
