@@ -624,3 +624,24 @@ def test_screening_keeps_nulls_and_spreads_few_receptors_over_tasks(spark):
     assert tuple(sums) == (9001 * 602, 9000 * 600, 602 * sum(range(9000)), 9001 * (5 + sum(range(600))), 602, 9001)
     assert found.select(F.spark_partition_id().alias("p")).distinct().count() > 1
     assert molecules.screening(ligands.limit(0), receptors).count() == molecules.screening(ligands, receptors.limit(0)).count() == 0
+
+
+def test_eigenvectors_over_many_buckets_need_few_products(spark, monkeypatch):
+    rng, n, sent = np.random.default_rng(5), 240, []
+    x = rng.standard_normal((n, 3))
+    near = np.argsort(((x[:, None] - x) ** 2).sum(axis=2), axis=1)[:, 1:6]
+    pairs = {(min(a, b), max(a, b)) for a, row in enumerate(near.tolist()) for b in row}
+    edges = table(spark, [e for a, b in sorted(pairs) for e in ((a, b, 1.0), (b, a, 1.0))], "src long, dst long, w double")
+    t = graph.transition_matrix(edges).select("src", "dst", "t").localCheckpoint()
+    product = graph._product
+    monkeypatch.setattr(graph, "BUCKET_EDGES", 500)
+    monkeypatch.setattr(graph, "LINK_EDGES", 100, raising=False)
+    monkeypatch.setattr(graph, "_product", lambda *a: sent.append(1) or product(*a))
+    values, vecs = graph.diffusion_eigen(t, 8)
+    dense, v = np.zeros((n, n)), np.array([r["vec"] for r in vecs.orderBy("node").collect()])
+    for r in t.collect():
+        dense[r["src"], r["dst"]] = r["t"]
+    want = np.linalg.eigvalsh(dense)
+    assert values == pytest.approx(sorted(want[np.argsort(-np.abs(want))[:8]], reverse=True), abs=1e-9)
+    assert np.abs(dense @ v - v * values).max() < 1e-6 and np.abs(v.T @ v - np.eye(8)).max() < 1e-9
+    assert len(sent) <= 41
