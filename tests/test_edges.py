@@ -636,7 +636,7 @@ def test_eigenvectors_over_many_buckets_need_few_products(spark, monkeypatch):
     product = graph._product
     monkeypatch.setattr(graph, "BUCKET_EDGES", 500)
     monkeypatch.setattr(graph, "LINK_EDGES", 100, raising=False)
-    monkeypatch.setattr(graph, "_product", lambda *a: sent.append(1) or product(*a))
+    monkeypatch.setattr(graph, "_product", lambda *a: sent.append(len(a[1].first()["now"]) // 8) or product(*a))
     values, vecs = graph.diffusion_eigen(t, 8)
     dense, v = np.zeros((n, n)), np.array([r["vec"] for r in vecs.orderBy("node").collect()])
     for r in t.collect():
@@ -644,4 +644,4 @@ def test_eigenvectors_over_many_buckets_need_few_products(spark, monkeypatch):
     want = np.linalg.eigvalsh(dense)
     assert values == pytest.approx(sorted(want[np.argsort(-np.abs(want))[:8]], reverse=True), abs=1e-9)
     assert np.abs(dense @ v - v * values).max() < 1e-6 and np.abs(v.T @ v - np.eye(8)).max() < 1e-9
-    assert len(sent) <= 41
+    assert len(sent) <= 41 and sum(sent) < 750, (len(sent), sum(sent))  # columns that products are made of
