@@ -645,3 +645,15 @@ def test_eigenvectors_over_many_buckets_need_few_products(spark, monkeypatch):
     assert values == pytest.approx(sorted(want[np.argsort(-np.abs(want))[:8]], reverse=True), abs=1e-9)
     assert np.abs(dense @ v - v * values).max() < 1e-6 and np.abs(v.T @ v - np.eye(8)).max() < 1e-9
     assert len(sent) <= 41 and sum(sent) < 750, (len(sent), sum(sent))  # columns that products are made of
+
+
+def test_columns_side_by_side_take_one_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(graph, "PART_BYTES", 1 << 12)
+    rng, n = np.random.default_rng(6), 300
+    held = [rng.standard_normal((n, 3 + i)) for i in range(12)]
+    state = lambda x, i: spark.createDataFrame([(j, [0, j], x[j].tobytes()) for j in rng.permutation(n).tolist()], "node long, to array<int>, now binary")
+    beside = graph._beside([state(x, i) for i, x in enumerate(held)], sum(x.size for x in held))
+    rows = {r["node"]: (r["to"], np.frombuffer(r["now"])) for r in beside.collect()}
+    assert len(rows) == n and all(rows[j][0] == [0, j] and (rows[j][1] == np.hstack([x[j] for x in held])).all() for j in range(n))
+    plan = beside._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FlatMapGroupsInArrow") == 1 and "Join" not in plan
