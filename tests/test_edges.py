@@ -657,3 +657,26 @@ def test_columns_side_by_side_take_one_shuffle(spark, monkeypatch):
     assert len(rows) == n and all(rows[j][0] == [0, j] and (rows[j][1] == np.hstack([x[j] for x in held])).all() for j in range(n))
     plan = beside._jdf.queryExecution().sparkPlan().toString()
     assert plan.count("FlatMapGroupsInArrow") == 1 and "Join" not in plan
+
+
+def test_kernel_sums_work_out_a_weight_once(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "TILE", (4, 8), raising=False)
+    monkeypatch.setattr(vectors, "BLOCK", 20)
+    rng, worked = random.Random(9), spark.sparkContext.accumulator(0)
+    rows = [(7 * i, [rng.gauss(0, 1) for _ in range(3)]) for i in range(70)] + [(1000 + i, [50.0, 0.0, 0.0]) for i in range(8)]  # copies have no scale
+    frame = table(spark, rows, "id long, vec array<double>").persist()
+    pairs = vectors.gauss_kernel_dense(frame, 5).where("w > 0").groupBy("src").agg(F.count("*").alias("n"), F.sum("w").alias("total")).collect()
+    pair = vectors.block_pairs
+
+    def counted(rows, f, schema, **how):
+        def g(ids, a, names, b):
+            worked.add(len(ids) * len(names))
+            return f(ids, a, names, b)
+
+        return pair(rows, g, schema, **how)
+
+    monkeypatch.setattr(vectors, "_scaled", lambda *a, own=vectors._scaled(frame, 5).persist(): own)
+    monkeypatch.setattr(vectors, "block_pairs", counted)
+    sums = vectors.gauss_kernel_sums(frame, 5).collect()
+    assert {(r["src"], r["n"], round(r["total"], 7)) for r in sums} == {(r["src"], r["n"], round(r["total"], 7)) for r in pairs} and len(sums) == 70
+    assert worked.value < 0.75 * 78 * 78  # all ordered pairs before
