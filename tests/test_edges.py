@@ -680,3 +680,20 @@ def test_kernel_sums_work_out_a_weight_once(spark, monkeypatch):
     sums = vectors.gauss_kernel_sums(frame, 5).collect()
     assert {(r["src"], r["n"], round(r["total"], 7)) for r in sums} == {(r["src"], r["n"], round(r["total"], 7)) for r in pairs} and len(sums) == 70
     assert worked.value < 0.75 * 78 * 78  # all ordered pairs before
+
+
+@pytest.mark.parametrize("kind", ["far", "copies", "plain"])
+def test_neighbours_far_from_zero_and_among_copies(spark, monkeypatch, kind):
+    monkeypatch.setattr(vectors, "STRIP", 5000)
+    rng = np.random.default_rng(10)
+    x = rng.standard_normal((700, 4)) * (1e-2 if kind == "far" else 1) + (3e4 if kind == "far" else 0)
+    if kind == "copies":
+        x[100:400] = x[7]
+    frame = spark.createDataFrame([(i, row) for i, row in enumerate(x.tolist())], "id long, vec array<double>")
+    square = np.round(((x[:, None] - x) ** 2).sum(axis=2), 9)
+    np.fill_diagonal(square, -1)
+    want = {i: sorted(range(700), key=lambda j, i=i: (square[i, j], j))[:6] for i in range(700)}
+    got = {}
+    for row in vectors.knn(frame, 6).orderBy("src", "rank").collect():
+        got.setdefault(row["src"], []).append(row["dst"])
+    assert got == want
