@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -131,15 +134,126 @@ def split_join(left: DataFrame, right: DataFrame, key: str, most: int | None = N
     return dealt(left, "__lp", "__rp").hint("merge").join(dealt(right, "__rp", "__lp"), [key, "__lp", "__rp"]).drop("__lp", "__rp")
 
 
-def seed_votes(reads: DataFrame, reference: DataFrame) -> DataFrame:
+#: Letters of a block of reads at most, of a block of contigs at least and at most, on average, and of contigs that a task looks up at a time; shared seeds that it lists at a time.
+READ_LETTERS, CONTIG_LETTERS, PIECE_LETTERS, SEED_PAIRS = 1 << 23, (1 << 21, 1 << 25), 1 << 20, 1 << 22
+
+
+def seed_votes(reads: DataFrame, contigs: DataFrame, k: int) -> DataFrame:
     """(read, contig, diagonal, votes): the diagonal of shared k-mers with most votes; ties to the smaller contig and diagonal.
 
-    Both sides: (id, at, kmer). Common k-mers are split.
+    Both sides: (id, seq), sequences of the letters A to Z; rows of one id vote together. Reads and contigs are dealt to blocks by their ids and a
+    pair of blocks meets in a task, which finds its shared k-mers, counts the votes and reports one diagonal a read at most: what is sent are
+    sequences x blocks and reads x blocks, never k-mers or what they share. A block grows with its side up to a set size.
     """
-    hits = split_join(reads.select(F.col("id").alias("read"), F.col("at").alias("a"), "kmer"), reference.select(F.col("id").alias("contig"), F.col("at").alias("b"), "kmer"), "kmer")
-    votes = hits.groupBy("read", "contig", (F.col("b") - F.col("a")).alias("diagonal")).agg(F.count("*").alias("votes"))
-    best = votes.groupBy("read").agg(F.min_by(F.struct("contig", "diagonal", "votes"), F.struct(-F.col("votes"), "contig", "diagonal")).alias("m"))
-    return best.select("read", "m.*")
+    if not 1 <= k <= 24:
+        raise ValueError("k is 1 to 24: a k-mer is two numbers of 60 bits")
+    letters = lambda rows: rows.agg(F.sum(F.length("seq"))).first()[0] or 0
+    m, total = max(1, -(-letters(reads) // READ_LETTERS)), letters(contigs)
+    n = max(1, -(-total // min(CONTIG_LETTERS[1], max(CONTIG_LETTERS[0], total // 32))))
+    asked, met = (rows.where(F.length("seq") >= k).select(F.coalesce(F.col("id").cast("long"), F.lit(NO_ID)).alias("id"), "seq") for rows in (reads, contigs))
+    block = lambda count: F.pmod(F.xxhash64("id"), F.lit(count)).cast("int")
+    every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+    rows = asked.select(block(m).alias("a"), every(n).alias("b"), F.lit(True).alias("asks"), "id", "seq").unionByName(met.select(every(m).alias("a"), block(n).alias("b"), F.lit(False).alias("asks"), "id", "seq"))
+
+    def meet(table: pa.Table) -> pa.Table:
+        best = _best_diagonals(*(table.filter(table.column("asks") if asks else pc.invert(table.column("asks"))).sort_by("id") for asks in (True, False)), k)
+        return pa.table(best, names=["read", "contig", "diagonal", "votes"])
+
+    found = rows.repartition(m * n, "a", "b").groupBy("a", "b").applyInArrow(meet, "read long, contig long, diagonal int, votes long")
+    best = found.groupBy("read").agg(F.min_by(F.struct("contig", "diagonal", "votes"), F.struct(-F.col("votes"), "contig", "diagonal")).alias("m")).select("read", "m.*")
+    return best.withColumns({c: F.nullif(F.col(c), F.lit(NO_ID)) for c in ("read", "contig")})
+
+
+#: Stands for a null id, after all others.
+NO_ID = (1 << 63) - 1
+
+
+def _seeds(rows: pa.Table, k: int) -> tuple[np.ndarray, ...]:
+    """(row, place, first letters, other letters) of each k-mer of the rows' sequences; letters as numbers of five bits each."""
+    seq = rows.column("seq").combine_chunks().cast(pa.large_string())
+    offsets = np.frombuffer(seq.buffers()[1], np.int64)[seq.offset : seq.offset + len(seq) + 1]
+    data = np.frombuffer(seq.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+    if ((data < 65) | (data > 90)).any():
+        raise ValueError("a sequence has other letters than A to Z")
+    number = lambda lo, hi: _folded(data, lo, hi, len(data) - k + 1)
+    ends = offsets[1:] - offsets[0]
+    row = np.repeat(np.arange(len(seq), dtype=np.int32), np.diff(offsets))[: len(data) - k + 1]
+    at = np.arange(len(row))
+    whole = at + k <= ends[row]
+    place = (at - (offsets[:-1] - offsets[0])[row])[whole].astype(np.int32)
+    return row[whole], place, number(0, min(k, 12))[whole], number(min(k, 12), k)[whole]
+
+
+def _folded(data: np.ndarray, lo: int, hi: int, n: int) -> np.ndarray:
+    codes = np.zeros(n, np.int64 if hi - lo > 6 else np.int32)
+    for i in range(lo, hi):
+        codes = (codes << 5) | (data[i : i + n] & 31)
+    return codes
+
+
+def _best_diagonals(reads: pa.Table, contigs: pa.Table, k: int) -> list[np.ndarray]:
+    """(read, contig, diagonal, votes) of the best diagonal of each read that shares a k-mer with a contig; both sides in the order of their ids."""
+    if not reads.num_rows or not contigs.num_rows:
+        return [np.zeros(0, t) for t in (np.int64, np.int64, np.int32, np.int64)]
+    names, owner = np.unique(reads.column("id").to_numpy(), return_inverse=True)
+    row, place, first, rest = _seeds(reads, k)
+    order = np.argsort(first, kind="stable")
+    read, place, rest = owner[row[order]], place[order], rest[order]
+    used, starts = np.unique(first[order], return_index=True)
+    starts = np.append(starts, len(first))
+    del row, first, order
+    most, target, diagonal = np.zeros(len(names), np.int64), np.full(len(names), NO_ID), np.zeros(len(names), np.int64)
+    ids = contigs.column("id").to_numpy()
+    length = pc.binary_length(contigs.column("seq")).to_numpy().astype(np.int64)
+    # Pieces of whole contigs; one that is longer stands alone.
+    piece = (np.cumsum(length) - length) // PIECE_LETTERS
+    heads = np.flatnonzero(np.diff(ids, prepend=ids[0])).tolist()
+    cuts = [0]
+    for at in heads:
+        if piece[at] > piece[cuts[-1]]:
+            cuts.append(at)
+    for lo, hi in zip(cuts, [*cuts[1:], len(ids)]):
+        some, number = np.unique(ids[lo:hi], return_inverse=True)
+        row, at, code, tail = _seeds(contigs.slice(lo, hi - lo), k)
+        order = np.argsort(code)
+        found = np.minimum(np.searchsorted(used, code[order]), len(used) - 1)
+        order, found = order[used[found] == code[order]], found[used[found] == code[order]]
+        counts = starts[found + 1] - starts[found]
+        ends, held = np.cumsum(counts), []
+        edges = [0, *(np.flatnonzero(np.diff(ends // SEED_PAIRS)) + 1).tolist(), len(counts)]
+        for x, y in zip(edges, edges[1:]):
+            own = np.repeat(order[x:y], counts[x:y])
+            other = np.arange(len(own)) + np.repeat(starts[found[x:y]] - (ends[x:y] - counts[x:y] - (ends[x - 1] if x else 0)), counts[x:y])
+            same = tail[own] == rest[other]
+            own, other = own[same], other[same]
+            held.append(_counted([read[other], number[row[own]], at[own].astype(np.int64) - place[other]], np.ones(len(own), np.int64)))
+        who, what, where, votes = held[0] if len(held) == 1 else _counted([np.concatenate(c) for c in list(zip(*held))[:3]], np.concatenate([x[3] for x in held]))
+        best = np.lexsort((where, what, -votes, who))
+        best = best[np.flatnonzero(np.diff(who[best], prepend=-1))]
+        who, what, where, votes = who[best], some[what[best]], where[best], votes[best]
+        # Contigs come in the order of their ids: an equal number of votes is no better.
+        better = votes > most[who]
+        who = who[better]
+        most[who], target[who], diagonal[who] = votes[better], what[better], where[better]
+    hit = np.flatnonzero(most)
+    return [names[hit], target[hit], diagonal[hit].astype(np.int32), most[hit]]
+
+
+def _counted(columns: list[np.ndarray], n: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The different rows of three columns, and the sums of n over each."""
+    if not len(n):
+        return *columns, n
+    least = [int(c.min()) for c in columns]
+    spans = [int(c.max()) - x + 1 for c, x in zip(columns, least)]
+    if spans[0] * spans[1] * spans[2] < 1 << 62:
+        key = ((columns[0] - least[0]) * spans[1] + (columns[1] - least[1])) * spans[2] + (columns[2] - least[2])
+        order = np.argsort(key)
+        new = np.diff(key[order], prepend=-1) != 0
+    else:
+        order = np.lexsort(columns)
+        new = np.any([np.diff(c[order], prepend=x - 1) != 0 for c, x in zip(columns, least)], axis=0)
+    heads = np.flatnonzero(new)
+    return *(c[order[heads]] for c in columns), np.add.reduceat(n[order], heads)
 
 
 def pileup(alignments: DataFrame, pieces: DataFrame) -> DataFrame:

@@ -196,7 +196,7 @@ votes AS (SELECT r.id AS read, c.id AS contig, CAST(c.a - r.a AS INT) AS diagona
 SELECT read, contig, diagonal, votes FROM (SELECT *, row_number() OVER (PARTITION BY read ORDER BY votes DESC, contig, diagonal) AS n FROM votes) v WHERE n = 1""")
 def q_seeds(v):
     ids = v.reads.withColumn("id", F.col("sample") * READS + F.col("ordinal"))
-    return g.seed_votes(g.kmers(ids.where("mate = 1"), "id", "seq", SEED), g.kmers(ids.where("mate = 2"), "id", "seq", SEED))
+    return g.seed_votes(ids.where("mate = 1").select("id", "seq"), ids.where("mate = 2").select("id", "seq"), SEED)
 
 
 @query("pileup_counts", f"""WITH {BINS}, pieces AS (SELECT bin, contig, greatest(0, start_pos - s0) AS lo, least(length, end_pos - s0) AS hi FROM gbins JOIN starts ON s0 < end_pos AND s0 + length > start_pos),

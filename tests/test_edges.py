@@ -1,6 +1,7 @@
 """Small tables on which the rules of the operators show."""
 
 import itertools
+import collections
 import math
 import random
 
@@ -697,3 +698,33 @@ def test_neighbours_far_from_zero_and_among_copies(spark, monkeypatch, kind):
     for row in vectors.knn(frame, 6).orderBy("src", "rank").collect():
         got.setdefault(row["src"], []).append(row["dst"])
     assert got == want
+
+
+@pytest.mark.parametrize("k", [3, 15])
+def test_seed_votes_equal_all_windows(spark, monkeypatch, k):
+    """Repeats, copies, ties, rows of one id, empty and null sequences and a null id; many blocks, pieces and lists of seeds."""
+    monkeypatch.setattr(genome, "READ_LETTERS", 400, raising=False)
+    monkeypatch.setattr(genome, "CONTIG_LETTERS", (300, 300), raising=False)
+    monkeypatch.setattr(genome, "PIECE_LETTERS", 100, raising=False)
+    monkeypatch.setattr(genome, "SEED_PAIRS", 50, raising=False)
+    rng = random.Random(11)
+    word = [("".join(rng.choice("ACGT") for _ in range(20))) for _ in range(12)]
+    make = lambda: "".join(rng.choice(word)[rng.randint(0, 3) :] for _ in range(rng.randint(0, 5)))
+    sides = [[(i * 7, make()) for i in range(60)] + [(1, None), (2, ""), (5, "ZZZZ" * 9), (None, make() + word[0]), (7, make() + word[1])] for _ in range(2)]
+    windows = [[(i, a, s[a : a + k]) for i, s in rows if s for a in range(len(s) - k + 1)] for rows in sides]
+    votes = collections.Counter()
+    at = collections.defaultdict(list)
+    for i, a, seed in windows[1]:
+        at[seed].append((i, a))
+    for i, a, seed in windows[0]:
+        votes.update((i, j, b - a) for j, b in at[seed])
+    want = {}
+    for (i, j, d), n in votes.items():
+        want[i] = min(want.get(i, (0, 0, 0, 0)), (-n, math.inf if j is None else j, d, j))
+    frames = [table(spark, rows, "id long, seq string") for rows in sides]
+    got = genome.seed_votes(*frames, k)
+    rows = got.collect()
+    assert {r["read"]: (r["contig"], r["diagonal"], r["votes"]) for r in rows} == {i: (j, d, -n) for i, (n, _, d, j) in want.items()} and len(rows) == len(want) > 40
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    assert "Join" not in plan and plan.count("FlatMapGroupsInArrow") == 1
+    assert genome.seed_votes(frames[0].limit(0), frames[1], k).count() == 0
