@@ -757,3 +757,16 @@ def test_blocks_of_sets_are_packed(spark):
     assert ids.tolist() == [i for i in range(401) if sets.index(sets[i]) == i]
     assert all(set(used[codes[a:b]].tolist()) == set(items[i]) for i, a, b in zip(ids.tolist(), ends, ends[1:]))
     assert packed.nbytes - 8 * len(used) < 3 * len(codes)  # eight bytes an item before
+
+
+def test_cycles_of_eigenvectors_leave_no_tables(spark, monkeypatch):
+    from pathlib import Path
+
+    made, keep = [], graph.cut_lineage
+    monkeypatch.setattr(graph, "cut_lineage", lambda df: made.append(keep(df)) or made[-1])
+    edges = cliques(spark, [6, 5], [(0, 6)])
+    t = graph.transition_matrix(edges).select("src", "dst", "t").persist()
+    monkeypatch.setattr(graph, "SPARE", 0)
+    values, vecs = graph.diffusion_eigen(t, 2)
+    there = [Path(table._jdf.queryExecution().analyzed().relation().location().rootPaths().head().toUri().getPath()).exists() for table in made]
+    assert len(made) >= 8 and sum(there) == 1 and vecs.count() == 11  # all stayed before
